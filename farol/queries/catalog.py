@@ -1,4 +1,4 @@
 """Imports every query module, so that the registry is complete."""
 
-from farol.queries import scoring, tables  # noqa: F401
+from farol.queries import relations, scoring, tables  # noqa: F401
 from farol.queries.registry import ORACLES, QUERIES  # noqa: F401

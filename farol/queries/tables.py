@@ -303,9 +303,9 @@ def t4(spark, sf):
 tr AS (SELECT id, h.held_out, row_number() OVER (PARTITION BY h.held_out ORDER BY {sql_digest('learn42')}, id) AS rn,
               count(*) OVER (PARTITION BY h.held_out) AS n FROM folds f, (SELECT unnest([0, 1, 2, 3, 4]) AS held_out) h WHERE f.fold <> h.held_out),
 steps AS (SELECT unnest(range(8)) AS step),
-sizes AS (SELECT held_out, step, floor(n * (CASE WHEN step = 7 THEN 1 ELSE 0.15::double + (1 - 0.15::double) * step / 7 END)) AS size
+subset_sizes AS (SELECT held_out, step, floor(n * (CASE WHEN step = 7 THEN 1 ELSE 0.15::double + (1 - 0.15::double) * step / 7 END)) AS size
           FROM (SELECT DISTINCT held_out, n FROM tr), steps),
-placed AS (SELECT held_out, id, min(step) AS step FROM tr JOIN sizes USING (held_out) WHERE rn <= size GROUP BY held_out, id)
+placed AS (SELECT held_out, id, min(step) AS step FROM tr JOIN subset_sizes USING (held_out) WHERE rn <= size GROUP BY held_out, id)
 SELECT held_out::bigint AS held_out, step::bigint AS step, count(*) AS n, sum(id)::bigint AS id_sum FROM placed GROUP BY ALL""")
 def t5(spark, sf):
     subsets = T.learning_subsets(fold_cases(spark, sf))
