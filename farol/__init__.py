@@ -6,4 +6,11 @@ docstring, and what they bring to the driver is bounded by the schema, the numbe
 of classes or a fixed constant, never by the number of rows.
 """
 
+import sys
+
+from pyspark import cloudpickle
+
 __version__ = "0.1.0"
+
+# Python tasks carry the functions they need, so executors do not have to have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
