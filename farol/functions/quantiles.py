@@ -16,7 +16,7 @@ from pyspark.sql import Window
 
 from farol.functions.columns import col, long_form
 
-SMALL_ROWS = 4_000_000
+SMALL_ROWS = 1_000_000
 INSIDE_ROWS = 200_000
 SKETCH_ERROR = 1e-3
 

@@ -23,6 +23,7 @@ from farol.operators.normalize import sample_rows
 
 ROWS_PER_BUCKET = 2000
 MAX_BUCKETS = 65536
+WALK_CELLS = 2_000_000
 
 
 # ---- native importance -------------------------------------------------------------------------------
@@ -77,6 +78,7 @@ def permutation_importance(df: DataFrame, features: Sequence[str], score: Callab
 
     `score` adds a `score` column. Each repeat is one job: one window shuffles the rows, then every row
     is emitted once per feature with that feature swapped, scored, and reduced to an AUC per feature.
+    The copies get ids of their own, as a model may join on the id.
     """
     features = list(features)
     base_scored = score(df).select(col(label).cast("bigint").alias("label"), "score")
@@ -87,7 +89,9 @@ def permutation_importance(df: DataFrame, features: Sequence[str], score: Callab
     for repeat in range(repeats):
         donors = with_donors(df, features, repeat, buckets, id_col, seed, "__donor")
         swapped = donors.withColumn("feature", F.explode(F.array(*[F.lit(c) for c in features])))
-        swapped = swapped.withColumns({c: F.when(F.col("feature") == c, F.col("__donor")[c]).otherwise(col(c)) for c in features})
+        place = F.array_position(F.array(*[F.lit(c) for c in features]), F.col("feature")) - 1
+        swapped = swapped.withColumns({c: F.when(F.col("feature") == c, F.col("__donor")[c]).otherwise(col(c)) for c in features}
+                                      | {id_col: col(id_col) * len(features) + place})
         aucs = _auc(score(swapped.drop("__donor")).select("feature", col(label).cast("bigint").alias("label"), "score"), edges)
         for c in features:
             drops[c].append(base - aucs[c])
@@ -131,7 +135,14 @@ def tree_tables(model) -> list[dict[str, np.ndarray]]:
         place = {r["id"]: i for i, r in enumerate(rows)}
         stats = [list(r["impurityStats"]) for r in rows]
         cut = [r["split"]["leftCategoriesOrThreshold"] for r in rows]
+        by_category = [r["leftChild"] >= 0 and r["split"]["numCategories"] >= 0 for r in rows]
+        categories = max([r["split"]["numCategories"] for r in rows] + [1])
+        goes_left = np.zeros((len(rows), categories), dtype=bool)
+        for i, c in enumerate(cut):
+            if by_category[i]:
+                goes_left[i, np.asarray(c, dtype=int)] = True
         out.append({
+            "by_category": np.array(by_category), "goes_left": goes_left,
             "feature": np.array([r["split"]["featureIndex"] if r["leftChild"] >= 0 else -1 for r in rows]),
             "threshold": np.array([c[0] if r["leftChild"] >= 0 and c else 0.0 for r, c in zip(rows, cut)]),
             "left": np.array([place.get(r["leftChild"], -1) for r in rows]),
@@ -153,7 +164,9 @@ def tree_scorer(trees: list[dict[str, np.ndarray]], weights: Sequence[float] | N
                 return at
             rows = np.nonzero(inner)[0]
             node = at[rows]
-            goes_left = x[rows, tree["feature"][node]] <= tree["threshold"][node]
+            value = x[rows, tree["feature"][node]]
+            category = np.clip(value, 0, tree["goes_left"].shape[1] - 1).astype(int)
+            goes_left = np.where(tree["by_category"][node], tree["goes_left"][node, category], value <= tree["threshold"][node])
             at[rows] = np.where(goes_left, tree["left"][node], tree["right"][node])
 
     def score(x: np.ndarray) -> np.ndarray:
@@ -189,37 +202,42 @@ def background_matrix(prepared: DataFrame, n: int = 100, features: str = "featur
     return np.array([r["x"] for r in rows], dtype=float)
 
 
-def shapley_walk(x: np.ndarray, background: np.ndarray, score: Callable[[np.ndarray], np.ndarray], order: np.ndarray) -> np.ndarray:
-    """Contributions of one row by one walk: switch features from background to row in `order`, then back in the same order."""
-    p, m = len(x), len(background)
-    switched = np.zeros((2 * p + 1, p), dtype=bool)
-    for step, feature in enumerate(order):
-        switched[step + 1:p + step + 1, feature] = True
-    blocks = np.where(switched[:, None, :], x[None, None, :], background[None, :, :]).reshape(-1, p)
-    values = score(blocks).reshape(2 * p + 1, m).mean(axis=1)
-    there, back = np.diff(values[:p + 1]), -np.diff(values[p:])
-    out = np.empty(p)
-    out[order] = (there + back) / 2.0
-    return out
+def shapley_walks(x: np.ndarray, background: np.ndarray, score: Callable[[np.ndarray], np.ndarray], orders: np.ndarray) -> np.ndarray:
+    """Contributions of a few rows by one walk each: switch features from background to row in the row's order, then back.
+
+    A feature is switched on from its step until its step on the way back, so a walk is 2p + 1 masks.
+    """
+    rows, p = x.shape
+    step_of = np.empty_like(orders)
+    np.put_along_axis(step_of, orders, np.arange(1, p + 1)[None, :].repeat(rows, axis=0), axis=1)
+    steps = np.arange(2 * p + 1)[None, :, None]
+    switched = (steps >= step_of[:, None, :]) & (steps < p + step_of[:, None, :])
+    blocks = np.where(switched[:, :, None, :], x[:, None, None, :], background[None, None, :, :])
+    values = score(blocks.reshape(-1, p)).reshape(rows, 2 * p + 1, len(background)).mean(axis=2)
+    gained, lost = np.diff(values[:, :p + 1], axis=1), -np.diff(values[:, p:], axis=1)
+    return np.take_along_axis((gained + lost) / 2.0, step_of - 1, axis=1)
 
 
 def shapley_values(prepared: DataFrame, score: Callable[[np.ndarray], np.ndarray], background: np.ndarray, names: Sequence[str],
                    features: str = "features", id_col: str = words.ID_COLUMN, seed: int = words.SEED) -> DataFrame:
     """(id, feature, value, shap) on P(class 1); base value plus the row's values is its score.
 
-    Rows stay where they are; a task works through one row's blocks at a time, so its memory does not
-    depend on the number of rows. The background is at most a hundred rows.
+    Rows stay where they are. A task works through a few rows' masks at a time, so its memory depends
+    on the number of features and the background (at most a hundred rows), not on the number of rows.
     """
-    names = list(names)
+    names = np.array(list(names), dtype=object)
     id_type = prepared.schema[id_col].dataType.simpleString()
+    p = len(names)
+    at_once = max(1, WALK_CELLS // ((2 * p + 1) * len(background) * p))
 
     def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            for row_id, x in zip(pdf["id"], pdf["x"]):
-                x = np.asarray(x, dtype=float)
-                rng = np.random.default_rng(zlib.crc32(f"{seed}|{row_id}".encode()))
-                shap = shapley_walk(x, background, score, rng.permutation(len(x)))
-                yield pd.DataFrame({"id": [row_id] * len(x), "feature": names, "value": x, "shap": shap})
+            ids, x = pdf["id"].to_numpy(), np.array([np.asarray(v, dtype=float) for v in pdf["x"]]).reshape(-1, p)
+            for at in range(0, len(ids), at_once):
+                some, part = ids[at:at + at_once], x[at:at + at_once]
+                orders = np.array([np.random.default_rng(zlib.crc32(f"{seed}|{i}".encode())).permutation(p) for i in some])
+                shap = shapley_walks(part, background, score, orders)
+                yield pd.DataFrame({"id": some.repeat(p), "feature": np.tile(names, len(some)), "value": part.ravel(), "shap": shap.ravel()})
 
     rows = prepared.select(col(id_col).alias("id"), vector_to_array(col(features)).alias("x"))
     return rows.mapInPandas(explain, f"id {id_type}, feature string, value double, shap double")

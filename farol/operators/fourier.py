@@ -25,9 +25,10 @@ class FourierFeatures(Transformer, HasInputCol, HasOutputCol, HasSeed, DefaultPa
     dimensions = Param(Params._dummy(), "dimensions", "length of the output vector", typeConverter=TypeConverters.toInt)
 
     @keyword_only
-    def __init__(self, *, inputCol="features", outputCol="fourier", gamma=1.0, inputSize=1, dimensions=DIMENSIONS, seed=42):
+    def __init__(self, *, inputCol=None, outputCol=None, gamma=None, inputSize=None, dimensions=None, seed=None):
         super().__init__()
-        self._set(**self._input_kwargs)
+        self._setDefault(inputCol="features", outputCol="fourier", gamma=1.0, inputSize=1, dimensions=DIMENSIONS, seed=42)
+        self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
 
     def matrices(self) -> tuple[np.ndarray, np.ndarray]:
         rng = np.random.default_rng(self.getSeed())

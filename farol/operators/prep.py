@@ -153,6 +153,11 @@ def _name(c: str) -> str:
     return "`" + c.replace("`", "``") + "`"
 
 
+def _stage_names(columns: Sequence[str]) -> dict[str, str]:
+    """Names the stages can work with: they do not quote, so dots and backticks become underscores with the position."""
+    return {c: c if not set(".`") & set(c) else c.replace(".", "_").replace("`", "_") + f"_{i}" for i, c in enumerate(columns)}
+
+
 def _yeo_johnson_sql(x: str, lam: float) -> str:
     up = f"log1p({x})" if abs(lam) < 1e-12 else f"((power({x} + 1D, {_number(lam)}) - 1D) / {_number(lam)})"
     down = f"(-log1p(-({x})))" if abs(lam - 2.0) < 1e-12 else f"(-(power(1D - {x}, {_number(2.0 - lam)}) - 1D) / {_number(2.0 - lam)})"
@@ -162,7 +167,7 @@ def _yeo_johnson_sql(x: str, lam: float) -> str:
 class Preprocessor(Estimator, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
     """P1 to P9 as one estimator: median and scale for numbers, mode and one-hot for categories, then a vector.
 
-    Columns not named are kept untouched next to the vector. Numeric columns without any value are left out.
+    Columns not named are kept untouched next to the vector. Columns without any value are left out.
     """
 
     numericCols = Param(Params._dummy(), "numericCols", "numeric features, in order", typeConverter=TypeConverters.toListString)
@@ -184,26 +189,28 @@ class Preprocessor(Estimator, HasOutputCol, DefaultParamsReadable, DefaultParams
         modes = {c: m for c, m in fit_modes(dataset, categorical).items() if m is not None}
         categorical = [c for c in categorical if c in modes]
         filled = dataset.select(*[F.coalesce(col(c).cast("double"), F.lit(medians[c])).alias(c) for c in numeric])
-        cells = self._numeric_sql(filled, numeric, medians)
-        cells += [f"coalesce(CAST({_name(c)} AS STRING), {_text(modes[c])}) AS {_name('cat__' + c)}" for c in categorical]
+        named = _stage_names([*numeric, *categorical])
+        nums, cats = [named[c] for c in numeric], [named[c] for c in categorical]
+        cells = self._numeric_sql(filled, numeric, medians, named)
+        cells += [f"coalesce(CAST({_name(c)} AS STRING), {_text(modes[c])}) AS {_name('cat__' + named[c])}" for c in categorical]
         projection = SQLTransformer(statement="SELECT *, " + ", ".join(cells) + " FROM __THIS__")
-        stages, inputs = [projection], [f"num__{c}" for c in numeric]
-        scratch = [f"num__{c}" for c in numeric] + [f"cat__{c}" for c in categorical]
+        stages, inputs = [projection], [f"num__{c}" for c in nums]
+        scratch = [f"num__{c}" for c in nums] + [f"cat__{c}" for c in cats]
         if categorical:
-            indexer = StringIndexer(inputCols=[f"cat__{c}" for c in categorical], outputCols=[f"idx__{c}" for c in categorical],
+            indexer = StringIndexer(inputCols=[f"cat__{c}" for c in cats], outputCols=[f"idx__{c}" for c in cats],
                                     stringOrderType="alphabetAsc", handleInvalid="keep")
-            cats = dataset.select(*[F.coalesce(col(c).cast("string"), F.lit(modes[c])).alias(f"cat__{c}") for c in categorical])
-            indexed = indexer.fit(cats)
-            encoder = OneHotEncoder(inputCols=[f"idx__{c}" for c in categorical], outputCols=[f"hot__{c}" for c in categorical], dropLast=True)
-            stages += [indexed, encoder.fit(indexed.transform(cats))]
-            inputs += [f"hot__{c}" for c in categorical]
-            scratch += [f"idx__{c}" for c in categorical] + [f"hot__{c}" for c in categorical]
+            texts = dataset.select(*[F.coalesce(col(c).cast("string"), F.lit(modes[c])).alias(f"cat__{named[c]}") for c in categorical])
+            indexed = indexer.fit(texts)
+            encoder = OneHotEncoder(inputCols=[f"idx__{c}" for c in cats], outputCols=[f"hot__{c}" for c in cats], dropLast=True)
+            stages += [indexed, encoder.fit(indexed.transform(texts))]
+            inputs += [f"hot__{c}" for c in cats]
+            scratch += [f"idx__{c}" for c in cats] + [f"hot__{c}" for c in cats]
         output = self.getOutputCol()
         kept = f"SELECT * EXCEPT ({', '.join(_name(s) for s in scratch)}) FROM __THIS__"
         stages += [VectorAssembler(inputCols=inputs, outputCol=output, handleInvalid="error"), SQLTransformer(statement=kept)]
         return PipelineModel(stages)
 
-    def _numeric_sql(self, filled: DataFrame, numeric: list[str], medians: Mapping[str, float]) -> list[str]:
+    def _numeric_sql(self, filled: DataFrame, numeric: list[str], medians: Mapping[str, float], named: Mapping[str, str]) -> list[str]:
         kind = self.getOrDefault(self.scaler)
         lambdas = fit_lambdas(filled, numeric) if kind == "power" else {}
         if kind == "standard":
@@ -222,7 +229,7 @@ class Preprocessor(Estimator, HasOutputCol, DefaultParamsReadable, DefaultParams
             if c in scales:
                 centre, spread = scales[c]
                 x = f"(({x}) - {_number(centre)}) / {_number(spread)}"
-            cells.append(f"{x} AS {_name('num__' + c)}")
+            cells.append(f"{x} AS {_name('num__' + named[c])}")
         return cells
 
 

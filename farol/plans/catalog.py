@@ -17,6 +17,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from farol.functions.storage import written
 from farol.operators.fourier import FourierFeatures
 from farol.operators.neighbors import nearest_neighbours, neighbour_scores
 from farol.operators.split import stratified_folds
@@ -24,6 +25,7 @@ from farol.operators.split import stratified_folds
 MAX_BINS = 128
 DEEPEST = 30
 CALIBRATION_FOLDS = 5
+ROWS_PER_TASK = 20_000
 
 
 def class_counts(df: DataFrame, label: str = "label") -> dict[int, int]:
@@ -43,6 +45,14 @@ def balanced_weights(df: DataFrame, label: str = "label") -> DataFrame:
     return counts.select("class", "n", (total / (classes * F.col("n"))).alias("weight"))
 
 
+def packed(df: DataFrame, rows: int) -> DataFrame:
+    """No more partitions than there are blocks of rows: an iterative fit pays for every task in every step.
+
+    `coalesce` never adds partitions, so a large table keeps its own.
+    """
+    return df.coalesce(max(1, -(-rows // ROWS_PER_TASK)))
+
+
 def with_weights(df: DataFrame, counts: Mapping[int, int], balanced: bool) -> DataFrame:
     if not balanced:
         return df.withColumn("weight", F.lit(1.0))
@@ -106,17 +116,18 @@ def scale_gamma(df: DataFrame) -> float:
     return float(1.0 / (len(means) * variance)) if variance > 0 else 1.0
 
 
-def fit_margins(df: DataFrame, params: Mapping, counts: Mapping[int, int], seed: int) -> PipelineModel:
-    """M6: Fourier features and a linear support vector machine; the margin is the one-element vector `margin`."""
+def fourier_features(df: DataFrame, params: Mapping, seed: int) -> FourierFeatures:
+    """M6: the feature map for the kernel width of the parameters; `scale` is measured on the rows."""
     gamma = params.get("gamma", "scale")
     gamma = scale_gamma(df) if gamma == "scale" else float(gamma)
-    size = len(df.select("features").first()[0])
-    fourier = FourierFeatures(inputCol="features", outputCol="fourier", gamma=gamma, inputSize=size, seed=seed)
-    machine = LinearSVC(featuresCol="fourier", regParam=1.0 / (params.get("C", 1.0) * sum(counts.values())), standardization=False, maxIter=100,
-                        weightCol="weight", rawPredictionCol="svm_raw", predictionCol="svm_prediction")
-    weighted = with_weights(df, counts, params.get("class_weight") == "balanced")
-    model = machine.fit(fourier.transform(weighted))
-    return PipelineModel([fourier, model, VectorSlicer(inputCol="svm_raw", outputCol="margin", indices=[1])])
+    return FourierFeatures(inputCol="features", outputCol="fourier", gamma=gamma, inputSize=len(df.select("features").first()[0]), seed=seed)
+
+
+def fit_machine(df: DataFrame, params: Mapping, counts: Mapping[int, int]) -> Model:
+    """M6: linear support vector machine on Fourier features; an inverse strength C over summed losses is 1 / (C n) over mean losses."""
+    machine = LinearSVC(featuresCol="fourier", regParam=1.0 / (params.get("C", 1.0) * sum(counts.values())), standardization=False, maxIter=50,
+                        tol=1e-3, weightCol="weight", rawPredictionCol="svm_raw", predictionCol="svm_prediction")
+    return machine.fit(packed(with_weights(df, counts, params.get("class_weight") == "balanced"), sum(counts.values())))
 
 
 def platt_rows(margins: DataFrame, counts: Mapping[int, int]) -> DataFrame:
@@ -128,15 +139,18 @@ def platt_rows(margins: DataFrame, counts: Mapping[int, int]) -> DataFrame:
 
 
 def fit_svm(df: DataFrame, params: Mapping, counts: Mapping[int, int], seed: int) -> PipelineModel:
-    """M6 and M7: out-of-fold margins calibrate one final machine."""
-    folds = stratified_folds(df, "label", k=CALIBRATION_FOLDS, seed=seed, name="inner_fold")
+    """M6 and M7: margins of rows held out in five folds calibrate one final machine. The feature map is applied once and written."""
+    fourier = fourier_features(df, params, seed)
+    margin = VectorSlicer(inputCol="svm_raw", outputCol="margin", indices=[1])
+    rows = written(fourier.transform(stratified_folds(df, "label", k=CALIBRATION_FOLDS, seed=seed, name="inner_fold")).drop("features"), "fourier")
     margins = None
     for f in range(CALIBRATION_FOLDS):
-        inner = folds.where(F.col("inner_fold") != f)
-        part = fit_margins(inner, params, class_counts(inner), seed).transform(folds.where(F.col("inner_fold") == f)).select("label", "margin")
+        inner, held = rows.where(F.col("inner_fold") != f), rows.where(F.col("inner_fold") == f)
+        part = margin.transform(fit_machine(inner, params, class_counts(inner)).transform(held)).select("label", "margin")
         margins = part if margins is None else margins.unionByName(part)
-    platt = LogisticRegression(featuresCol="margin", weightCol="weight", regParam=0.0, standardization=False, maxIter=200).fit(platt_rows(margins, counts))
-    return PipelineModel([fit_margins(df, params, counts, seed), platt])
+    platt = LogisticRegression(featuresCol="margin", weightCol="weight", regParam=0.0, standardization=False, maxIter=200)
+    calibrated = platt.fit(packed(platt_rows(margins, counts), sum(counts.values())))
+    return PipelineModel([fourier, fit_machine(rows, params, counts), margin, calibrated])
 
 
 @dataclass(frozen=True)

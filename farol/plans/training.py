@@ -19,7 +19,7 @@ from farol.functions.storage import written
 from farol.operators.metrics import compute_metrics
 from farol.operators.prep import Preprocessor, feature_names_out, inject_missing
 from farol.operators.split import learning_shares, learning_subsets, stratified_folds, train_and_validation
-from farol.plans.catalog import FAMILIES, Family, class_counts, with_score
+from farol.plans.catalog import FAMILIES, Family, class_counts, packed, with_score
 
 CV_METRICS = ("roc_auc", "pr_auc", "recall", "precision", "f1", "accuracy")
 
@@ -55,8 +55,9 @@ class Roles:
 def fit_scorer(df: DataFrame, roles: Roles, family: Family, params: Mapping, seed: int = words.SEED, prep: PipelineModel | None = None) -> Scorer:
     """Fit preprocessing and model on the same rows. `df` has id, label and the features."""
     prep = prep or roles.prep(family.scaler).fit(df)
-    rows = prep.transform(df).select("id", "label", "features")
-    return Scorer(prep, family.fit(rows, params, class_counts(df), seed))
+    counts = class_counts(df)
+    rows = packed(prep.transform(df).select("id", "label", "features"), sum(counts.values()))
+    return Scorer(prep, family.fit(rows, params, counts, seed))
 
 
 def part_metrics(scored: DataFrame, part: str = "part") -> dict[str, dict]:
