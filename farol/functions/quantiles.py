@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from farol.functions.columns import col, long_form
+from farol.functions.columns import col, structs_to_rows
 
 SMALL_ROWS = 1_000_000
 INSIDE_ROWS = 200_000
@@ -26,10 +26,10 @@ def quantile_name(p: float) -> str:
 
 
 def quantile_rows(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], by: str | None = None,
-                  small_rows: int = SMALL_ROWS) -> DataFrame:
-    """(by, feature, q<percent>...) with numpy-style linear interpolation. Counts the rows to choose the method."""
+                  small_rows: int = SMALL_ROWS, rows: int | None = None) -> DataFrame:
+    """(by, feature, q<percent>...) with numpy-style linear interpolation. Counts the rows, if not told, to choose the method."""
     df = df.select(*([col(by)] if by else []), *[col(c).cast("double").alias(c) for c in columns])
-    if df.count() <= small_rows:
+    if (df.count() if rows is None else rows) <= small_rows:
         return _by_percentile(df, columns, probabilities, by)
     groups = [r[0] for r in df.select(col(by)).distinct().collect()] if by else [None]
     spark = df.sparkSession
@@ -52,11 +52,10 @@ def quantile_values(df: DataFrame, columns: Sequence[str], probabilities: Sequen
 
 def _by_percentile(df: DataFrame, columns, probabilities, by) -> DataFrame:
     ps = F.array(*[F.lit(float(p)) for p in probabilities])
-    long = long_form(df, list(columns), [by] if by else [])
-    keys = ([by] if by else []) + ["feature"]
-    agg = long.groupBy(*[col(k) for k in keys]).agg(F.percentile("value", ps).alias("__q"))
-    return agg.select(*[col(k) for k in keys],
-                      *[F.col("__q")[i].alias(quantile_name(p)) for i, p in enumerate(probabilities)])
+    wide = df.groupBy(*([col(by)] if by else [])).agg(*[F.percentile(col(c), ps).alias(f"__q{i}") for i, c in enumerate(columns)])
+    cells = [F.struct(F.lit(c).alias("feature"), *[F.col(f"__q{i}")[k].alias(quantile_name(p)) for k, p in enumerate(probabilities)])
+             for i, c in enumerate(columns)]
+    return structs_to_rows(wide, cells)
 
 
 def bracketed_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float],

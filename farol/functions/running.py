@@ -32,9 +32,10 @@ def balanced_edges(df: DataFrame, column: str, ranges: int | None = None) -> lis
 def with_range(df: DataFrame, column: str, edges: Sequence[float], name: str = "__range") -> DataFrame:
     """Number the range of each value; a range is closed on the left, ties fall together."""
     if not edges:
-        return df.withColumn(name, F.lit(0.0))
+        return df.withColumn(name, F.lit(0))
     splits = [float("-inf"), *edges, float("inf")]
-    return Bucketizer(splits=splits, inputCol=column, outputCol=name, handleInvalid="keep").transform(df)
+    ranged = Bucketizer(splits=splits, inputCol=column, outputCol=name, handleInvalid="keep").transform(df)
+    return ranged.withColumn(name, F.col(name).cast("int"))
 
 
 def running_sums(points: DataFrame, by: Sequence[str], order: str, values: Sequence[str], range_col: str = "__range",

@@ -47,19 +47,34 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str], method: str = "pea
     return _named(pairs, columns)
 
 
+def _rank_partners(wide: DataFrame, p: int) -> dict[tuple[int, int], int | None]:
+    """For columns c0.. of `wide`: whose presence restricts the ranks of column i when paired with j; None if nothing does."""
+    absent = [F.col(f"c{i}").isNull() for i in range(p)]
+    gaps = wide.agg(*[F.max(absent[i]).alias(f"g{i}") for i in range(p)]).first()
+    gappy = [i for i in range(p) if gaps[f"g{i}"]]
+    pairs = [(i, j) for i in gappy for j in gappy if i != j]
+    alone = wide.agg(*[F.max(~absent[i] & absent[j]).alias(f"d{i}_{j}") for i, j in pairs]).first() if pairs else {}
+    first_like = {j: min([j] + [k for k in gappy if k != j and not alone[f"d{j}_{k}"] and not alone[f"d{k}_{j}"]]) for j in gappy}
+    out: dict[tuple[int, int], int | None] = {}
+    for i in range(p):
+        for j in range(p):
+            restricts = j in gappy and i != j and (i not in gappy or alone[f"d{i}_{j}"])
+            out[(i, j)] = first_like[j] if restricts else None
+    return out
+
+
 def _spearman_pairs(df: DataFrame, columns: list[str], id_col: str) -> DataFrame:
     """Rank correlation over pairwise complete rows; `id_col` must be unique.
 
-    A column paired with one that has gaps is ranked again over the rows where the partner is present;
-    without gaps each column is ranked once. Ranks come from distinct values, so ties are collapsed
+    A column is ranked again over the rows where its partner is present, but only if the partner is
+    missing where the column is not, and only once for partners missing in the same rows. Ranks come from distinct values, so ties are collapsed
     before anything is sorted, and are joined back by value.
     """
     wide = df.select(col(id_col).alias("__id"), *[col(c).cast("double").alias(f"c{i}") for i, c in enumerate(columns)])
-    gaps = wide.agg(*[F.max(F.col(f"c{i}").isNull()).alias(f"c{i}") for i in range(len(columns))]).first()
-    gappy = [i for i in range(len(columns)) if gaps[f"c{i}"]]
+    partner_of = _rank_partners(wide, len(columns))
     ranked_as: dict[tuple[int, int | None], int] = {}
     for i in range(len(columns)):
-        for partner in [None, *[j for j in gappy if j != i]]:
+        for partner in sorted({partner_of[(i, j)] for j in range(len(columns))}, key=lambda j: -1 if j is None else j):
             ranked_as[(i, partner)] = len(ranked_as)
 
     def cell(i: int, partner: int | None):
@@ -72,7 +87,7 @@ def _spearman_pairs(df: DataFrame, columns: list[str], id_col: str) -> DataFrame
     ranks = average_rank(points, ["context"], "value", "n").drop("n")
     back = long.join(ranks, ["context", "value"]).groupBy("__id").agg(
         *[F.max(F.when(F.col("context") == k, F.col("rank"))).alias(f"k{k}") for k in range(len(ranked_as))])
-    wanted = [(ranked_as[(i, j if j in gappy and j != i else None)], ranked_as[(j, i if i in gappy and j != i else None)], i, j)
+    wanted = [(ranked_as[(i, partner_of[(i, j)])], ranked_as[(j, partner_of[(j, i)])], i, j)
               for i in range(len(columns)) for j in range(i, len(columns))]
     moments = correlation_of(pair_moments(back, [f"k{k}" for k in range(len(ranked_as))]))
     place = {(min(a, b), max(a, b)): (i, j) for a, b, i, j in wanted}

@@ -16,9 +16,9 @@ from pyspark.sql import Window
 from farol import vocabulary as words
 from farol.functions.columns import col
 from farol.functions.keys import digest, keyed_int
-from farol.functions.running import balanced_edges, running_sums, with_range
+from farol.functions.running import balanced_edges
 from farol.functions.storage import fresh_path
-from farol.operators.metrics import ranking_metrics, score_points
+from farol.operators.metrics import ranked_points, ranking_metrics
 from farol.operators.normalize import sample_rows
 
 ROWS_PER_BUCKET = 2000
@@ -100,10 +100,7 @@ def permutation_importance(df: DataFrame, features: Sequence[str], score: Callab
 
 
 def _auc(scored: DataFrame, edges: Sequence[float]) -> dict[str, float]:
-    points = with_range(score_points(scored, ["feature"]), "score", edges)
-    ranked = running_sums(points, ["feature"], "score", ["pos", "neg"]).withColumnsRenamed(
-        {"run_pos": "tp", "run_neg": "fp", "all_pos": "positives", "all_neg": "negatives"})
-    return {r["feature"]: r["roc_auc"] for r in ranking_metrics(ranked, ["feature"]).collect()}
+    return {r["feature"]: r["roc_auc"] for r in ranking_metrics(ranked_points(scored, ["feature"], edges), ["feature"]).collect()}
 
 
 # ---- scorers that run inside Python tasks ------------------------------------------------------------

@@ -74,9 +74,12 @@ def score_points(scores: DataFrame, by: Sequence[str] = MODEL) -> DataFrame:
     return checked(points, "pos")
 
 
-def ranked_points(scores: DataFrame, by: Sequence[str] = MODEL) -> DataFrame:
-    """Score points with `tp`, `fp` at or above the score and class totals. Runs one sketch job for the range edges."""
-    points = with_range(score_points(scores, by), "score", balanced_edges(scores, "score"))
+def ranked_points(scores: DataFrame, by: Sequence[str] = MODEL, edges: Sequence[float] | None = None) -> DataFrame:
+    """Score points with `tp`, `fp` at or above the score and class totals.
+
+    Runs one sketch job for the range edges unless they are given: edges of similar scores do as well, as they only spread the work.
+    """
+    points = with_range(score_points(scores, by), "score", balanced_edges(scores, "score") if edges is None else edges)
     summed = running_sums(points, by, "score", ["pos", "neg"])
     return summed.withColumnsRenamed({"run_pos": "tp", "run_neg": "fp", "all_pos": "positives", "all_neg": "negatives"})
 
@@ -123,9 +126,9 @@ def log_loss(scores: DataFrame, by: Sequence[str] = MODEL) -> DataFrame:
 
 
 def compute_metrics(scores: DataFrame, thresholds: Sequence[float] = (words.DEFAULT_THRESHOLD,),
-                    by: Sequence[str] = MODEL) -> DataFrame:
+                    by: Sequence[str] = MODEL, edges: Sequence[float] | None = None) -> DataFrame:
     """V1 to V11 per model and threshold: everything is a sum over the ranked score points, so the rows are read once."""
-    points = ranked_points(scores, by)
+    points = ranked_points(scores, by, edges)
     s = F.col("score")
     sums = [F.sum(_auc_term()).alias("__area"), F.sum(_precision_step()).alias("__steps"),
             F.sum(F.col("pos") * F.pow(1.0 - s, 2) + F.col("neg") * F.pow(s, 2)).alias("__squares"),
@@ -213,7 +216,7 @@ def calibration_curve(scores: DataFrame, n_bins: int | None = None, by: Sequence
     sizes = {r[0]: r[1] for r in clean.groupBy(key).count().collect()}
     bins = n_bins or calibration_bins(min(sizes.values()))
     inner = [i / bins for i in range(1, bins)]
-    edges = quantile_rows(clean, ["score"], inner, by=key).select(
+    edges = quantile_rows(clean, ["score"], inner, by=key, rows=sum(sizes.values())).select(
         key, F.array(*[quantile_name(p) for p in inner]).alias("edges"))
     placed = clean.join(F.broadcast(edges), key).withColumn(
         "bin", F.size(F.filter("edges", lambda e: e < F.col("score"))))

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from farol import vocabulary as words
 from farol.functions.columns import col
+from farol.functions.running import balanced_edges
 from farol.functions.storage import written
 from farol.operators.metrics import compute_metrics
 from farol.operators.prep import Preprocessor, feature_names_out, inject_missing
@@ -60,9 +61,9 @@ def fit_scorer(df: DataFrame, roles: Roles, family: Family, params: Mapping, see
     return Scorer(prep, family.fit(rows, params, counts, seed))
 
 
-def part_metrics(scored: DataFrame, part: str = "part") -> dict[str, dict]:
+def part_metrics(scored: DataFrame, part: str = "part", edges: Sequence[float] | None = None) -> dict[str, dict]:
     """The six cross-validation metrics per part, at threshold 0.5."""
-    rows = compute_metrics(scored.select(part, "label", "score"), by=[part]).collect()
+    rows = compute_metrics(scored.select(part, "label", "score"), by=[part], edges=edges).collect()
     return {r[part]: {m: r[m] for m in CV_METRICS} for r in rows}
 
 
@@ -72,6 +73,7 @@ def cross_validate(train: DataFrame, roles: Roles, family: Family, fold: str = "
 
     Preprocessing is fit once per fold on that fold's training rows and shared by all candidates, as
     its result does not depend on them. Fits run from a few driver threads, each a distributed job.
+    Range edges are sketched on the scores of the first fit and kept: they only spread the work.
     """
     spark = train.sparkSession
     started = time.perf_counter()
@@ -82,11 +84,16 @@ def cross_validate(train: DataFrame, roles: Roles, family: Family, fold: str = "
             preps[(family.scaler, f)] = roles.prep(family.scaler).fit(train.where(F.col(fold) != f))
     candidates = family.candidates()
 
+    kept: dict[str, list[float]] = {}
+
     def run(task: tuple[int, object]) -> list[tuple]:
         index, f = task
         scorer = fit_scorer(train.where(F.col(fold) != f), roles, family, candidates[index], seed, preps[(family.scaler, f)])
         part = F.when(F.col(fold) == f, "cv").otherwise("train")
-        metrics = part_metrics(scorer.score(train).withColumn("part", part))
+        scored = scorer.score(train).withColumn("part", part)
+        if "edges" not in kept:
+            kept["edges"] = balanced_edges(scored, "score")
+        metrics = part_metrics(scored, edges=kept["edges"])
         return [(family.key, index, json.dumps(candidates[index], sort_keys=True), int(f), p, *[m[c] for c in CV_METRICS])
                 for p, m in metrics.items()]
 
