@@ -4,7 +4,8 @@ A window without `partitionBy` sorts everything in one task. Here the order key
 ranges by literal edges, the running sum is taken inside each range, and the totals of the
 ranges before it are joined on. The range is a function of the key, so equal keys stay
 together and a retried task sees the same ranges. Edges come from an approximate quantile
-sketch: they decide only how evenly the work is spread, never the result.
+sketch: they decide only how evenly the work is spread, never the result. A table known to be small
+is one range per group.
 """
 
 from __future__ import annotations
@@ -17,36 +18,46 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 
+RANGE = "__range"
+FEW_ROWS = 250_000
+
+
 def range_count(df: DataFrame) -> int:
     """How many ranges to cut: a few per shuffle partition, so it grows with the cluster."""
     return min(16384, max(64, 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
 
 
-def balanced_edges(df: DataFrame, column: str, ranges: int | None = None) -> list[float]:
-    """At most `ranges` - 1 literal edges that cut `column` into parts of similar size. Runs one sketch job."""
+def balanced_edges(df: DataFrame, column: str, ranges: int | None = None, few_rows: int = FEW_ROWS) -> list[float]:
+    """At most `ranges` - 1 literal edges that cut `column` into parts of similar size; none for a small table. Runs one job."""
     ranges = ranges or range_count(df)
-    probabilities = [i / ranges for i in range(1, ranges)]
-    return sorted(set(df.approxQuantile(column, probabilities, 0.25 / ranges)))
+    probabilities = F.array(*[F.lit(i / ranges) for i in range(1, ranges)])
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.approx_percentile(F.col(column), probabilities, 4 * ranges).alias("edges")).first()
+    return [] if row["n"] <= few_rows or row["edges"] is None else sorted(set(row["edges"]))
 
 
-def with_range(df: DataFrame, column: str, edges: Sequence[float], name: str = "__range") -> DataFrame:
-    """Number the range of each value; a range is closed on the left, ties fall together."""
+def with_range(df: DataFrame, column: str, edges: Sequence[float], name: str = RANGE) -> DataFrame:
+    """Number the range of each value; a range is closed on the left, ties fall together. Without edges no number is added."""
     if not edges:
-        return df.withColumn(name, F.lit(0))
+        return df
     splits = [float("-inf"), *edges, float("inf")]
     ranged = Bucketizer(splits=splits, inputCol=column, outputCol=name, handleInvalid="keep").transform(df)
     return ranged.withColumn(name, F.col(name).cast("int"))
 
 
-def running_sums(points: DataFrame, by: Sequence[str], order: str, values: Sequence[str], range_col: str = "__range",
+def running_sums(points: DataFrame, by: Sequence[str], order: str, values: Sequence[str], range_col: str = RANGE,
                  descending: bool = True) -> DataFrame:
     """Add `run_<v>` (inclusive running sum) and `all_<v>` (group total) for each value column.
 
-    `points` holds one row per (by, order) and the range of `order`. The totals are joined on the
-    same keys the window is partitioned by, so no side is broadcast and no extra shuffle is paid.
+    `points` holds one row per (by, order) and the range of `order`; without a range column the table
+    is small and one window does. The totals are joined on the same keys the window is partitioned by,
+    so no side has to be broadcast.
     """
-    keys = [*by, range_col]
     direction = (lambda c: F.col(c).desc()) if descending else (lambda c: F.col(c).asc())
+    if range_col not in points.columns:
+        upto = Window.partitionBy(*by).orderBy(direction(order)).rowsBetween(Window.unboundedPreceding, 0)
+        return points.withColumns({f"run_{v}": F.sum(v).over(upto) for v in values}
+                                  | {f"all_{v}": F.sum(v).over(Window.partitionBy(*by)) for v in values})
+    keys = [*by, range_col]
     inside = Window.partitionBy(*keys).orderBy(direction(order)).rowsBetween(Window.unboundedPreceding, 0)
     before = Window.partitionBy(*by).orderBy(direction(range_col)).rowsBetween(Window.unboundedPreceding, -1)
     group = Window.partitionBy(*by)
@@ -61,11 +72,14 @@ def running_sums(points: DataFrame, by: Sequence[str], order: str, values: Seque
     return out.drop(*[f"__l_{v}" for v in values], *[f"__o_{v}" for v in values])
 
 
-def next_in_order(points: DataFrame, by: Sequence[str], order: str, values: Sequence[str], range_col: str = "__range",
+def next_in_order(points: DataFrame, by: Sequence[str], order: str, values: Sequence[str], range_col: str = RANGE,
                   descending: bool = True) -> DataFrame:
     """Add `next_<v>` and `prev_<order>`: the neighbours of a row in the whole order, across range borders."""
-    keys = [*by, range_col]
     direction = (lambda c: F.col(c).desc()) if descending else (lambda c: F.col(c).asc())
+    if range_col not in points.columns:
+        whole = Window.partitionBy(*by).orderBy(direction(order))
+        return points.withColumns({f"next_{v}": F.lead(v).over(whole) for v in values} | {f"prev_{order}": F.lag(order).over(whole)})
+    keys = [*by, range_col]
     inside = Window.partitionBy(*keys).orderBy(direction(order))
     across = Window.partitionBy(*by).orderBy(direction(range_col))
     pick_first, pick_last = (F.max_by, F.min_by) if descending else (F.min_by, F.max_by)

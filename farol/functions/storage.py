@@ -27,8 +27,11 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/farol/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Write the table once and read it back: later jobs start from files, also after an executor is lost."""
+def written(df: DataFrame, name: str, part: str | None = None) -> DataFrame:
+    """Write the table once and read it back: later jobs start from files, also after an executor is lost.
+
+    With `part` the files are kept apart by that column, so a filter on it reads only its own files.
+    """
     path = fresh_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    df.write.parquet(path, partitionBy=part)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

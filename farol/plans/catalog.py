@@ -79,7 +79,7 @@ def fit_logistic(df: DataFrame, params: Mapping, counts: Mapping[int, int], seed
     """M1: the weights sum to the number of rows, so an inverse strength C over summed losses is 1 / (C n) over mean losses."""
     regularisation = 1.0 / (params.get("C", 1.0) * sum(counts.values()))
     return LogisticRegression(regParam=regularisation, elasticNetParam=0.0, standardization=False, weightCol="weight", maxIter=500,
-                              tol=1e-8).fit(with_weights(df, counts, params.get("class_weight") == "balanced"))
+                              tol=1e-7).fit(with_weights(df, counts, params.get("class_weight") == "balanced"))
 
 
 def fit_tree(df: DataFrame, params: Mapping, counts: Mapping[int, int], seed: int) -> Model:

@@ -42,7 +42,7 @@ def train_triage(cases: DataFrame, output: str, families: Sequence[Family] = FAM
     numeric, categorical = infer_roles(cases, [id_col, label])
     roles = T.Roles(numeric, categorical)
     target = with_target(check_labels(cases, label), label, name="label").withColumn("label", F.col("label").cast("int"))
-    parts = written(stratified_split(target.withColumnRenamed(id_col, "id"), "label", seed=seed), "cases")
+    parts = written(stratified_split(target.withColumnRenamed(id_col, "id"), "label", seed=seed), "cases", "split")
 
     findings = A.audit(parts.drop("label", "split"), "id", label).first().asDict(recursive=True)
     write_manifest(spark, findings, f"{output}/01_audit")

@@ -26,9 +26,9 @@ ROLES = P.Roles(["total", "n_lines", "qty_sum", "price_max", "qty_min"], ["prior
 
 
 def parts(spark, sf):
-    """The cases with label and split, written once: several fits read them."""
+    """The cases with label and split; the view is written once, as finding the split and several fits read it."""
     c = views.cases(spark, sf).withColumn("label", (F.col("diagnosis") == "M").cast("int")).select("id", "label", "diagnosis", *ROLES.features)
-    return written(T.stratified_split(c, "label"), "parts")
+    return T.stratified_split(written(c, "cases"), "label")
 
 
 def _fit(table, key, **params):

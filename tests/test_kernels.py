@@ -11,6 +11,7 @@ from farol.functions.columns import half_even
 from farol.functions.keys import keyed_int
 from farol.functions.moments import correlation_of, pair_moments
 from farol.functions.quantiles import bracketed_quantiles, quantile_name, quantile_rows
+from farol.functions import running
 from farol.functions.running import average_rank, balanced_edges, next_in_order, running_sums, with_range
 from farol.functions.strata import cut_keys, largest_remainder, with_slices
 
@@ -42,7 +43,7 @@ def test_running_sums(spark, descending, edges):
     x = hot(rng, 600)
     pdf = pd.DataFrame({"g": rng.choice(["a", "b"], len(x)), "x": x, "v": rng.integers(0, 5, len(x))}).groupby(["g", "x"], as_index=False).sum()
     df = spark.createDataFrame(pdf)
-    points = with_range(df, "x", balanced_edges(df, "x", 16) if edges == "balanced" else edges)
+    points = with_range(df, "x", balanced_edges(df, "x", 16, 0) if edges == "balanced" else edges)
     got = running_sums(points, ["g"], "x", ["v"], descending=descending).toPandas().sort_values(["g", "x"]).reset_index(drop=True)
     want = pdf.sort_values(["g", "x"], ascending=[True, not descending])
     want["run_v"] = want.groupby("g")["v"].cumsum()
@@ -51,9 +52,10 @@ def test_running_sums(spark, descending, edges):
     assert got["all_v"].tolist() == want.groupby("g")["v"].transform("sum").tolist()
 
 
-def test_neighbours_in_order_cross_range_borders(spark):
+@pytest.mark.parametrize("edges", [[], [0.2, 0.21, 0.5, 0.9]])
+def test_neighbours_in_order_cross_range_borders(spark, edges):
     x = np.arange(1, 30) / 30
-    df = with_range(table(spark, g=["a"] * 29, x=x, v=range(29)), "x", [0.2, 0.21, 0.5, 0.9])
+    df = with_range(table(spark, g=["a"] * 29, x=x, v=range(29)), "x", edges)
     got = next_in_order(df, ["g"], "x", ["v"]).orderBy(F.desc("x")).toPandas()
     assert got["next_v"].tolist()[:-1] == list(range(27, -1, -1)) and np.isnan(got["next_v"].tolist()[-1])
     assert got["prev_x"].tolist()[1:] == sorted(x, reverse=True)[:-1]
@@ -62,11 +64,14 @@ def test_neighbours_in_order_cross_range_borders(spark):
 def test_balanced_edges_bound_every_range(spark):
     x = hot(np.random.default_rng(3), 6000)
     df = table(spark, x=x)
-    distinct = with_range(df, "x", balanced_edges(df, "x", 32)).groupBy("__range").agg(F.count_distinct("x").alias("n"))
+    distinct = with_range(df, "x", balanced_edges(df, "x", 32, 0)).groupBy("__range").agg(F.count_distinct("x").alias("n"))
     assert distinct.agg(F.max("n")).first()[0] < 6000 / 32 * 3
 
 
-def test_average_rank(spark):
+@pytest.mark.parametrize("few_rows", [0, 10**6])
+def test_average_rank(spark, few_rows, monkeypatch):
+    monkeypatch.setattr(running, "FEW_ROWS", few_rows)
+    monkeypatch.setattr(running.balanced_edges, "__defaults__", (None, few_rows))
     x = hot(np.random.default_rng(4), 300)
     pdf = pd.DataFrame({"g": "a", "x": x})
     points = spark.createDataFrame(pdf).groupBy("g", "x").agg(F.count(F.lit(1)).alias("n"))
