@@ -13,6 +13,7 @@ from farol.functions.moments import correlation_of, pair_moments
 from farol.functions.running import average_rank
 
 FEW_COLUMNS = 8
+HOT_SHARE = 1000
 
 
 def _named(pairs: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -63,6 +64,16 @@ def _rank_partners(wide: DataFrame, p: int) -> dict[tuple[int, int], int | None]
     return out
 
 
+def _join_ranks(long: DataFrame, ranks: DataFrame, rows: int) -> DataFrame:
+    """Give every cell its rank. Values held by a thousandth of the rows or more, at most a thousand per context, are
+    looked up by broadcast, so that a value very many rows share does not gather them in one task; the others are joined by shuffle."""
+    keys, often = ["context", "value"], max(2, rows // HOT_SHARE)
+    hot = F.broadcast(ranks.where(F.col("n") >= often).drop("n"))
+    found = long.join(hot, keys)
+    others = long.join(hot.select(*keys), keys, "left_anti").join(ranks.where(F.col("n") < often).drop("n"), keys)
+    return found.unionByName(others)
+
+
 def _spearman_pairs(df: DataFrame, columns: list[str], id_col: str) -> DataFrame:
     """Rank correlation over pairwise complete rows; `id_col` must be unique.
 
@@ -84,8 +95,8 @@ def _spearman_pairs(df: DataFrame, columns: list[str], id_col: str) -> DataFrame
     cells = F.explode(F.array(*[cell(i, p) for i, p in ranked_as])).alias("cell")
     long = wide.select("__id", cells).select("__id", "cell.*").where("value IS NOT NULL")
     points = long.groupBy("context", "value").agg(F.count(F.lit(1)).alias("n"))
-    ranks = average_rank(points, ["context"], "value", "n").drop("n")
-    back = long.join(ranks, ["context", "value"]).groupBy("__id").agg(
+    ranks = average_rank(points, ["context"], "value", "n")
+    back = _join_ranks(long, ranks, wide.count()).groupBy("__id").agg(
         *[F.max(F.when(F.col("context") == k, F.col("rank"))).alias(f"k{k}") for k in range(len(ranked_as))])
     wanted = [(ranked_as[(i, partner_of[(i, j)])], ranked_as[(j, partner_of[(j, i)])], i, j)
               for i in range(len(columns)) for j in range(i, len(columns))]

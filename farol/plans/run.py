@@ -17,6 +17,7 @@ from farol.operators import audit as A
 from farol.operators import correlate as C
 from farol.operators import describe as D
 from farol.operators import explain as E
+from farol.operators import explore as X
 from farol.operators import metrics as M
 from farol.operators import threshold as H
 from farol.operators.normalize import check_labels, sample_rows, split_truth, with_target
@@ -30,11 +31,11 @@ from farol.sources.tables import read_cases, write_manifest, write_metrics, writ
 
 def train_triage(cases: DataFrame, output: str, families: Sequence[Family] = FAMILIES, target_recall: float = words.TARGET_RECALL,
                  k: int = words.FOLDS, seed: int = words.SEED, quick: bool = False, repeats: int = 20, shapley: bool = True,
-                 learning: bool = True, id_col: str = words.ID_COLUMN, label: str = words.LABEL_COLUMN, parallelism: int = 4) -> dict:
+                 learning: bool = True, figures: bool = True, id_col: str = words.ID_COLUMN, label: str = words.LABEL_COLUMN, parallelism: int = 4) -> dict:
     """From a normalised case table to a saved model, with all result tables under `output`. Returns the manifest.
 
     The table is written once with its target and split; every later step reads that file. The test
-    rows are used only after model and threshold are fixed.
+    rows are used only after model and threshold are fixed. `figures` writes the tables behind the figures.
     """
     spark, started = cases.sparkSession, time.perf_counter()
     manifest: dict = {"executado_em": datetime.now(timezone.utc).isoformat(timespec="seconds"), "semente": seed,
@@ -59,6 +60,15 @@ def train_triage(cases: DataFrame, output: str, families: Sequence[Family] = FAM
     write_metrics(summary, f"{output}/06_split", "split")
     manifest["particoes"] = [r.asDict() for r in summary.collect()]
 
+    if figures:
+        shown = top or numeric
+        write_metrics(D.class_balance(parts, label), f"{output}/figures/class_balance", "class")
+        write_metrics(D.scale_and_skew(parts, numeric), f"{output}/figures/scale_and_skew", "feature")
+        write_metrics(X.density_histogram(parts, shown, label), f"{output}/figures/histograms", "feature")
+        write_metrics(X.density_curve(parts, shown, label), f"{output}/figures/densities", "feature")
+        write_metrics(X.box_table(parts, shown, label), f"{output}/figures/boxes", "feature")
+        write_metrics(C.lower_triangle(C.correlation_matrix(parts, numeric)), f"{output}/figures/correlation")
+
     train, validation, test = (parts.where(F.col("split") == s) for s in ("train", "val", "test"))
     trained = T.train_all(train, roles, families, k, seed, quick, parallelism)
     best = None
@@ -93,6 +103,13 @@ def train_triage(cases: DataFrame, output: str, families: Sequence[Family] = FAM
     rows = {r["threshold"]: r.asDict() for r in clinical.collect()}
     manifest["teste"] = {"campeao": champion.family.label, "limiar_padrao_0.50": rows[words.DEFAULT_THRESHOLD], "limiar_clinico": rows[threshold],
                          "faixas_triagem": bands, "n_erros_limiar_clinico": rows[threshold]["fp"] + rows[threshold]["fn"]}
+    if figures:
+        write_report(M.roc_curve(on_validation), f"{output}/figures/roc")
+        write_report(M.pr_curve(on_validation), f"{output}/figures/precision_recall")
+        write_metrics(M.model_comparison(M.metrics_table(validation_metrics)), f"{output}/figures/comparison")
+        write_metrics(M.confusion_matrix(tested, threshold), f"{output}/figures/confusion")
+        write_metrics(M.score_histogram(tested), f"{output}/figures/scores")
+        write_metrics(M.calibration_curve(tested), f"{output}/figures/calibration")
     if learning:
         write_metrics(T.learning_curve(parts, roles, champion.family, champion.params, k, seed, parallelism=parallelism), f"{output}/16_learning_curve")
 

@@ -185,6 +185,8 @@ def test_whole_run_and_batch_scoring(spark, planted, tmp_path):
     cases = planted.drop("label", "split")
     manifest = run.train_triage(cases, str(tmp_path / "out"), families, target_recall=0.9, k=2, repeats=1, learning=False)
     assert manifest["limiar"]["recall_validacao"] >= 0.9
+    for name in ("class_balance", "histograms", "boxes", "roc", "calibration"):
+        assert spark.read.csv(str(tmp_path / "out" / "figures" / name), header=True).count() > 0
     assert sum(manifest["teste"]["faixas_triagem"].values()) == manifest["teste"]["limiar_clinico"]["n"] == 180
     planted.select("id", "diagnosis", *ROLES.features).write.csv(str(tmp_path / "new"), header=True)
     report = run.score_file(spark, str(tmp_path / "out" / "model"), str(tmp_path / "new"), str(tmp_path / "report"))
