@@ -3,10 +3,10 @@
 Known are some toxic texts; all others are unlabelled, toxic ones among them. With p the share of toxic texts, the risk of a
 classifier over the clean ones is the unlabelled risk less p times the positive risk on the other side; where that estimate
 falls below zero, the step goes the other way, so that the model can't gain from fitting the toxic texts hidden in the
-unlabelled ones. The model is linear over the presence of hashed character 5-grams; it is fitted by numpy on the driver
+unlabelled ones. The model is linear over the presence of hashed words; it is fitted by numpy on the driver
 on at most POSITIVE + UNLABELLED texts, and every row is scored over its whole text.
 
-A null or empty text has no n-gram and gets the score of the intercept. Without a toxic example all scores are 0.
+A null or empty text has no word and gets the score of the intercept. Without a toxic example all scores are 0.
 """
 
 from __future__ import annotations
@@ -19,14 +19,35 @@ from pyspark.sql import functions as F
 
 from farol.llm import kit
 
-#: Bounds of the sample that the model is fitted on, n-gram length, bits of a bucket, n-grams that get a weight.
-POSITIVE, UNLABELLED, LENGTH, BITS, FEATURES = 1500, 3000, 5, 18, 4096
-STEPS, RATE, DECAY = 400, 0.05, 1e-3
+#: Bounds of the sample that the model is fitted on, bits of a bucket, words that get a weight.
+POSITIVE, UNLABELLED, BITS, FEATURES = 1500, 4000, 18, 4096
+#: Share of the toxic texts that must hold a word.
+SUPPORT = 0.012
+STEPS, RATE, DECAY = 1500, 0.05, 1e-3
+
+
+#: Code points below U+0100 that are part of a word; above, all are but general and ideographic punctuation.
+_POWERS = np.cumprod(np.full(256, 0x9E3779B1, np.uint32), dtype=np.uint32)
+_WORD = np.array([chr(i).isalnum() for i in range(256)])
 
 
 def grams(text: str | None) -> np.ndarray:
-    """The distinct buckets of a text's 5-grams, lower-cased, with a blank at either end."""
-    return np.unique(kit.gram_buckets(kit.code_points(f" {text.lower()} "), LENGTH, BITS)) if text else np.empty(0, np.uint32)
+    """The distinct buckets of a text's lower-cased words."""
+    if not text:
+        return np.empty(0, np.uint32)
+    codes = kit.code_points(f" {text.lower()} ")
+    inside = np.where(codes < 256, _WORD[np.minimum(codes, 255)], ((codes < 0x2000) | (codes > 0x206F)) & ((codes < 0x3000) | (codes > 0x303F)))
+    starts = np.flatnonzero(~inside[:-1] & inside[1:]) + 1
+    if not len(starts):
+        return np.empty(0, np.uint32)
+    ends = np.flatnonzero(inside[:-1] & ~inside[1:]) + 1
+    # A polynomial in the place within the word; what lies between two words weighs nothing.
+    place = np.zeros(len(codes), np.int64)
+    place[starts] = np.diff(np.append(0, starts))
+    place = np.arange(len(codes)) - np.cumsum(place)
+    h = np.add.reduceat(np.where(inside, codes * _POWERS[place & 255], np.uint32(0)), starts, dtype=np.uint32)
+    h = (h ^ (h >> np.uint32(15))) * np.uint32(0x85EBCA6B) + (ends - starts).astype(np.uint32)
+    return np.unique((h ^ (h >> np.uint32(13))) * np.uint32(0xC2B2AE35) >> np.uint32(32 - BITS))
 
 
 @dataclass
@@ -46,20 +67,38 @@ def _sigmoid(z):
 
 
 def sets_of(texts: DataFrame) -> list[np.ndarray]:
-    """The n-gram sets of a bounded sample of texts, at most 2**BITS numbers each."""
+    """The word sets of a bounded sample of texts, at most 2**BITS numbers each."""
     rows = kit.map_rows(texts.select("text"), "grams binary", lambda: lambda c: [[grams(t).astype(np.uint32).tobytes() for t in c[0]]])
     return [np.frombuffer(r["grams"], np.uint32) for r in rows.toLocalIterator()]
 
 
+def _unlike(sets: list[np.ndarray]) -> list[np.ndarray]:
+    """The sets without those that share half of an 8-part minimum sketch with an earlier one: copies would make chance words look typical."""
+    if not sets:
+        return sets
+    seeds = (np.arange(8, dtype=np.uint32) * np.uint32(0x9E3779B1)) | np.uint32(1)
+    sketch = np.array([[((s ^ k) * np.uint32(0x85EBCA6B)).min() for k in seeds] if len(s) else [0] * 8 for s in sets])
+    kept = np.empty(0, np.int64)
+    for i, row in enumerate(sketch):
+        if not (len(kept) and ((sketch[kept] == row).sum(axis=1) >= 4).any()):
+            kept = np.append(kept, i)
+    return [sets[i] for i in kept]
+
+
 def fit_sets(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float) -> Model:
-    """Choose the n-grams by how much more often toxic texts hold them, then minimise the non-negative risk by Adam."""
+    """Choose the words by how much more often toxic texts hold them, then minimise the non-negative risk by Adam."""
+    positive, unlabelled = _unlike(positive), _unlike(unlabelled)
     size = 1 << BITS
     count = lambda sets: np.bincount(np.concatenate([np.empty(0, np.int64), *sets]).astype(np.int64), minlength=size)
     p, u = count(positive), count(unlabelled)
-    a, b = (p + 0.5) / (len(positive) + 1), (u + 0.5) / (len(unlabelled) + 1)
-    # Far more toxic texts hold it than chance would give them.
-    expected = b * len(positive)
-    gain = np.where((p >= 3) & (a > 3 * b) & (p - expected > 5 * np.sqrt(expected + 0.25)), p * np.log(a / b), 0.0)
+    a, b = p / max(1, len(positive)), u / max(1, len(unlabelled))
+    # In clean texts a word is as frequent as the unlabelled ones leave over: it has to be rare there, and its surplus in toxic
+    # texts (a Poisson likelihood ratio) beyond what chance gives to any of the words tested.
+    clean = np.maximum(b - prior * a, 0.0) / (1.0 - prior) + 1.0 / (len(unlabelled) + 1)
+    chance = (b + 1.0 / (len(unlabelled) + 1)) * len(positive)
+    surplus = p * np.log(np.maximum(p, 1) / chance) - (p - chance)
+    tested = p >= max(3, SUPPORT * len(positive))
+    gain = np.where(tested & (a > 5 * clean) & (surplus > np.log(max(1, tested.sum())) + 3), surplus, 0.0)
     chosen = np.sort(np.argsort(-gain, kind="stable")[:FEATURES])
     chosen = chosen[gain[chosen] > 0].astype(np.uint32)
     sets = [*positive, *unlabelled]
