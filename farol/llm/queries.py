@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farol.llm import bpe, chat, kit, langid, simhash, toxicity, urlfilter
+from farol.llm import ann, bpe, chat, kit, langid, licenses, simhash, suffixes, toxicity, urlfilter
 from farol.queries.registry import Query
 
 QUERIES: dict[str, Query] = {}
@@ -76,3 +76,26 @@ def toxic_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_url_filter")
 def url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.verdicts(table(spark, sf_dir, "pages"))
+
+
+@query("op3_nearest_neighbours")
+def nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return ann.nearest(vectors, vectors.where(F.pmod("vec_id", F.lit(20)) == 0), k=20)
+
+
+def as_files(docs: DataFrame) -> DataFrame:
+    """Documents as files of a tree: a folder per source, in it folders of a thousand ids; every 50th document is its folder's LICENSE."""
+    name = F.when(F.pmod("doc_id", F.lit(50)) == 0, "LICENSE").otherwise(F.concat(F.lit("f"), F.col("doc_id").cast("string")))
+    folder = F.concat(F.lit("d"), F.floor(F.col("doc_id") / 1000).cast("string"))
+    return docs.select("doc_id", "text", F.concat_ws("/", "source", folder, name).alias("path"))
+
+
+@query("op10_license_scan")
+def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(as_files(table(spark, sf_dir, "documents")))
+
+
+@query("op1_suffix_dedup")
+def suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.dedup(table(spark, sf_dir, "documents"), window=200)

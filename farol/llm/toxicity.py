@@ -23,7 +23,7 @@ from farol.llm import kit
 POSITIVE, UNLABELLED, BITS, FEATURES = 1500, 4000, 18, 4096
 #: Share of the toxic texts that must hold a word.
 SUPPORT = 0.012
-STEPS, RATE, DECAY = 1500, 0.05, 1e-3
+STEPS, RATE, DECAY = 450, 0.05, 1e-3
 
 
 #: Code points below U+0100 that are part of a word; above, all are but general and ideographic punctuation.
