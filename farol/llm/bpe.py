@@ -214,8 +214,8 @@ def vocabulary_text(path: str) -> str:
         return f.read()
 
 
-def encode_decode(docs: DataFrame, vocabulary: str, texts: bool = False) -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256) per row; with `texts` also ids array<int> and decoded.
+def encode_decode(docs: DataFrame, vocabulary: str, outputs: bool = False) -> DataFrame:
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256) per row; with `outputs` also ids, 32-bit little-endian, and the decoded text.
 
     `vocabulary` is the text of a tokenizer file. Rows are independent: null and repeated ids stay as they are.
     """
@@ -228,24 +228,22 @@ def encode_decode(docs: DataFrame, vocabulary: str, texts: bool = False) -> Data
         if "encoder" not in state:
             state["encoder"] = Encoder(Merges(state["vocabulary"]))
         encoder: Encoder = state["encoder"]
-        m = encoder.merges
 
         def one(text: str | None):
-            decoder, seen, said, n, kept, words = Decoder(m), hashlib.sha256(), hashlib.sha256(), 0, array("I"), []
+            decoder, seen, said, n, kept, plain = Decoder(encoder.merges), hashlib.sha256(), hashlib.sha256(), 0, [], []
             for part in encoder.encode(text or ""):
                 seen.update(part)
-                ids = array("I", part)
-                n += len(ids)
-                plain = decoder.feed(ids)
-                said.update(plain.encode())
-                if texts:
-                    kept.extend(ids)
-                    words.append(plain)
+                n += len(part) // 4
+                words = decoder.feed(array("I", part))
+                said.update(words.encode())
+                if outputs:
+                    kept.append(part)
+                    plain.append(words)
             last = decoder.end()
             said.update(last.encode())
-            return (n, seen.hexdigest(), said.hexdigest(), *([kept.tolist(), "".join(words) + last] if texts else []))
+            return (n, seen.hexdigest(), said.hexdigest(), *([b"".join(kept), "".join(plain) + last] if outputs else []))
 
         return lambda c: [c[0], *map(list, zip(*map(one, c[1])))]
 
-    schema = f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ", ids array<int>, decoded string" * texts
+    schema = f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ", ids binary, decoded string" * outputs
     return kit.map_rows(docs.select("doc_id", "text"), schema, make, 256)

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farol.llm import ann, bpe, chat, kit, langid, licenses, simhash, suffixes, toxicity, urlfilter
+from farol.llm import ann, bpe, chat, decontam, kit, langid, licenses, simhash, suffixes, toxicity, urlfilter
 from farol.queries.registry import Query
 
 QUERIES: dict[str, Query] = {}
@@ -99,3 +99,8 @@ def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_suffix_dedup")
 def suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.dedup(table(spark, sf_dir, "documents"), window=200)
+
+
+@query("op7_decontamination")
+def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

@@ -11,13 +11,14 @@ fingerprint before any bucket is made, and a bucket returns a spanning forest of
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import partial
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from farol.functions.storage import written
 from farol.llm import kit
@@ -75,66 +76,133 @@ def masks(radius: int, bits: int = 64) -> list[int]:
     return [m - (1 << bits) if m >> (bits - 1) else m for m in out]
 
 
-def forest(fps: np.ndarray, radius: int) -> list[tuple[int, int]]:
-    """Links that connect what is within the radius: each found set of neighbours hangs under the one that found it."""
-    unseen, links = np.sort(fps), []
+def forest(nodes: np.ndarray, fps: np.ndarray, view: int, radius: int, total: int) -> list[tuple[int, int]]:
+    """Links that connect what is near: each found set of neighbours hangs under the one that found it.
+
+    Near means `radius` bits in one view and `total` bits in all of them; fps has a row per node, a column per view.
+    """
+    links, front, unseen = [], [0], np.arange(1, len(nodes))
     while len(unseen):
-        front, unseen = [unseen[0]], unseen[1:]
-        while front and len(unseen):
-            x = front.pop()
-            near = np.bitwise_count((unseen ^ x).view(np.uint64)) <= radius
-            if near.any():
-                found, unseen = unseen[near], unseen[~near]
-                links += [(int(x), int(y)) for y in found]
-                front += list(found)
+        if not front:
+            front, unseen = [unseen[0]], unseen[1:]
+        x = front.pop()
+        off = np.bitwise_count((fps[unseen] ^ fps[x]).view(np.uint64))
+        near = (off[:, view] <= radius) & (off.sum(axis=1) <= total)
+        if near.any():
+            found, unseen = unseen[near], unseen[~near]
+            links += [(int(nodes[x]), int(nodes[y])) for y in found]
+            front += list(found)
     return links
 
 
-def _bucket_links(members: DataFrame, radius: int) -> DataFrame:
-    """(bucket, fp) with at most BUCKET members a bucket -> (a, b)."""
-    groups = members.groupBy("bucket").agg(F.collect_list("fp").alias("fps")).select("fps")
-
-    def work(columns):
-        links = [x for fps in columns[0] for x in forest(np.array(fps, np.int64), radius)]
-        return [[a for a, _ in links], [b for _, b in links]]
-
-    return kit.map_rows(groups, "a bigint, b bigint", lambda: work)
+def _bucket_links(rows: DataFrame, radius: int, total: int, most: int) -> DataFrame:
+    """(bucket, view, node, fp) -> (a, b, bucket). A task streams its buckets and holds one at a time; what exceeds `most` members
+    is passed on as rows without a partner, for the bucket to be taken apart."""
+    dealt = rows.select("bucket", "view", "node", "fp").repartition("bucket").sortWithinPartitions("bucket")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        name, view, held, nodes, fps = None, 0, 0, [], []
+        out: tuple[list, list, list] = ([], [], [])
+
+        def close():
+            if held > 1:
+                for a, b in forest(np.concatenate(nodes), np.concatenate(fps), view, radius, total):
+                    for c, v in zip(out, (a, b, name)):
+                        c.append(v)
+
+        def ready():
+            batch = pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], names=["a", "b", "bucket"])
+            for c in out:
+                c.clear()
+            return batch
+
+        for batch in batches:
+            b, v, n = (batch.column(i).to_numpy() for i in range(3))
+            f = batch.column(3).flatten().to_numpy().reshape(len(b), -1)
+            cuts = np.flatnonzero(np.diff(b)) + 1
+            for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), len(b)]):
+                if b[lo] != name:
+                    close()
+                    name, view, held, nodes, fps = int(b[lo]), int(v[lo]), 0, [], []
+                fit = min(hi, lo + most - held)
+                if fit > lo:
+                    nodes.append(n[lo:fit])
+                    fps.append(f[lo:fit])
+                    held += fit - lo
+                for k in range(max(lo, fit), hi):
+                    for c, x in zip(out, (int(n[k]), None, name)):
+                        c.append(x)
+            if out[0]:
+                yield ready()
+        close()
+        if out[0]:
+            yield ready()
+
+    return dealt.mapInArrow(run, "a bigint, b bigint, bucket bigint")
 
 
 def _flips(fps: DataFrame) -> DataFrame:
     """Links within two bits of any number of fingerprints: both are one flip or less from a common value, and whatever shares such
     a value is within two bits. Each value keeps its smallest fingerprint, so 65 rows a fingerprint are all there is."""
-    values = [F.col("fp"), *[F.col("fp").bitwiseXOR(F.lit((1 << i) if i < 63 else -(1 << 63))) for i in range(64)]]
-    near = fps.select("fp", F.explode(F.array(*values)).alias("value"))
-    low = near.groupBy("value").agg(F.min("fp").alias("a"), F.max("fp").alias("z")).where("a <> z")
-    return near.join(low, "value").where("fp <> a").select("a", F.col("fp").alias("b"))
-
-
-def _block_pairs(members: DataFrame, sizes: DataFrame, radius: int) -> DataFrame:
-    """Buckets beyond BUCKET for a radius over two: fingerprints are dealt into blocks and every two blocks meet in one task."""
-    dealt = members.join(sizes.select("bucket", F.ceil(F.col("n") / (BUCKET // 2)).cast("int").alias("blocks")), "bucket").withColumn(
-        "block", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
-    met = dealt.select(F.explode(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(
-        F.least("block", o).alias("i"), F.greatest("block", o).alias("j")))).alias("pair"), "bucket", "fp")
-    return _bucket_links(met.select(F.xxhash64("bucket", "pair.i", "pair.j").alias("bucket"), "fp"), radius)
-
-
-def links(fps: DataFrame, radius: int, bucket: int | None = None) -> DataFrame:
-    """(fp) distinct -> (a, b): links within the radius that connect all that is connected."""
-    bucket = bucket or BUCKET
-    tables = F.array(*[F.xxhash64(F.lit(t), F.col("fp").bitwiseAND(F.lit(m))) for t, m in enumerate(masks(radius))])
-    rows = fps.select("fp", F.explode(tables).alias("bucket"))
-    sizes = written(rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b")).where("n > 1"), "buckets")
-    pairs = sizes.where("n = 2").where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius).select("a", "b")
-    members = rows.join(sizes.where(f"n BETWEEN 3 AND {bucket}").select("bucket"), "bucket")
-    out = pairs.unionByName(_bucket_links(members, radius))
-    large = sizes.where(F.col("n") > bucket)
-    if not large.isEmpty():
-        hot = rows.join(large.select("bucket"), "bucket")
-        out = out.unionByName(_flips(hot.select("fp").distinct()) if radius <= 2 else _block_pairs(hot, large, radius))
+    values = [F.col("node"), *[F.col("node").bitwiseXOR(F.lit((1 << i) if i < 63 else -(1 << 63))) for i in range(64)]]
+    near = fps.select("node", F.explode(F.array(*values)).alias("value"))
+    low = near.groupBy("value").agg(F.min("node").alias("a"), F.max("node").alias("z")).where("a <> z")
+    return near.join(low, "value").where("node <> a").select("a", F.col("node").alias("b"))
+
+
+def _block_pairs(members: DataFrame, radius: int, total: int, most: int) -> DataFrame:
+    """Buckets beyond `most`, in general: members are dealt into blocks by hash and every two blocks of a bucket meet in one task."""
+    sizes = members.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / F.lit(max(1, most // 4))).cast("int").alias("blocks"))
+    dealt = members.join(sizes, "bucket").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    met = dealt.select("view", "node", "fp", F.explode(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.xxhash64(
+        "bucket", F.least("block", o), F.greatest("block", o)))).alias("bucket"))
+    return _bucket_links(met, radius, total, 1 << 31)
+
+
+def links(nodes: DataFrame, radius: int, views: int = 1, total: int = 64, most: int | None = None) -> DataFrame:
+    """(node, fp array) distinct -> (a, b): links that connect all that is connected by pairs within the radius in some view.
+
+    With one view and a radius up to 2 the node has to be the fingerprint itself.
+    """
+    most = most or BUCKET
+    tables = [F.struct(F.lit(v).alias("view"), F.xxhash64(F.lit(v), F.lit(t), F.col("fp")[v].bitwiseAND(F.lit(m))).alias("bucket"))
+              for v in range(views) for t, m in enumerate(masks(radius))]
+    rows = nodes.select("node", "fp", F.explode(F.array(*tables)).alias("t")).select("t.bucket", "t.view", "node", "fp")
+    found = written(_bucket_links(rows, radius, total, most), "bucket-links")
+    out, crowded = found.where("b IS NOT NULL").select("a", "b"), found.where("b IS NULL").select("bucket").distinct()
+    if not crowded.isEmpty():
+        hot = rows.join(crowded, "bucket", "left_semi")
+        out = out.unionByName(_flips(hot.select("node").distinct()) if views == 1 and radius <= 2 else
+                              _block_pairs(hot, radius, total, most).select("a", "b"))
     return out.distinct()
 
 
+def reach(similarity: float, bits: int) -> int:
+    """Bits in which shingle sets of that Jaccard similarity differ: the angle's share of all bits and one deviation."""
+    share = np.arccos(2 * similarity / (1 + similarity)) / np.pi
+    return int(np.ceil(bits * share + np.sqrt(bits * share * (1 - share))))
+
+
+def one_of_each(docs: DataFrame, words: int = 5, similarity: float = 0.8, radius: int = 5, views: int = 2, most: int | None = None) -> DataFrame:
+    """The documents without near copies: of each group the row with the smallest doc_id stays, of repeated rows one.
+
+    Two texts are linked if the fingerprints of one of `views` independent sets of hashes differ in at most `radius` bits, and all views
+    together in no more bits than shingle sets of that similarity do. Covering makes the first test complete; each further view
+    gives a pair another chance to pass it. Null texts count as empty ones; a null doc_id is the smallest.
+    """
+    sha = F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")), 256)
+    tagged = docs.withColumn("__key", F.xxhash64("doc_id", sha))
+    ids = tagged.select(F.col("__key").alias("doc_id"), "text")
+    own = written(fingerprints(ids, words, views).select(F.col("doc_id").alias("key"), "fp", F.xxhash64("fp").alias("node")), "fingerprints")
+    named = tagged.select(F.col("__key").alias("key"), "doc_id").distinct()
+    nodes = own.groupBy("node", "fp").agg(F.count(F.lit(1)).alias("n")).select("node", "fp")
+    roots = kit.components(links(nodes, radius, views, reach(similarity, 64 * views), most))
+    grouped = own.select("key", "node").distinct().join(roots, "node", "left").select("key", F.coalesce("root", "node").alias("root"))
+    first = grouped.join(named, "key").groupBy("root").agg(F.min(F.struct("doc_id", "key")).alias("m")).select(F.col("m.key").alias("__key"))
+    kept = tagged.join(first, "__key")
+    return kept.dropDuplicates(["__key"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 def near_duplicates(docs: DataFrame, words: int = 3, radius: int = 2, bucket: int | None = None) -> DataFrame:
     """(doc_id, fingerprint, component_id): component_id is the smallest doc_id reachable over links within the radius.
 
@@ -143,7 +211,7 @@ def near_duplicates(docs: DataFrame, words: int = 3, radius: int = 2, bucket: in
     """
     each = written(fingerprints(docs, words).select("doc_id", F.col("fp")[0].alias("fp")), "fingerprints")
     first = written(each.groupBy("fp").agg(F.min("doc_id").alias("low")), "distinct-fingerprints")
-    roots = kit.components(links(first.select("fp"), radius, bucket))
+    roots = kit.components(links(first.select(F.col("fp").alias("node"), F.array("fp").alias("fp")), radius, most=bucket))
     rooted = first.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
     low = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
     return each.join(rooted.join(low, "root").select("fp", "component_id"), "fp").select(

@@ -284,3 +284,15 @@ def dedup(docs: DataFrame, window: int = 200, crowd: int | None = None) -> DataF
     return narrow.join(cut, "tid", "left").select(
         "doc_id", "n_bytes", F.coalesce("n_removed", zero).alias("n_removed"), F.coalesce("n_spans", zero).alias("n_spans"),
         F.coalesce("kept_sha256", "sha256").alias("kept_sha256"))
+
+
+def without_repeats(docs: DataFrame, window: int = 200) -> DataFrame:
+    """The documents with repeated strings cut out of `text`, all columns kept; a column n_chars counts the new text. Null texts stay null."""
+    rows = keyed(docs.select("doc_id", "text"))
+    cut = cut_repeats(rows, window, texts=True).select(F.col("tid").alias("__tid"), F.col("kept").alias("__kept"))
+    sha = F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")), 256)
+    joined = docs.withColumn("__tid", text_key(sha)).join(cut, "__tid", "left")
+    new = {"text": F.coalesce("__kept", "text")}
+    if "n_chars" in docs.columns:
+        new["n_chars"] = F.when(F.col("__kept").isNotNull(), F.char_length("__kept")).otherwise(F.col("n_chars"))
+    return joined.select(*[new[c].cast(docs.schema[c].dataType).alias(c) if c in new else F.col(f"`{c}`") for c in docs.columns])

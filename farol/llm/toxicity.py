@@ -11,9 +11,11 @@ A null or empty text has no word and gets the score of the intercept. Without a
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -151,3 +153,16 @@ def score(docs: DataFrame, model: Model | None, keep: list[Column] = (), thresho
         return work
 
     return kit.map_rows(inner, f"{head}, score double, predicted int", make)
+
+
+def accepted(docs: DataFrame, model: Model | None, threshold: float = 0.7) -> DataFrame:
+    """The documents below the threshold, all columns as they are."""
+    shared = docs.sparkSession.sparkContext.broadcast((model.buckets, model.weights, model.bias) if model else None)
+
+    @F.pandas_udf("boolean")
+    def fine(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        one = Model(*shared.value).scorer() if shared.value else lambda text: 0.0
+        for texts in parts:
+            yield texts.map(lambda t: one(t) < threshold if isinstance(t, str) else one(None) < threshold).astype(bool)
+
+    return docs.where(fine(F.col("text")))
