@@ -214,8 +214,9 @@ def repeats(rows: DataFrame, window: int = 200, crowd: int | None = None) -> Dat
     every = written(zone_rows(rows, window), "zones")
     anchors = every.groupBy("anchor").agg(F.count(F.lit(1)).alias("c"), F.min("zone").alias("z"), F.max("zone").alias("y")).where("c > 1").select(
         "anchor", (F.col("z") == F.col("y")).alias("alike"))
-    # Places of candidate zones, once per distinct text.
-    places = written(every.join(anchors, "anchor").groupBy("anchor", "zone", "tid", "at", "n", "alike").agg(F.count(F.lit(1)).alias("c")), "places")
+    # Places of candidate zones, once per distinct text. Written before they are grouped: a common anchor's join can then be split.
+    candidates = written(every.join(anchors, "anchor"), "candidates")
+    places = written(candidates.groupBy("anchor", "zone", "tid", "at", "n", "alike").agg(F.count(F.lit(1)).alias("c")), "places")
     differing = written(places.where("NOT alike").groupBy("anchor", "zone").agg(
         F.sum("c").alias("c"), F.min(F.struct("tid", "at", "n")).alias("p")).select("anchor", "zone", "c", "p.*"), "distinct-zones")
     crowded = differing.groupBy("anchor").count().where(F.col("count") > crowd).select("anchor")
