@@ -1,0 +1,146 @@
+"""Tables of vectors, pages, conversations and files; the registered queries; the pipeline."""
+
+import random
+import re
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import compare
+from farol.llm import ann, chat, licenses, queries, urlfilter
+
+
+def brute_nearest(rows, wanted, k):
+    out = {}
+    for q, v in wanted:
+        s = [(-float((np.array(v, np.float32).astype(float) * np.array(x, np.float32).astype(float)).sum()), i) for i, x in rows if i != q]
+        out[q] = [i for _, i in sorted(s)[:k]]
+    return out
+
+
+def test_neighbours_recall_and_ties(spark):
+    rng = np.random.default_rng(1)
+    x = rng.standard_normal((1500, 24)) * rng.uniform(0.5, 2, (1500, 1))
+    x[1000:1300] = x[1000]
+    rows = [(i, v.astype(np.float32).tolist()) for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")
+    got = {}
+    for r in ann.nearest(df, df.where("vec_id % 20 = 0"), 20).collect():
+        got.setdefault(r["query_id"], {})[r["rank"]] = r["vec_id"]
+    truth = brute_nearest(rows, [r for r in rows if r[0] % 20 == 0], 20)
+    assert got.keys() == truth.keys() and all(sorted(g) == list(range(1, 21)) for g in got.values())
+    assert np.mean([len(set(got[q].values()) & set(t)) / 20 for q, t in truth.items()]) >= 0.9
+    assert [got[1000][r] for r in range(1, 21)] == list(range(1001, 1021))
+
+
+def test_neighbours_of_odd_rows(spark):
+    rows = [(0, [1.0, 0.0]), (1, None), (2, [0.0, 0.0]), (3, [float("nan"), 1.0]), (4, [float("inf"), 1.0]), (5, [None, 1.0]), (6, [1.0]), (None, [1.0, 1.0]),
+            (7, [0.5, 0.5]), (7, [0.5, 0.5]), (20, [0.0, 1.0])]
+    df = spark.createDataFrame([(*r, "x") for r in rows], "vec_id bigint, embedding array<float>, rank string")
+    got = [(r["query_id"], r["rank"], r["vec_id"]) for r in ann.nearest(df, df.where("vec_id % 20 = 0"), 3).orderBy("query_id", "rank").collect()]
+    assert got == [(0, 1, 7), (0, 2, 7), (0, 3, 20), (20, 1, 7), (20, 2, 7), (20, 3, 0)]
+    assert ann.nearest(df.where("vec_id < 0"), df).count() == 0
+
+
+def test_chats_read_back(spark):
+    rng = random.Random(2)
+    pieces = ["~", "~0", "<", "[INST]", "</s>", "<|turn|>", "<|says|>", "<|end|>", "a", "é", "\n", "\\", "$1"]
+    rows = [(c, t, rng.choice(["user", "assistant", "<|says|>"]), "".join(rng.choice(pieces) for _ in range(rng.randint(0, 9)))) for c in range(40) for t in range(rng.randint(1, 6))]
+    df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    made = chat.format_chats(df.select("conv_id", "turn", "role", F.array(chat.text_part(F.col("text"))).alias("parts")))
+    read = made.select("conv_id", "formatted", "loss_mask", F.transform(chat.parse(F.col("formatted")), lambda t: F.struct(
+        chat.unescape(t["role"]).alias("role"), chat.unescape(t["body"]).alias("text"))).alias("turns"), chat.loss_text(F.col("formatted"), F.col("loss_mask")).alias("loss"))
+    for r in read.collect():
+        own = [(role, text) for c, _, role, text in rows if c == r["conv_id"]]
+        assert [tuple(t) for t in r["turns"]] == own
+        assert r["loss"] == "".join(text for role, text in own if role == "assistant")
+        spans = [r["formatted"][s["start"]:s["end"]] for s in r["loss_mask"]]
+        assert [s.replace("~2", "[").replace("~1", "<").replace("~0", "~") for s in spans] == [text for role, text in own if role == "assistant"]
+
+
+def test_chat_attachments_and_odd_rows(spark):
+    parts = "array<struct<kind:string,text:string,ref:string,tokens:int>>"
+    df = spark.createDataFrame([(1, 0, "user", [("text", "see", None, None), ("image", None, "i.png", 3), ("audio", None, "a.wav", None), ("text", None, None, None)]),
+                                (1, 1, "assistant", None), (None, None, None, []), (2, 0, "user", [("document", "x", "d.pdf", 0)]), (2, 0, "user", [("document", "x", "d.pdf", 0)])],
+                               f"conv_id bigint, turn bigint, role string, parts {parts}")
+    got = {r["conv_id"]: r for r in chat.format_chats(df).collect()}
+    assert got[1]["formatted"] == "<|turn|>user<|says|>see<|image|><|image|><|image|><|audio|><|end|><|turn|>assistant<|says|><|end|>"
+    assert [tuple(a) for a in got[1]["attachments"]] == [("image", "i.png"), ("audio", "a.wav")] and got[1]["attachment_tokens"] == 4
+    assert got[None]["formatted"] == "<|turn|><|says|><|end|>" and got[2]["n_turns"] == 2 and got[2]["attachment_tokens"] == 2
+    assert chat.format_chats(df.where("conv_id = 9")).count() == 0
+
+
+def test_chat_and_license_plans_hold_no_python(spark, small):
+    for name in ("op6_chat_format", "op10_license_scan"):
+        plan = queries.QUERIES[name](spark, small)._jdf.queryExecution().toString()
+        assert not re.search("Python|Arrow|Pandas", plan)
+
+
+def brute_url(url):
+    if url is None or "://" not in url:
+        return "", ""
+    rest = url.split("://", 1)[1]
+    host = re.split(r"[/?#]", rest, maxsplit=1)[0]
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in host), re.split(r"[?#]", rest[len(host):], maxsplit=1)[0]
+
+
+def test_urls(spark):
+    urls = [None, "", "example.com/en/", "http://Example.COM/en/x?y#z", "https://www.example.com/en/1", "https://a.www.example.com/en/1", "http://notexample.com/en/1", "ftp://x.net/es/",
+            "http://net/fr/", "http://com", "http://com?x/", "x://y://z.com/", "http://ÉCOLE.org/en/\nq", "http://casino-win.example.org/en/5", "http://blog.garden.example.org/en/5", "://com/"]
+    df = spark.createDataFrame([(i, u, "h") for i, u in enumerate(urls)] + [(None, urls[3], "h")], "page_id bigint, url string, host string")
+    for r in urlfilter.verdicts(df).collect():
+        if r["page_id"] is None:
+            continue
+        host, path = brute_url(urls[r["page_id"]])
+        assert (r["host"], r["path"]) == (host, path)
+        fits = [(len(h + p), h + p, v) for v, h, p in urlfilter.RULES if (host == h or host.endswith("." + h)) and path.startswith(p)]
+        assert r["rule"] == (max(fits)[1] if fits else None)
+        if fits:
+            assert r["verdict"] == max(fits)[2]
+    got = {r["page_id"]: r["verdict"] for r in urlfilter.verdicts(df).collect()}
+    assert got[13] == "block" and got[14] == "allow"
+    assert urlfilter.verdicts(df.where("page_id > 99")).count() == 0
+    assert urlfilter.verdicts(df, labelled=()).where("rule IS NULL AND verdict = 'block'").count() == 0
+
+
+def test_licenses(spark):
+    mit, gpl = "Released under the MIT License.", "This work is licensed under the GNU General Public License, version 3."
+    rows = [(1, "a/LICENSE", mit), (2, "a/b/c.py", "code"), (3, "a/b/d.py", f"x = 1\n{gpl}\n"), (4, "a/b/LICENSE", "my licence to kill"), (5, "z.py", None), (6, None, mit), (None, "a/b/q/e.py", ""),
+            (7, "b/COPYING", gpl), (7, "b/COPYING", gpl), (8, "b/x", "talk about a license in other words that say nothing of the kind at all")]
+    df = spark.createDataFrame([(*r, "l") for r in rows], "doc_id bigint, path string, text string, license string")
+    got = {(r["doc_id"], r["path"]): (r["license"], r["origin"], r["from_dir"]) for r in licenses.scan(df).collect()}
+    assert got[1, "a/LICENSE"] == ("MIT", "file", None) and got[2, "a/b/c.py"] == ("MIT", "inherited", "a")
+    assert got[3, "a/b/d.py"] == ("GPL-3.0", "header", None) and got[4, "a/b/LICENSE"] == ("MIT", "inherited", "a")
+    assert got[5, "z.py"] == (None, "none", None) and got[6, None] == ("MIT", "header", None) and got[None, "a/b/q/e.py"] == ("MIT", "inherited", "a")
+    assert got[8, "b/x"] == ("GPL-3.0", "inherited", "b")
+    assert licenses.scan(df).count() == len(rows) and licenses.scan(df.where("doc_id < 0")).count() == 0
+
+
+def test_cosines_are_those_of_whole_vectors(spark):
+    idf, other, lengths = licenses.weights(licenses.TEMPLATES)
+    texts = [*licenses.TEMPLATES.values(), "license license apache", "mit and other words", "public general gnu, version 3"]
+    got = {r["key"]: (r["license"], r["score"]) for r in licenses.similarities(spark.createDataFrame(list(enumerate(texts)), "key bigint, text string")).collect()}
+    bags = licenses._bags(licenses.TEMPLATES)
+    for i, text in enumerate(texts):
+        own = licenses._bags({"x": text})["x"]
+        size = np.sqrt(sum((n * idf.get(w, other)) ** 2 for w, n in own.items()))
+        best = max(((round(sum(n * own[w] * idf[w] ** 2 for w, n in b.items()) / size / lengths[t], 6), t) for t, b in bags.items()), key=lambda x: (x[0], [-ord(c) for c in x[1]]))
+        assert got[i][1] == pytest.approx(best[0], abs=2e-6)
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLES))
+def test_matches_sql(spark, medium, name):
+    assert compare.difference(queries.QUERIES[name](spark, medium), compare.connect(medium), queries.ORACLES[name]) is None
+
+
+def test_pipeline(spark, small):
+    import corpus_pipeline
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    before, current = docs.count(), docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        current = stage(spark, current, small)
+        assert current.schema.names == docs.schema.names
+    assert 0.5 * before < current.count() <= before
+    out = corpus_pipeline.run(spark, small)
+    assert out.count() == current.count() and out.where("octet_length(ids) <> 4 * n_tokens").count() == 0
