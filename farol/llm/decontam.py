@@ -31,8 +31,8 @@ from farol.llm import kit
 BITS, WINDOW, STRIDE, PASSAGE = 17, 32, 16, 48
 #: Latent dimensions, extra ones of the random projection, passages that are searched in one pass over the documents.
 RANK, EXTRA, BLOCK = 256, 16, 20000
-#: Cosine of a candidate; shares of an item that make a copy, a paraphrase, an answer; share of the item's weight that must be present.
-COSINE, COPIED, REWORDED, ANSWER, WEIGHT = 0.4, 0.8, 0.6, 0.8, 0.6
+#: Cosine of a candidate, and its share of what a passage shorter than a window can reach; shares of an item that make a copy, a paraphrase, an answer; share of the item's weight that must be present.
+COSINE, DILUTED, COPIED, REWORDED, ANSWER, WEIGHT = 0.5, 0.7, 0.8, 0.6, 0.8, 0.6
 _TABLE = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
 _SLICES = 64
 
@@ -177,8 +177,10 @@ def answer(text: str) -> list[bytes]:
 class Search:
     """Latent vectors of words and passages, and the items' words, to look for in documents."""
 
-    def __init__(self, idf, at, vectors, items, owners, latents):
+    def __init__(self, idf, at, vectors, items, owners, latents, lengths):
         self.idf, self.vectors, self.latents, self.owners = idf, vectors, latents, owners
+        self.least = np.minimum(COSINE, DILUTED * np.sqrt(lengths / WINDOW)).astype(np.float32)
+        self.floor = float(self.least.min())
         self.items = [(item, words(text), answer(text)) for item, text in items]
         self.row = np.full(1 << BITS, -1, np.int64)
         self.row[at] = np.arange(len(at))
@@ -198,15 +200,18 @@ class Search:
         start = np.arange(0, max(1, len(ws) - WINDOW + STRIDE), STRIDE)
         end = np.minimum(start + WINDOW, len(ws))
         size = mass[end] - mass[start]
-        likely = np.flatnonzero((known[end] - known[start] >= COSINE**2 * size) & (size > 0))
+        likely = np.flatnonzero((known[end] - known[start] >= self.floor**2 * size) & (size > 0))
         best: dict[int, list[tuple[float, int]]] = {}
-        for w in likely:
-            inside = np.arange(start[w], end[w])
-            inside = inside[row[inside] >= 0]
-            vector = weight[inside].astype(np.float32) @ self.vectors[row[inside]]
-            cosine = (self.latents @ vector) / np.sqrt(size[w])
-            for p in np.flatnonzero(cosine >= COSINE):
-                best.setdefault(int(self.owners[p]), []).append((float(cosine[p]), int(w)))
+        for k in range(0, len(likely), 64):
+            some = likely[k:k + 64]
+            inside = start[some][:, None] + np.arange(WINDOW)
+            open_ = inside < end[some][:, None]
+            inside = np.where(open_, inside, 0)
+            held = np.where(open_ & (row[inside] >= 0), weight[inside], 0.0).astype(np.float32)
+            vector = np.matmul(held[:, None, :], self.vectors[np.maximum(row[inside], 0)])[:, 0]
+            cosine = (vector @ self.latents.T) / np.sqrt(size[some])[:, None]
+            for w, p in zip(*np.nonzero(cosine >= self.least)):
+                best.setdefault(int(self.owners[p]), []).append((float(cosine[w, p]), int(some[w])))
         for item, found in best.items():
             name, wanted, said = self.items[item]
             need = self.idf[self.buckets.of(wanted)]
@@ -240,15 +245,16 @@ def searches(docs: DataFrame, benchmark: DataFrame) -> Iterator[tuple]:
         texts = [(r["item_id"], r["text"]) for r in mine.toLocalIterator() if words(r["text"])]
         buckets, place = Buckets(), np.full(1 << BITS, -1, np.int64)
         place[at] = np.arange(len(at))
-        owners, latents = [], []
+        owners, latents, lengths = [], [], []
         for i, (_, text) in enumerate(texts):
             ids = buckets.of(words(text))
             for part in np.array_split(ids, max(1, -(-len(ids) // PASSAGE))):
                 b, x = _sparse(part, idf)
                 owners.append(i)
                 latents.append(x @ vectors[place[b]])
+                lengths.append(len(part))
         if texts:
-            yield idf, at, vectors, texts, np.array(owners), np.array(latents, np.float32)
+            yield idf, at, vectors, texts, np.array(owners), np.array(latents, np.float32), np.array(lengths)
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

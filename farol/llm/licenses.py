@@ -63,13 +63,11 @@ def similarities(rows: DataFrame, templates: dict[str, str] = TEMPLATES) -> Data
     entries = [(w, t, c * idf[w] * idf[w] / lengths[t]) for t, bag in _bags(templates).items() for w, c in bag.items()]
     table = F.broadcast(spark.createDataFrame(entries, "word string, license string, weight double"))
     weigh = F.create_map(*chain.from_iterable((F.lit(w), F.lit(x)) for w, x in sorted(idf.items())))
-    bag = rows.select("key", words(F.coalesce("text", F.lit(""))).alias("ws"))
-    counted = bag.select("key", F.transform(F.array_distinct("ws"), lambda w: F.struct(
-        w.alias("word"), F.size(F.filter("ws", lambda x: x == w)).alias("n"))).alias("terms"))
-    length = F.sqrt(F.aggregate("terms", F.lit(0.0), lambda a, t: a + F.pow(t["n"] * F.coalesce(F.try_element_at(weigh, t["word"]), F.lit(other)), F.lit(2.0))))
-    known = F.filter("terms", lambda t: F.array_contains(F.array(*[F.lit(w) for w in sorted(idf)]), t["word"]))
-    terms = counted.select("key", length.alias("length"), F.explode(known).alias("t")).join(table, F.col("t.word") == F.col("word"))
-    scores = terms.groupBy("key", "license").agg((F.sum(F.col("t.n") * F.col("weight")) / F.first("length")).alias("score"))
+    counted = rows.select("key", F.explode(words(F.coalesce("text", F.lit("")))).alias("word")).groupBy("key", "word").agg(F.count(F.lit(1)).alias("n"))
+    size = F.pow(F.col("n") * F.coalesce(F.try_element_at(weigh, F.col("word")), F.lit(other)), F.lit(2.0))
+    length = counted.groupBy("key").agg(F.sqrt(F.sum(size)).alias("length"))
+    dots = counted.join(table, "word").groupBy("key", "license").agg(F.sum(F.col("n") * F.col("weight")).alias("dot"))
+    scores = dots.join(length, "key").select("key", "license", (F.col("dot") / F.col("length")).alias("score"))
     best = scores.groupBy("key").agg(F.min(F.struct((-F.round("score", 6)).alias("score"), "license")).alias("b"))
     return best.select("key", F.col("b.license").alias("license"), (-F.col("b.score")).alias("score"))
 
