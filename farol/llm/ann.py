@@ -30,6 +30,8 @@ from farol.llm import kit
 SAMPLE, RECALL, SIGNIFICANCE, COLUMNS = 4096, 0.97, 2.1, 16
 #: Most lists; rows of candidates that a task keeps, queries it treats at a time.
 LISTS, BLOCK, QUERIES = 1024, 131072, 64
+#: Groups of candidates at least; each returns k rows per query that probes it, so their number follows the rows, not the session.
+GROUPS = 12
 
 
 def usable(vector: Column) -> Column:
@@ -162,7 +164,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, sample: int = S
         return work
 
     listed = written(kit.map_rows(fitting(vectors), "vec_id bigint, list int, placed binary, v binary", placing, 2048), "lists")
-    groups = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // BLOCK))
+    groups = max(GROUPS, -(-rows // BLOCK))
     # Lists laid end to end and cut into equal groups: (list, first row) of at most LISTS lists.
     sizes = {r["list"]: r["count"] for r in listed.groupBy("list").count().collect()}
     # Any choice of lists holds k rows besides the query.
