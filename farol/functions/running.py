@@ -19,7 +19,6 @@ from pyspark.sql import Window
 
 
 RANGE = "__range"
-FEW_ROWS = 250_000
 
 
 def range_count(df: DataFrame) -> int:
@@ -27,12 +26,12 @@ def range_count(df: DataFrame) -> int:
     return min(16384, max(64, 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
 
 
-def balanced_edges(df: DataFrame, column: str, ranges: int | None = None, few_rows: int = FEW_ROWS) -> list[float]:
-    """At most `ranges` - 1 literal edges that cut `column` into parts of similar size; none for a small table. Runs one job."""
+def balanced_edges(df: DataFrame, column: str, ranges: int | None = None) -> list[float]:
+    """At most `ranges` - 1 literal edges that cut `column` into parts of similar size, whatever the table's size; none for an empty one. Runs one job."""
     ranges = ranges or range_count(df)
     probabilities = F.array(*[F.lit(i / ranges) for i in range(1, ranges)])
-    row = df.agg(F.count(F.lit(1)).alias("n"), F.approx_percentile(F.col(column), probabilities, 4 * ranges).alias("edges")).first()
-    return [] if row["n"] <= few_rows or row["edges"] is None else sorted(set(row["edges"]))
+    row = df.agg(F.approx_percentile(F.col(column), probabilities, 4 * ranges).alias("edges")).first()
+    return sorted(set(row["edges"] or []))
 
 
 def with_range(df: DataFrame, column: str, edges: Sequence[float], name: str = RANGE) -> DataFrame:

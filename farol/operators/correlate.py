@@ -130,17 +130,20 @@ def redundant_pairs(matrix: DataFrame, threshold: float = 0.90) -> DataFrame:
 
 
 def suggested_drops(pairs: DataFrame, with_target: DataFrame) -> list[str]:
-    """Walk the pairs in order and drop the side that says less about the label, unless one is already dropped.
+    """Of the closest pair the side that says less about the label goes, and with it all its pairs; so on with what is left.
 
-    The pairs are collected: there are at most p squared of them, whatever the number of rows.
+    Which side of a pair is weaker is decided in the table. The pairs come to the driver: p squared at most, whatever the rows.
     """
-    strength = {r["feature"]: abs(r["corr_com_alvo"] or 0.0) for r in with_target.collect()}
-    walk = sorted(((r["feature_a"], r["feature_b"], r["correlacao"]) for r in pairs.collect()), key=lambda p: (-abs(p[2]), p[0], p[1]))
-    dropped: set[str] = set()
-    for a, b, _ in walk:
-        if not dropped & {a, b}:
-            dropped.add(a if strength.get(a, 0.0) < strength.get(b, 0.0) else b)
-    return sorted(dropped)
+    said = with_target.select("feature", F.coalesce(F.abs("corr_com_alvo"), F.lit(0.0)).alias("said"))
+    left, right = (said.select(F.col("feature").alias(f"feature_{x}"), F.col("said").alias(f"said_{x}")) for x in "ab")
+    both = pairs.join(left, "feature_a", "left").join(right, "feature_b", "left").na.fill(0.0, ["said_a", "said_b"])
+    closest = both.orderBy(F.abs("correlacao").desc(), "feature_a", "feature_b")
+    table = closest.select("feature_a", "feature_b", F.when(F.col("said_a") < F.col("said_b"), F.col("feature_a")).otherwise(F.col("feature_b")).alias("weaker"))
+    rest, gone = [tuple(r) for r in table.collect()], []
+    while rest:
+        gone.append(rest[0][2])
+        rest = [r for r in rest if gone[-1] not in r[:2]]
+    return sorted(gone)
 
 
 def top_features(df: DataFrame, columns: Sequence[str], target: str, k: int = 9) -> DataFrame:

@@ -93,13 +93,13 @@ def _precision_step() -> Column:
 
 
 def ranking_metrics(points: DataFrame, by: Sequence[str] = MODEL) -> DataFrame:
-    """V9 and V10 from ranked points: ROC AUC (ties count half) and average precision; NULL with one class only."""
+    """V9 and V10 from ranked points: ROC AUC (ties count half), NULL with one class only, and average precision, NULL without positives."""
     sums = points.groupBy(*by).agg(F.sum(_auc_term()).alias("area"), F.sum(_precision_step()).alias("steps"),
                                    F.max("positives").alias("p"), F.max("negatives").alias("q"))
     both = (F.col("p") > 0) & (F.col("q") > 0)
     pairs = F.col("p").cast("double") * F.col("q").cast("double")
     return sums.select(*by, F.when(both, F.col("area") / pairs).alias("roc_auc"),
-                       F.when(both, F.col("steps") / F.col("p")).alias("pr_auc"))
+                       F.when(F.col("p") > 0, F.col("steps") / F.col("p")).alias("pr_auc"))
 
 
 def roc_auc(scores: DataFrame, by: Sequence[str] = MODEL) -> DataFrame:
@@ -140,7 +140,7 @@ def compute_metrics(scores: DataFrame, thresholds: Sequence[float] = (words.DEFA
     p, q = F.col("__p"), F.col("__q")
     both = (p > 0) & (q > 0)
     shared = [F.when(both, F.col("__area") / (p.cast("double") * q.cast("double"))).alias("roc_auc"),
-              F.when(both, F.col("__steps") / p).alias("pr_auc"), (F.col("__squares") / (p + q)).alias("brier"), (p + q).alias("n")]
+              F.when(p > 0, F.col("__steps") / p).alias("pr_auc"), (F.col("__squares") / (p + q)).alias("brier"), (p + q).alias("n")]
     cells = [F.struct(F.lit(float(t)).alias("threshold"), (q - F.col(f"__fp{i}")).alias("tn"), F.col(f"__fp{i}").alias("fp"),
                       (p - F.col(f"__tp{i}")).alias("fn"), F.col(f"__tp{i}").alias("tp"), *shared) for i, t in enumerate(thresholds)]
     return with_rates(structs_to_rows(row, cells)).select(
@@ -214,10 +214,12 @@ def calibration_curve(scores: DataFrame, n_bins: int | None = None, by: Sequence
     key = by[0]
     clean = _typed(scores).select(*by, "label", "score")
     sizes = {r[0]: r[1] for r in clean.groupBy(key).count().collect()}
-    bins = n_bins or calibration_bins(min(sizes.values()))
-    inner = [i / bins for i in range(1, bins)]
-    edges = quantile_rows(clean, ["score"], inner, by=key, rows=sum(sizes.values())).select(
-        key, F.array(*[quantile_name(p) for p in inner]).alias("edges"))
+    bins = {model: n_bins or calibration_bins(n) for model, n in sizes.items()}
+    inner = {b: [i / b for i in range(1, b)] for b in set(bins.values())}
+    every = sorted({p for ps in inner.values() for p in ps})
+    of = F.coalesce(*[F.when(F.col(key).isin([m for m, b in bins.items() if b == k]), F.array(*[quantile_name(p) for p in ps]))
+                      for k, ps in inner.items()], F.lit(None))
+    edges = quantile_rows(clean, ["score"], every, by=key, rows=sum(sizes.values())).select(key, of.alias("edges"))
     placed = clean.join(F.broadcast(edges), key).withColumn(
         "bin", F.size(F.filter("edges", lambda e: e < F.col("score"))))
     return placed.groupBy(*by, "bin").agg(F.avg("score").alias("mean_score"), F.avg("label").alias("share_positive"),
@@ -250,11 +252,10 @@ def error_list(scores: DataFrame, threshold: float, features: DataFrame | None =
     """
     predicted = F.col("score") >= F.lit(float(threshold))
     wrong = _typed(scores).where(predicted != (F.col("label") == 1))
+    order = list(top_features)
+    shown = sorted(set(order).intersection((scores if features is None else features).columns), key=order.index)[:5]
     if features is not None:
-        shown = [c for c in top_features if c in features.columns][:5]
-        wrong = wrong.join(features.select(col(id_col), *[col(c) for c in shown]), id_col)
-    else:
-        shown = [c for c in top_features if c in scores.columns][:5]
+        wrong = wrong.join(features.select(col(id_col), *map(col, shown)), id_col)
     negative, positive = (F.lit(c) for c in words.CLASS_NAMES)
     is_floating = {c: isinstance(wrong.schema[c].dataType, (T.DoubleType, T.FloatType)) for c in shown}
     return wrong.select(

@@ -162,8 +162,6 @@ class Family:
     fit: Callable[[DataFrame, Mapping, Mapping[int, int], int], Model]
     grid: Mapping[str, list]
     scaler: str = "standard"
-    interpretable: bool = False
-    tree_based: bool = False
 
     def candidates(self) -> list[dict]:
         """All combinations, the last parameter varying fastest."""
@@ -178,18 +176,17 @@ class Family:
 # Keys, names and parameter grids of the families.
 FAMILIES = (
     Family("logistic_regression", "Regressao Logistica", fit_logistic, {
-        "C": [0.005, 0.01, 0.05, 0.1, 0.5, 1.0, 10.0, 100.0], "class_weight": [None, "balanced"]}, interpretable=True),
+        "C": [0.005, 0.01, 0.05, 0.1, 0.5, 1.0, 10.0, 100.0], "class_weight": [None, "balanced"]}),
     Family("decision_tree", "Arvore de Decisao", fit_tree, {
         "max_depth": [3, 4, 5, 7, None], "min_samples_leaf": [1, 3, 5, 10], "criterion": ["gini", "entropy"],
-        "class_weight": [None, "balanced"]}, interpretable=True, tree_based=True),
+        "class_weight": [None, "balanced"]}),
     Family("knn", "KNN (k-vizinhos mais proximos)", fit_neighbours, {
         "n_neighbors": [3, 5, 7, 9, 11, 15], "weights": ["uniform", "distance"], "p": [1, 2]}),
     Family("random_forest", "Random Forest", fit_forest, {
         "n_estimators": [300, 600], "max_depth": [None, 6, 10], "min_samples_leaf": [1, 2, 4], "max_features": ["sqrt", 0.5],
-        "class_weight": [None, "balanced"]}, interpretable=True, tree_based=True),
+        "class_weight": [None, "balanced"]}),
     Family("gradient_boosting", "Gradient Boosting", fit_boosting, {
-        "n_estimators": [150, 300], "learning_rate": [0.05, 0.1], "max_depth": [2, 3], "subsample": [0.8, 1.0]},
-        interpretable=True, tree_based=True),
+        "n_estimators": [150, 300], "learning_rate": [0.05, 0.1], "max_depth": [2, 3], "subsample": [0.8, 1.0]}),
     Family("svm_rbf", "SVM (kernel RBF)", fit_svm, {
         "C": [0.1, 1.0, 10.0, 100.0], "gamma": ["scale", 0.01, 0.1], "class_weight": [None, "balanced"]}),
 )

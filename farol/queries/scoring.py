@@ -29,7 +29,7 @@ grouped AS (SELECT model, score, sum(label) AS pos, count(*) AS n FROM scores GR
 upto AS (SELECT model, score, pos, sum(pos) OVER w AS tp, sum(n) OVER w AS alarms, sum(pos) OVER (PARTITION BY model) AS p,
                 sum(n) OVER (PARTITION BY model) AS total
          FROM grouped WINDOW w AS (PARTITION BY model ORDER BY score DESC)),
-steps AS (SELECT model, CASE WHEN max(p) > 0 AND max(p) < max(total) THEN sum(pos::double / nullif(p, 0) * tp / alarms) END AS pr_auc
+steps AS (SELECT model, CASE WHEN max(p) > 0 THEN sum(pos::double / nullif(p, 0) * tp / alarms) END AS pr_auc
           FROM upto GROUP BY model)"""
 
 RATES = {
