@@ -1,115 +1,82 @@
-"""Exact interpolated quantiles that do not need a column in one task's memory.
+"""Exact interpolated quantiles of many columns and groups in a fixed number of passes, whatever the size of the table.
 
-The built-in `percentile` keeps every distinct value of a group in one buffer. It is used while
-the table is small enough for that. Beyond it a quantile sketch gives a narrow bracket around
-each wanted rank, the rows below the bracket are counted, and only rows inside it are sorted.
+1. One sketch job gives literal edges per column. They cut a column into ranges and decide only how evenly work is spread.
+2. One aggregate counts the values per group, column and range; running counts tell the range of every wanted rank.
+3. The values of those ranges alone are collapsed to (value, count) and ranked, each range of a group on its own.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from farol.functions.columns import col, structs_to_rows
-
-SMALL_ROWS = 1_000_000
-INSIDE_ROWS = 200_000
-SKETCH_ERROR = 1e-3
+from farol.functions.columns import col
+from farol.functions.running import balanced_edges_of, with_range
+from farol.functions.storage import written
 
 
 def quantile_name(p: float) -> str:
     return f"q{format(p * 100, 'g').replace('.', '_')}"
 
 
-def quantile_rows(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], by: str | None = None,
-                  small_rows: int = SMALL_ROWS, rows: int | None = None) -> DataFrame:
-    """(by, feature, q<percent>...) with numpy-style linear interpolation. Counts the rows, if not told, to choose the method."""
-    df = df.select(*([col(by)] if by else []), *[col(c).cast("double").alias(c) for c in columns])
-    if (df.count() if rows is None else rows) <= small_rows:
-        return _by_percentile(df, columns, probabilities, by)
-    groups = [r[0] for r in df.select(col(by)).distinct().collect()] if by else [None]
-    spark = df.sparkSession
-    rows = []
-    for g in groups:
-        part = df.where(col(by).eqNullSafe(F.lit(g))) if by else df
-        found = bracketed_quantiles(part, columns, probabilities)
-        rows += [((g,) if by else ()) + (c, *[found[c][p] for p in probabilities]) for c in columns]
-    names = ", ".join(f"{quantile_name(p)} double" for p in probabilities)
-    head = f"`{by}` {df.schema[by].dataType.simpleString()}, " if by else ""
-    return spark.createDataFrame(rows, f"{head}feature string, {names}")
-
-
-def quantile_values(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float],
-                    small_rows: int = SMALL_ROWS) -> dict[str, list[float | None]]:
+def quantile_rows(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], by: str | None = None) -> DataFrame:
+    """(by, feature, q<percent>...) with numpy-style linear interpolation; NULL without a value.
+
+    Runs three jobs: the sketch, the counts per range (written), and the list of the ranges that hold a wanted rank. The edges
+    (columns x ranges) and that list are all that comes to the driver, however many rows or groups there are.
+    """
+    spark, columns, names = df.sparkSession, list(columns), [f"__c{i}" for i in range(len(columns))]
+    wide = df.select((col(by) if by else F.lit(0)).alias("__by"), *[col(c).cast("double").alias(n) for c, n in zip(columns, names)])
+    edges = balanced_edges_of(wide, names)
+    for n in names:
+        wide = with_range(wide, n, edges[n], f"{n}_range") if edges[n] else wide.withColumn(f"{n}_range", F.lit(0))
+    cells = F.explode(F.array(*[F.struct(F.lit(i).alias("k"), F.col(n).alias("value"), F.col(f"{n}_range").alias("range"))
+                                for i, n in enumerate(names)]))
+    values = wide.select("__by", cells.alias("cell")).select("__by", "cell.*")
+    counted = written(values.groupBy("__by", "k", "range").agg(F.count("value").alias("n")), "quantile-ranges")
+    wanted = _wanted_ranks(counted, probabilities).alias("w")
+    chosen: dict[int, list[int]] = {}
+    for r in wanted.select("k", "range").distinct().toLocalIterator():
+        chosen.setdefault(r["k"], []).append(r["range"])
+    held = [(F.col("k") == k) & F.col("range").isin(ranges) for k, ranges in chosen.items()]
+    points = values.where(reduce(lambda a, b: a | b, held, F.lit(False))).where("value IS NOT NULL").groupBy(
+        "__by", "k", "range", "value").agg(F.count(F.lit(1)).alias("n"))
+    upto = F.sum("n").over(Window.partitionBy("__by", "k", "range").orderBy("value").rowsBetween(Window.unboundedPreceding, 0))
+    points = points.withColumn("upto", upto).alias("v")
+    met = (F.col("v.__by").eqNullSafe(F.col("w.__by")) & (F.col("v.k") == F.col("w.k")) & (F.col("v.range") == F.col("w.range"))
+           & (F.col("w.rank") >= F.col("v.upto") - F.col("v.n")) & (F.col("w.rank") < F.col("v.upto")))
+    found = points.join(wanted, met).select("w.__by", "w.k", "w.p", "w.side", "w.place", "v.value")
+    at = lambda j, side, c: F.max(F.when((F.col("p") == j) & (F.col("side") == side), F.col(c)))
+    ends = found.groupBy("__by", "k").agg(*[a for j in range(len(probabilities)) for a in (
+        at(j, 0, "value").alias(f"a{j}"), at(j, 1, "value").alias(f"b{j}"), at(j, 0, "place").alias(f"t{j}"))]).alias("e")
+    every = (counted.select("__by", "k").distinct() if by else spark.range(len(columns)).select(F.lit(0).alias("__by"), F.col("id").cast("int").alias("k"))).alias("s")
+    whole = every.join(ends, F.col("s.__by").eqNullSafe(F.col("e.__by")) & (F.col("s.k") == F.col("e.k")), "left")
+    feature = F.array(*[F.lit(c) for c in columns])[F.col("s.k")].alias("feature")
+    return whole.select(*([F.col("s.__by").alias(by)] if by else []), feature,
+                        *[_between(f"a{j}", f"b{j}", f"t{j}").alias(quantile_name(p)) for j, p in enumerate(probabilities)])
+
+
+def _wanted_ranks(counted: DataFrame, probabilities: Sequence[float]) -> DataFrame:
+    """(__by, k, range, p, side, place, rank): each probability's lower and upper 0-based rank, counted from the start of its range."""
+    group = Window.partitionBy("__by", "k")
+    before = F.sum("n").over(group.orderBy("range").rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")
+    places = F.explode(F.array(*[F.struct(F.lit(j).alias("p"), F.lit(s).alias("side"), ((F.col("all") - 1) * F.lit(float(p))).alias("place"))
+                                 for j, p in enumerate(probabilities) for s in (0, 1)]))
+    ranks = counted.withColumns({"before": before, "all": F.sum("n").over(group)}).select("__by", "k", "range", "n", "before", places.alias("x"))
+    ranks = ranks.select("__by", "k", "range", "n", "before", "x.*")
+    rank = F.when(F.col("side") == 0, F.floor("place")).otherwise(F.ceil("place")) - F.col("before")
+    return ranks.withColumn("rank", rank).where("rank >= 0 AND rank < n").drop("n", "before")
+
+
+def _between(a: str, b: str, place: str):
+    low, high, t = F.col(a), F.col(b), F.col(place)
+    return F.when(low == high, low).otherwise((F.ceil(t) - t) * low + (t - F.floor(t)) * high)
+
+
+def quantile_values(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]) -> dict[str, list[float | None]]:
     """The same numbers on the driver: one short list per column, for fitting."""
-    rows = quantile_rows(df, columns, probabilities, small_rows=small_rows).collect()
-    return {r["feature"]: [r[quantile_name(p)] for p in probabilities] for r in rows}
-
-
-def _by_percentile(df: DataFrame, columns, probabilities, by) -> DataFrame:
-    ps = F.array(*[F.lit(float(p)) for p in probabilities])
-    wide = df.groupBy(*([col(by)] if by else [])).agg(*[F.percentile(col(c), ps).alias(f"__q{i}") for i, c in enumerate(columns)])
-    cells = [F.struct(F.lit(c).alias("feature"), *[F.col(f"__q{i}")[k].alias(quantile_name(p)) for k, p in enumerate(probabilities)])
-             for i, c in enumerate(columns)]
-    return structs_to_rows(wide, cells)
-
-
-def bracketed_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float],
-                        error: float = SKETCH_ERROR, inside_rows: int = INSIDE_ROWS) -> dict:
-    """{column: {p: value}} by bracket and count; a few scans, no table-wide sort."""
-    counts = df.agg(*[F.count(col(c)).alias(f"n{i}") for i, c in enumerate(columns)]).first()
-    probes = sorted({min(1.0, max(0.0, p + s)) for p in probabilities for s in (-2 * error, 2 * error)} | {0.0, 1.0})
-    marks = df.approxQuantile(list(columns), probes, error)
-    lows = df.agg(*[F.min(col(c)).alias(f"a{i}") for i, c in enumerate(columns)],
-                  *[F.max(col(c)).alias(f"b{i}") for i, c in enumerate(columns)]).first()
-    out: dict = {}
-    for i, c in enumerate(columns):
-        n = counts[f"n{i}"]
-        out[c] = {}
-        for p in probabilities:
-            if n == 0:
-                out[c][p] = None
-                continue
-            place = (n - 1) * p
-            first, second = math.floor(place), math.ceil(place)
-            low = marks[i][probes.index(min(1.0, max(0.0, p - 2 * error)))]
-            high = marks[i][probes.index(min(1.0, max(0.0, p + 2 * error)))]
-            column = df.select(col(c).alias("value")).where("value IS NOT NULL")
-            a = _value_at(column, first, low, high, lows[f"a{i}"], lows[f"b{i}"], inside_rows)
-            b = a if second == first else _value_at(column, second, low, high, lows[f"a{i}"], lows[f"b{i}"], inside_rows)
-            out[c][p] = a + (b - a) * (place - first)
-    return out
-
-
-def _value_at(column: DataFrame, place: int, low: float, high: float, lowest: float, highest: float, inside_rows: int) -> float:
-    """The value at 0-based `place` of the sorted column, starting from a bracket that may need widening."""
-    while True:
-        counted = column.agg(F.count_if(F.col("value") < low).alias("below"),
-                             F.count_if(F.col("value").between(low, high)).alias("inside")).first()
-        if place < counted["below"]:
-            low = lowest
-            continue
-        if place >= counted["below"] + counted["inside"]:
-            high = highest
-            continue
-        inside = column.where(F.col("value").between(low, high))
-        wanted = place - counted["below"]
-        if counted["inside"] <= inside_rows or low == high:
-            points = inside.groupBy("value").agg(F.count(F.lit(1)).alias("n"))
-            upto = F.sum("n").over(Window.orderBy("value"))
-            return points.withColumn("upto", upto).where(F.col("upto") > wanted).agg(F.min("value")).first()[0]
-        share = wanted / max(1, counted["inside"] - 1)
-        near = inside.approxQuantile("value", [max(0.0, share - 0.002), min(1.0, share + 0.002)], 0.001)
-        if near == [low, high]:
-            distinct = inside.groupBy("value").agg(F.count(F.lit(1)).alias("n"))
-            middle = distinct.where(F.col("value") > low).agg(F.min("value")).first()[0]
-            at_low = inside.where(F.col("value") == low).count()
-            if wanted < at_low:
-                return low
-            low = middle
-            continue
-        low, high = near
+    return {r["feature"]: [r[quantile_name(p)] for p in probabilities] for r in quantile_rows(df, columns, probabilities).collect()}

@@ -4,12 +4,12 @@ A window without `partitionBy` sorts everything in one task. Here the order key
 ranges by literal edges, the running sum is taken inside each range, and the totals of the
 ranges before it are joined on. The range is a function of the key, so equal keys stay
 together and a retried task sees the same ranges. Edges come from an approximate quantile
-sketch: they decide only how evenly the work is spread, never the result. A table known to be small
-is one range per group.
+sketch: they decide only how evenly the work is spread, never the result.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
@@ -23,15 +23,20 @@ RANGE = "__range"
 
 def range_count(df: DataFrame) -> int:
     """How many ranges to cut: a few per shuffle partition, so it grows with the cluster."""
-    return min(16384, max(64, 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    return max(64, 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
 def balanced_edges(df: DataFrame, column: str, ranges: int | None = None) -> list[float]:
     """At most `ranges` - 1 literal edges that cut `column` into parts of similar size, whatever the table's size; none for an empty one. Runs one job."""
+    return balanced_edges_of(df, [column], ranges)[column]
+
+
+def balanced_edges_of(df: DataFrame, columns: Sequence[str], ranges: int | None = None) -> dict[str, list[float]]:
+    """The edges of several columns by one job."""
     ranges = ranges or range_count(df)
     probabilities = F.array(*[F.lit(i / ranges) for i in range(1, ranges)])
-    row = df.agg(F.approx_percentile(F.col(column), probabilities, 4 * ranges).alias("edges")).first()
-    return sorted(set(row["edges"] or []))
+    row = df.agg(*[F.approx_percentile(F.col(c), probabilities, 4 * ranges).alias(c) for c in columns]).first()
+    return {c: sorted({e for e in row[c] or [] if math.isfinite(e)}) for c in columns}
 
 
 def with_range(df: DataFrame, column: str, edges: Sequence[float], name: str = RANGE) -> DataFrame:

@@ -22,7 +22,6 @@ from farol.operators.metrics import ranked_points, ranking_metrics
 from farol.operators.normalize import sample_rows
 
 ROWS_PER_BUCKET = 2000
-MAX_BUCKETS = 65536
 WALK_CELLS = 2_000_000
 
 
@@ -53,7 +52,7 @@ def native_importance(spark: SparkSession, model, names: Sequence[str]) -> DataF
 # ---- permutation importance --------------------------------------------------------------------------
 
 def permutation_buckets(rows: int) -> int:
-    return max(1, min(MAX_BUCKETS, rows // ROWS_PER_BUCKET))
+    return max(1, rows // ROWS_PER_BUCKET)
 
 
 def with_donors(df: DataFrame, features: Sequence[str], repeat: int, buckets: int, id_col: str = words.ID_COLUMN,
@@ -78,7 +77,7 @@ def permutation_importance(df: DataFrame, features: Sequence[str], score: Callab
 
     `score` adds a `score` column. Each repeat is one job: one window shuffles the rows, then every row
     is emitted once per feature with that feature swapped, scored, and reduced to an AUC per feature.
-    The copies get ids of their own, as a model may join on the id.
+    The copies keep the id of their row, whatever its type.
     """
     features = list(features)
     base_scored = score(df).select(col(label).cast("bigint").alias("label"), "score")
@@ -89,9 +88,7 @@ def permutation_importance(df: DataFrame, features: Sequence[str], score: Callab
     for repeat in range(repeats):
         donors = with_donors(df, features, repeat, buckets, id_col, seed, "__donor")
         swapped = donors.withColumn("feature", F.explode(F.array(*[F.lit(c) for c in features])))
-        place = F.array_position(F.array(*[F.lit(c) for c in features]), F.col("feature")) - 1
-        swapped = swapped.withColumns({c: F.when(F.col("feature") == c, F.col("__donor")[c]).otherwise(col(c)) for c in features}
-                                      | {id_col: col(id_col) * len(features) + place})
+        swapped = swapped.withColumns({c: F.when(F.col("feature") == c, F.col("__donor")[c]).otherwise(col(c)) for c in features})
         aucs = _auc(score(swapped.drop("__donor")).select("feature", col(label).cast("bigint").alias("label"), "score"), edges)
         for c in features:
             drops[c].append(base - aucs[c])

@@ -219,7 +219,7 @@ def calibration_curve(scores: DataFrame, n_bins: int | None = None, by: Sequence
     every = sorted({p for ps in inner.values() for p in ps})
     of = F.coalesce(*[F.when(F.col(key).isin([m for m, b in bins.items() if b == k]), F.array(*[quantile_name(p) for p in ps]))
                       for k, ps in inner.items()], F.lit(None))
-    edges = quantile_rows(clean, ["score"], every, by=key, rows=sum(sizes.values())).select(key, of.alias("edges"))
+    edges = quantile_rows(clean, ["score"], every, by=key).select(key, of.alias("edges"))
     placed = clean.join(F.broadcast(edges), key).withColumn(
         "bin", F.size(F.filter("edges", lambda e: e < F.col("score"))))
     return placed.groupBy(*by, "bin").agg(F.avg("score").alias("mean_score"), F.avg("label").alias("share_positive"),

@@ -52,13 +52,14 @@ def nearest_neighbours(queries: DataFrame, reference: DataFrame, k: int, p: int
                        query_block: int = QUERY_BLOCK) -> DataFrame:
     """(id, neighbour, distance, label, rank) for the k nearest reference rows of every query, ties to the smaller id.
 
-    `queries` has (id bigint, x array<double>), `reference` also a label. Two small jobs read the
+    `queries` has (id, x array<double>), `reference` also a label; ids keep their types, query ids are unique. Two small jobs read the
     cell sizes before the join.
     """
     n_reference = reference.count()
     if k > n_reference:
         raise ValueError(f"k = {k} but the reference holds {n_reference} rows")
     reference = _first_copies(reference, k)
+    asked, known = (d.schema["id"].dataType.simpleString() for d in (queries, reference))
     spark = queries.sparkSession
     wanted = min(MAX_PIVOTS, max(1, math.isqrt(n_reference) // 4))
     pivot_rows = reference.orderBy(digest("pivot", F.col("id")), "id").limit(wanted).collect()
@@ -70,8 +71,8 @@ def nearest_neighbours(queries: DataFrame, reference: DataFrame, k: int, p: int
             cell = d.argmin(axis=1)
             yield pdf.assign(cell=cell.astype("int32"), d=d[np.arange(len(d)), cell])
 
-    placed = reference.select(F.col("id").cast("bigint").alias("id"), F.col("label").cast("double").alias("label"), "x").mapInPandas(
-        to_cells, "id bigint, label double, x array<double>, cell int, d double")
+    placed = reference.select("id", F.col("label").cast("double").alias("label"), "x").mapInPandas(
+        to_cells, f"id {known}, label double, x array<double>, cell int, d double")
     sizes = {r["cell"]: (r["n"], r["near"], r["far"]) for r in placed.groupBy("cell").agg(
         F.count(F.lit(1)).alias("n"), F.min("d").alias("near"), F.max("d").alias("far")).collect()}
     first = F.row_number().over(Window.partitionBy("cell").orderBy("d"))
@@ -98,7 +99,7 @@ def nearest_neighbours(queries: DataFrame, reference: DataFrame, k: int, p: int
                 yield pd.DataFrame({"id": part["id"].to_numpy()[row], "x": part["x"].to_numpy()[row],
                                     "cell": np.array(cells, dtype="int32")[cell]})
 
-    visits = queries.select(F.col("id").cast("bigint").alias("id"), "x").mapInPandas(to_visits, "id bigint, x array<double>, cell int")
+    visits = queries.select("id", "x").mapInPandas(to_visits, f"id {asked}, x array<double>, cell int")
     groups = {r["cell"]: math.ceil(r["count"] / query_block) for r in visits.groupBy("cell").count().collect()}
     plan = spark.createDataFrame([(c, blocks[c], groups.get(c, 1)) for c in cells], "cell int, blocks int, groups int")
     spread = lambda salt, n: F.pmod(F.xxhash64(F.lit(salt), F.col("id")), F.col(n)).cast("int")
@@ -121,7 +122,7 @@ def nearest_neighbours(queries: DataFrame, reference: DataFrame, k: int, p: int
 
     keys = ["cell", "block", "group"]
     found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(
-        best_in_block, "id bigint, neighbour bigint, distance double, label double")
+        best_in_block, f"id {asked}, neighbour {known}, distance double, label double")
     rank = F.row_number().over(Window.partitionBy("id").orderBy("distance", "neighbour"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k)
 

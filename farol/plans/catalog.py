@@ -25,7 +25,6 @@ from farol.operators.split import stratified_folds
 MAX_BINS = 128
 DEEPEST = 30
 CALIBRATION_FOLDS = 5
-ROWS_PER_TASK = 20_000
 
 
 def class_counts(df: DataFrame, label: str = "label") -> dict[int, int]:
@@ -45,14 +44,6 @@ def balanced_weights(df: DataFrame, label: str = "label") -> DataFrame:
     return counts.select("class", "n", (total / (classes * F.col("n"))).alias("weight"))
 
 
-def packed(df: DataFrame, rows: int) -> DataFrame:
-    """No more partitions than there are blocks of rows: an iterative fit pays for every task in every step.
-
-    `coalesce` never adds partitions, so a large table keeps its own.
-    """
-    return df.coalesce(max(1, -(-rows // ROWS_PER_TASK)))
-
-
 def with_weights(df: DataFrame, counts: Mapping[int, int], balanced: bool) -> DataFrame:
     if not balanced:
         return df.withColumn("weight", F.lit(1.0))
@@ -63,16 +54,21 @@ def with_weights(df: DataFrame, counts: Mapping[int, int], balanced: bool) -> Da
 
 
 class NeighboursModel(Model):
-    """M3: keeps the prepared training rows as a table; scoring is the nearest-neighbour join. Needs an `id` column."""
+    """M3: keeps the prepared training rows as a table; scoring is the nearest-neighbour join.
+
+    Each distinct vector is looked up once and its score joined back by the vector, so the rows' ids are not used and may repeat.
+    """
 
     def __init__(self, reference: DataFrame, k: int, weights: str, p: int):
         super().__init__()
         self.reference, self.k, self.weights, self.p = reference, k, weights, p
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        queries = dataset.select("id", vector_to_array("features").alias("x"))
+        keyed = dataset.withColumn("__x", vector_to_array("features"))
+        vectors = keyed.select(F.col("__x").alias("x")).distinct().withColumn("id", F.monotonically_increasing_id())
+        queries = written(vectors, "vectors")  # the numbers must not change when a task runs again
         scored = neighbour_scores(nearest_neighbours(queries, self.reference, self.k, self.p), self.weights)
-        return dataset.join(scored, "id")
+        return keyed.join(queries.join(scored, "id").select(F.col("x").alias("__x"), "score"), "__x").drop("__x")
 
 
 def fit_logistic(df: DataFrame, params: Mapping, counts: Mapping[int, int], seed: int) -> Model:
@@ -127,7 +123,7 @@ def fit_machine(df: DataFrame, params: Mapping, counts: Mapping[int, int]) -> Mo
     """M6: linear support vector machine on Fourier features; an inverse strength C over summed losses is 1 / (C n) over mean losses."""
     machine = LinearSVC(featuresCol="fourier", regParam=1.0 / (params.get("C", 1.0) * sum(counts.values())), standardization=False, maxIter=50,
                         tol=1e-3, weightCol="weight", rawPredictionCol="svm_raw", predictionCol="svm_prediction")
-    return machine.fit(packed(with_weights(df, counts, params.get("class_weight") == "balanced"), sum(counts.values())))
+    return machine.fit(with_weights(df, counts, params.get("class_weight") == "balanced"))
 
 
 def platt_rows(margins: DataFrame, counts: Mapping[int, int]) -> DataFrame:
@@ -149,7 +145,7 @@ def fit_svm(df: DataFrame, params: Mapping, counts: Mapping[int, int], seed: int
         part = margin.transform(fit_machine(inner, params, class_counts(inner)).transform(held)).select("label", "margin")
         margins = part if margins is None else margins.unionByName(part)
     platt = LogisticRegression(featuresCol="margin", weightCol="weight", regParam=0.0, standardization=False, maxIter=200)
-    calibrated = platt.fit(packed(platt_rows(margins, counts), sum(counts.values())))
+    calibrated = platt.fit(platt_rows(margins, counts))
     return PipelineModel([fourier, fit_machine(rows, params, counts), margin, calibrated])
 
 

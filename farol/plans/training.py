@@ -20,7 +20,7 @@ from farol.functions.storage import written
 from farol.operators.metrics import compute_metrics
 from farol.operators.prep import Preprocessor, feature_names_out, inject_missing
 from farol.operators.split import learning_shares, learning_subsets, stratified_folds, train_and_validation
-from farol.plans.catalog import FAMILIES, Family, class_counts, packed, with_score
+from farol.plans.catalog import FAMILIES, Family, class_counts, with_score
 
 CV_METRICS = ("roc_auc", "pr_auc", "recall", "precision", "f1", "accuracy")
 
@@ -57,7 +57,7 @@ def fit_scorer(df: DataFrame, roles: Roles, family: Family, params: Mapping, see
     """Fit preprocessing and model on the same rows. `df` has id, label and the features."""
     prep = prep or roles.prep(family.scaler).fit(df)
     counts = class_counts(df)
-    rows = packed(prep.transform(df).select("id", "label", "features"), sum(counts.values()))
+    rows = prep.transform(df).select("id", "label", "features")
     return Scorer(prep, family.fit(rows, params, counts, seed))
 
 
@@ -186,8 +186,7 @@ def learning_curve(df: DataFrame, roles: Roles, family: Family, params: Mapping,
         scorer = fit_scorer(subset, roles, family, params, seed)
         both = subset.select("id", "label", *roles.features, F.lit("train").alias("part")).unionByName(
             held.select("id", "label", *roles.features, F.lit("cv").alias("part")))
-        scored = scorer.score(both) if family.key != "knn" else scorer.score(held.withColumn("part", F.lit("cv")))
-        aucs = compute_metrics(scored.select("part", "label", "score"), by=["part"]).select("part", "roc_auc", "n").collect()
+        aucs = compute_metrics(scorer.score(both).select("part", "label", "score"), by=["part"]).select("part", "roc_auc", "n").collect()
         size = sum(class_counts(subset).values())
         return [(step, size, f, r["part"], r["roc_auc"]) for r in aucs]
 
@@ -201,14 +200,11 @@ def learning_curve(df: DataFrame, roles: Roles, family: Family, params: Mapping,
 
 def missing_robustness(scorer: Scorer, test: DataFrame, roles: Roles, threshold: float, fractions: Sequence[float] = (0.0, 0.05, 0.10, 0.20),
                        seed: int = words.SEED) -> DataFrame:
-    """Metrics at the frozen threshold with a growing share of empty cells. All variants are scored in one pass.
-
-    The id is made unique per variant, as a model may join on it.
-    """
+    """Metrics at the frozen threshold with a growing share of empty cells. All variants are scored in one pass, with the rows' own ids."""
     variants = None
-    for i, f in enumerate(fractions):
+    for f in fractions:
         part = inject_missing(test.select("id", "label", *[col(c) for c in roles.features]), roles.features, f, salt=f"mcar{seed}")
-        part = part.withColumns({"id": F.col("id") * len(fractions) + i, "fraction": F.lit(float(f))})
+        part = part.withColumn("fraction", F.lit(float(f)))
         variants = part if variants is None else variants.unionByName(part)
     metrics = compute_metrics(scorer.score(variants).select("fraction", "label", "score"), [threshold], by=["fraction"])
     return metrics.select(

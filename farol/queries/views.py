@@ -15,17 +15,9 @@ NUMERIC = ("total", "n_lines", "qty_sum", "price_max", "disc_avg", "tax_avg", "q
 WIDE = tuple(f"f{i:02d}" for i in range(30))
 
 
-# Keys by which a table that lies in fewer files than there are cores is spread over them.
-SPREAD_KEYS = {"orders": "o_orderkey", "lineitem": "l_orderkey", "events": "event_id", "embeddings": "vec_id", "documents": "doc_id"}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table. Files bound the tasks of a scan, so a table in a few files is spread by its key; a large one is left alone."""
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if name in SPREAD_KEYS and len(df.inputFiles()) < min(cores, 64):
-        return df.repartition(min(cores, 64), SPREAD_KEYS[name])
-    return df
+    """A given table; large files are split by bytes, AQE sizes the partitions after the first shuffle."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def cases(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from farol.functions.columns import half_even
 from farol.functions.keys import keyed_int
 from farol.functions.moments import correlation_of, pair_moments
-from farol.functions.quantiles import bracketed_quantiles, quantile_name, quantile_rows
+from farol.functions.quantiles import quantile_rows, quantile_values
 from farol.functions.running import average_rank, balanced_edges, next_in_order, running_sums, with_range
 from farol.functions.strata import cut_keys, largest_remainder, with_slices
 
@@ -76,24 +76,45 @@ def test_average_rank(spark):
     assert all(got[v] == r for v, r in zip(x, want))
 
 
-@pytest.mark.parametrize("inside_rows", [10, 5000])
-def test_bracketed_quantiles(spark, inside_rows):
+def test_quantiles_match_numpy(spark):
     rng = np.random.default_rng(5)
     ps = [0.0, 0.25, 0.5, 0.75, 0.999, 1.0]
     x, y = hot(rng, 5000), np.exp(rng.normal(size=5000) * 3)
     y[::10] = np.nan
-    df = table(spark, x=x, y=y).withColumn("y", F.nanvl("y", F.lit(None)))
-    got = bracketed_quantiles(df, ["x", "y"], ps, inside_rows=inside_rows)
-    assert np.allclose([got["x"][p] for p in ps], np.quantile(x, ps), rtol=0, atol=1e-12)
-    assert np.allclose([got["y"][p] for p in ps], np.nanquantile(y, ps), rtol=1e-12)
+    df = table(spark, x=x, y=y).withColumn("y", F.nanvl("y", F.lit(None))).withColumn("none", F.lit(None).cast("double"))
+    got = quantile_values(df, ["x", "y", "none"], ps)
+    assert np.allclose(got["x"], np.quantile(x, ps), rtol=0, atol=1e-12)
+    assert np.allclose(got["y"], np.nanquantile(y, ps), rtol=1e-12)
+    assert got["none"] == [None] * len(ps)
 
 
-def test_both_quantile_methods_agree(spark):
+def test_quantiles_of_groups_equal_the_built_in(spark):
     rng = np.random.default_rng(6)
-    df = table(spark, g=rng.choice(["a", "b"], 4000), x=rng.normal(size=4000))
-    few, many = (quantile_rows(df, ["x"], [0.1, 0.5], by="g", small_rows=s).orderBy("g").collect() for s in (10**9, 10))
-    for a, b in zip(few, many):
-        assert all(abs(a[quantile_name(p)] - b[quantile_name(p)]) < 1e-12 for p in (0.1, 0.5))
+    g = rng.choice(["a", "b", "c", "rare"], 4000, p=[0.6, 0.3, 0.099, 0.001])
+    df = table(spark, g=g, x=rng.normal(size=4000), y=np.round(rng.normal(size=4000), 1))
+    df = df.withColumn("g", F.when(F.col("g") != "c", F.col("g"))).withColumn("x", F.when(F.col("g").eqNullSafe("rare"), None).otherwise(F.col("x")))
+    df = df.withColumn("y", F.when(F.col("y") > 2.5, float("inf")).otherwise(F.col("y")))
+    ps = [0.0, 0.1, 0.5, 0.9, 1.0]
+    got = {(r["g"], r["feature"]): list(r)[2:] for r in quantile_rows(df, ["x", "y"], ps, by="g").collect()}
+    want = df.groupBy("g").agg(*[F.percentile(c, F.array(*map(F.lit, ps))).alias(c) for c in ("x", "y")]).collect()
+    assert len(got) == 2 * len(want)
+    for r in want:
+        for c in ("x", "y"):
+            assert got[r["g"], c] == (r[c] or [None] * len(ps))
+
+
+def test_quantiles_of_an_empty_table_and_the_number_of_jobs(spark):
+    empty = spark.createDataFrame([], "g string, x double, y double")
+    assert quantile_values(empty, ["x", "y"], [0.5]) == {"x": [None], "y": [None]}
+    assert quantile_rows(empty, ["x"], [0.5], by="g").collect() == []
+    wide = spark.range(2000).select(*[(F.col("id") * i % 97).cast("double").alias(f"c{i}") for i in range(1, 31)])
+    spark.sparkContext.setJobGroup("quantiles", "count the actions")
+    try:
+        rows = quantile_rows(wide, wide.columns, [0.25, 0.5, 0.75])
+        before = len(spark.sparkContext.statusTracker().getJobIdsForGroup("quantiles"))
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+    assert before <= 12 and rows.count() == 30
 
 
 def test_pair_moments_match_pandas(spark):
