@@ -4,7 +4,7 @@ import numpy as np
 import pandas as pd
 import pytest
 from pyspark.ml import PipelineModel
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from farol.operators import arrays as G
@@ -338,3 +338,13 @@ def test_saved_preprocessing_is_a_stock_pipeline(spark, planted, tmp_path):
     model.write().overwrite().save(str(tmp_path / "p"))
     back = PipelineModel.load(str(tmp_path / "p"))
     assert back.transform(planted).select("features").exceptAll(model.transform(planted).select("features")).isEmpty()
+
+
+def test_neighbours_keep_the_type_of_ids_and_repeated_ids(spark):
+    x = np.random.default_rng(11).normal(size=(60, 3))
+    known = spark.createDataFrame([(f"case-{i}", x[i].tolist(), float(i % 2)) for i in range(60)], "id string, x array<double>, label double")
+    found = K.nearest_neighbours(known.select("id", "x"), known, 1).collect()
+    assert sorted((r["id"], r["neighbour"], r["distance"]) for r in found) == sorted((f"case-{i}", f"case-{i}", 0.0) for i in range(60))
+    repeated = known.select(F.lit("same").alias("id"), array_to_vector("x").alias("features"), "label")
+    scored = catalog.NeighboursModel(known, 1, "uniform", 2).transform(repeated).collect()
+    assert len(scored) == 60 and all(r["score"] == r["label"] for r in scored)
