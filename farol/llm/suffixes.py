@@ -212,14 +212,15 @@ def repeats(rows: DataFrame, window: int = 200, crowd: int | None = None) -> Dat
     spark = rows.sparkSession
     crowd = crowd or CROWD
     every = written(zone_rows(rows, window), "zones")
-    anchors = every.groupBy("anchor").agg(F.count(F.lit(1)).alias("c"), F.min("zone").alias("z"), F.max("zone").alias("y")).where("c > 1").select(
-        "anchor", (F.col("z") == F.col("y")).alias("alike"))
-    # Places of candidate zones, once per distinct text. Written before they are grouped: a common anchor's join can then be split.
+    shared = every.groupBy("anchor").agg(F.count(F.lit(1)).alias("c"), F.min("zone").alias("z"), F.max("zone").alias("y")).where("c > 1")
+    # Both written, as a join whose sides come straight from a shuffle can be split at a common anchor; an aggregate between would forbid it.
+    anchors = written(shared.select("anchor", (F.col("z") == F.col("y")).alias("alike")), "anchors")
+    # Places of candidate zones, once per distinct text.
     candidates = written(every.join(anchors, "anchor"), "candidates")
     places = written(candidates.groupBy("anchor", "zone", "tid", "at", "n", "alike").agg(F.count(F.lit(1)).alias("c")), "places")
     differing = written(places.where("NOT alike").groupBy("anchor", "zone").agg(
         F.sum("c").alias("c"), F.min(F.struct("tid", "at", "n")).alias("p")).select("anchor", "zone", "c", "p.*"), "distinct-zones")
-    crowded = differing.groupBy("anchor").count().where(F.col("count") > crowd).select("anchor")
+    crowded = written(differing.groupBy("anchor").count().where(F.col("count") > crowd).select("anchor"), "crowded-anchors")
     # One copy of each text that holds the first place of a distinct zone.
     asked = differing.select("tid").distinct()
     copy = rows.select("tid", "doc_id").join(asked, "tid", "left_semi").groupBy("tid").agg(F.min("doc_id").alias("doc_id"))
