@@ -3,9 +3,10 @@
 1. Document frequencies of hashed words over all documents give the weights of TF-IDF.
 2. The benchmark's passages are factored by a randomised SVD that Spark distributes: a random projection of the rows, its
    Gram matrix, the sums that project the rows back per word, and a small eigenproblem. Each word gets a latent vector.
-3. Every window of a document is compared to all passages by cosine. A window whose weight lies too little on words of the benchmark
-   can't reach the threshold (Cauchy-Schwarz) and is left before its vector is made.
-4. Candidates are checked on the words themselves: the longest common subsequence of the item and the words around the
+3. Every window of a document is compared to all passages by cosine, divided by what the latent vectors retain of the passage. A window
+   whose weight lies too little on words of the benchmark can't reach the threshold (Cauchy-Schwarz) and is left before its vector is made.
+4. Whatever the latent vectors lose, a word-for-word copy is found: windows that hold one of a passage's rarest runs of words are candidates.
+5. Candidates are checked on the words themselves: the longest common subsequence of the item and the words around the
    window, how much of the item's weight is there, and, for a paraphrase, whether the item's answer is: its last sentence.
 
 A hit is a copy (COPIED of the item in order) or a paraphrase (REWORDED in order, the answer at ANSWER). Null and empty texts
@@ -33,6 +34,8 @@ BITS, WINDOW, STRIDE, PASSAGE = 17, 32, 16, 48
 RANK, EXTRA, BLOCK = 256, 16, 20000
 #: Cosine of a candidate, and its share of what a passage shorter than a window can reach; shares of an item that make a copy, a paraphrase, an answer; share of the item's weight that must be present.
 COSINE, DILUTED, COPIED, REWORDED, ANSWER, WEIGHT = 0.5, 0.7, 0.8, 0.6, 0.8, 0.6
+#: Words of a run, and places of a passage of which the rarest run is looked for.
+RUN, EVERY = 4, 8
 _TABLE = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
 _SLICES = 64
 
@@ -108,6 +111,22 @@ def _sparse(ids: list[int], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at, x / max(np.linalg.norm(x), 1e-12)
 
 
+def run_keys(ids: np.ndarray, n: int) -> np.ndarray:
+    """A key for each run of n buckets, in the order of the text."""
+    last = len(ids) - n + 1
+    h = ids[:last].astype(np.uint64)
+    for i in range(1, n):
+        h = (h ^ (h >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15) + ids[i:last + i].astype(np.uint64)
+    return (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+
+
+def rarest_runs(ids: np.ndarray, idf: np.ndarray) -> tuple[int, list[int]]:
+    """(words of a run, keys): the run of most weight among every EVERY places of a passage."""
+    n = min(RUN, len(ids))
+    keys, mass = run_keys(ids, n), np.convolve(idf[ids], np.ones(n), "valid")
+    return n, sorted({int(keys[k + np.argmax(mass[k:k + EVERY])]) for k in range(0, len(keys), EVERY)})
+
+
 def _random_rows(at: np.ndarray, width: int) -> np.ndarray:
     """Rows of one fixed random matrix, by bucket: signs from a hash, so every task makes the rows it needs."""
     h = (at[:, None].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.arange(width, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03))
@@ -177,14 +196,38 @@ def answer(text: str) -> list[bytes]:
 class Search:
     """Latent vectors of words and passages, and the items' words, to look for in documents."""
 
-    def __init__(self, idf, at, vectors, items, owners, latents, lengths):
-        self.idf, self.vectors, self.latents, self.owners = idf, vectors, latents, owners
-        self.least = np.minimum(COSINE, DILUTED * np.sqrt(lengths / WINDOW)).astype(np.float32)
-        self.floor = float(self.least.min())
+    def __init__(self, idf, at, vectors, items, owners, latents, lengths, runs):
+        self.idf, self.vectors, self.owners = idf, vectors, owners
+        retained = np.linalg.norm(latents, axis=1)
+        scale = np.maximum(retained, 1e-6)
+        self.toward = (latents / scale[:, None]).astype(np.float32)  # of length one
+        least = np.minimum(COSINE, DILUTED * np.sqrt(lengths / WINDOW))
+        self.floor = float(least.min())
+        self.least = (least * scale).astype(np.float32)
         self.items = [(item, words(text), answer(text)) for item, text in items]
         self.row = np.full(1 << BITS, -1, np.int64)
         self.row[at] = np.arange(len(at))
         self.buckets = Buckets()
+        self.runs = []
+        for n in sorted({n for n, _, _ in runs}):
+            mine = sorted((key, p) for m, key, p in runs if m == n)
+            keys, passage = np.array([k for k, _ in mine], np.uint64), np.array([p for _, p in mine], np.int64)
+            known = np.zeros(1 << 16, bool)
+            known[(keys >> np.uint64(48)).astype(np.int64)] = True
+            self.runs.append((n, keys, passage, known))
+
+    def _copied(self, ids: np.ndarray, windows: int) -> dict[int, set[int]]:
+        """Passages by window that hold one of the window's runs of words."""
+        out: dict[int, set[int]] = {}
+        for n, keys, passage, known in self.runs:
+            if len(ids) < n:
+                continue
+            mine = run_keys(ids, n)
+            places = np.flatnonzero(known[(mine >> np.uint64(48)).astype(np.int64)])
+            lo, hi = np.searchsorted(keys, mine[places], "left"), np.searchsorted(keys, mine[places], "right")
+            for k in np.flatnonzero(hi > lo):
+                out.setdefault(min(int(places[k]) // STRIDE, windows - 1), set()).update(passage[lo[k]:hi[k]].tolist())
+        return out
 
     def hits(self, text: str | None):
         """(item_id, cosine, share of the item in order, kind) of each item found in a text."""
@@ -192,15 +235,15 @@ class Search:
         if not ws:
             return
         ids = self.buckets.of(ws)
-        weight = self.idf[ids]
-        row = self.row[ids]
+        start = np.arange(0, max(1, len(ws) - WINDOW + STRIDE), STRIDE)
+        end = np.minimum(start + WINDOW, len(ws))
+        weight, row = self.idf[ids], self.row[ids]
         square = weight * weight
         mass = np.concatenate([[0.0], np.cumsum(square)])
         known = np.concatenate([[0.0], np.cumsum(np.where(row >= 0, square, 0.0))])
-        start = np.arange(0, max(1, len(ws) - WINDOW + STRIDE), STRIDE)
-        end = np.minimum(start + WINDOW, len(ws))
         size = mass[end] - mass[start]
-        likely = np.flatnonzero((known[end] - known[start] >= self.floor**2 * size) & (size > 0))
+        copied = self._copied(ids, len(start))
+        likely = np.union1d(np.flatnonzero((known[end] - known[start] >= self.floor**2 * size) & (size > 0)), np.array(list(copied), np.int64))
         best: dict[int, list[tuple[float, int]]] = {}
         for k in range(0, len(likely), 64):
             some = likely[k:k + 64]
@@ -209,9 +252,12 @@ class Search:
             inside = np.where(open_, inside, 0)
             held = np.where(open_ & (row[inside] >= 0), weight[inside], 0.0).astype(np.float32)
             vector = np.matmul(held[:, None, :], self.vectors[np.maximum(row[inside], 0)])[:, 0]
-            cosine = (vector @ self.latents.T) / np.sqrt(size[some])[:, None]
-            for w, p in zip(*np.nonzero(cosine >= self.least)):
-                best.setdefault(int(self.owners[p]), []).append((float(cosine[w, p]), int(some[w])))
+            along = (vector @ self.toward.T) / np.sqrt(np.maximum(size[some], 1e-12))[:, None]
+            near = along >= self.least
+            for i, w in enumerate(some.tolist()):
+                near[i, list(copied.get(w, ()))] = True
+            for w, p in zip(*np.nonzero(near)):
+                best.setdefault(int(self.owners[p]), []).append((float(along[w, p]), int(some[w])))
         for item, found in best.items():
             name, wanted, said = self.items[item]
             need = self.idf[self.buckets.of(wanted)]
@@ -225,6 +271,8 @@ class Search:
                 kind = "copy" if share >= COPIED else "paraphrase" if share >= REWORDED and common_subsequence(said, around) >= ANSWER * len(said) else None
                 if kind and (top is None or share > top[1]):
                     top = (cosine, share, kind)
+                    if share == 1:
+                        break
             if top:
                 yield (name, min(1.0, top[0]), *top[1:])
 
@@ -245,16 +293,18 @@ def searches(docs: DataFrame, benchmark: DataFrame) -> Iterator[tuple]:
         texts = [(r["item_id"], r["text"]) for r in mine.toLocalIterator() if words(r["text"])]
         buckets, place = Buckets(), np.full(1 << BITS, -1, np.int64)
         place[at] = np.arange(len(at))
-        owners, latents, lengths = [], [], []
+        owners, latents, lengths, runs = [], [], [], []
         for i, (_, text) in enumerate(texts):
             ids = buckets.of(words(text))
             for part in np.array_split(ids, max(1, -(-len(ids) // PASSAGE))):
                 b, x = _sparse(part, idf)
+                n, keys = rarest_runs(part, idf)
+                runs += [(n, key, len(owners)) for key in keys]
                 owners.append(i)
                 latents.append(x @ vectors[place[b]])
                 lengths.append(len(part))
         if texts:
-            yield idf, at, vectors, texts, np.array(owners), np.array(latents, np.float32), np.array(lengths)
+            yield idf, at, vectors, texts, np.array(owners), np.array(latents, np.float32), np.array(lengths), runs
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

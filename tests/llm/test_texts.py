@@ -256,3 +256,24 @@ def test_contamination_of_odd_rows(spark):
     assert decontam.clean(odd_docs(spark), items).schema == odd_docs(spark).schema
     assert decontam.contaminated(odd_docs(spark), items.where("item_id < 0")).count() == 0
     assert decontam.contaminated(empty(spark), items).count() == 0
+
+
+def zipf_texts(rng, n, words, vocabulary=20000):
+    odds = 1 / np.arange(10, vocabulary + 10)
+    return [" ".join(f"v{w}" for w in rng.choice(vocabulary, words, p=odds / odds.sum())) for _ in range(n)]
+
+
+def test_copies_of_many_passages_are_found(spark):
+    rng = np.random.default_rng(11)
+    passages, texts = zipf_texts(rng, 2000, 40), zipf_texts(rng, 400, 150)
+    owner = {i: int(rng.integers(2000)) for i in range(0, 400, 2)}
+    for i, p in owner.items():
+        at = int(rng.integers(150))
+        texts[i] = " ".join([*texts[i].split()[:at], passages[p], *texts[i].split()[at:]])
+    items = spark.createDataFrame(list(enumerate(passages)), "item_id bigint, text string")
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    assert {(r["doc_id"], r["item_id"]) for r in decontam.contaminated(docs, items).collect()} == set(owner.items())
+    # The latent vectors by themselves, without the runs of words.
+    search = decontam.Search(*next(decontam.searches(docs, items))[:-1], [])
+    found = sum(any(hit[0] == p for hit in search.hits(texts[i])) for i, p in owner.items())
+    assert found >= 0.9 * len(owner)
