@@ -3,8 +3,9 @@
 1. Document frequencies of hashed words over all documents give the weights of TF-IDF.
 2. The benchmark's passages are factored by a randomised SVD that Spark distributes: a random projection of the rows, its
    Gram matrix, the sums that project the rows back per word, and a small eigenproblem. Each word gets a latent vector.
-3. Every window of a document is compared to all passages by cosine, divided by what the latent vectors retain of the passage. A window
-   whose weight lies too little on words of the benchmark can't reach the threshold (Cauchy-Schwarz) and is left before its vector is made.
+3. Every window of a document is compared to all passages: the share of the passage's squared weight that the window holds, as the
+   latent vectors show it and divided by what they retain of the passage. Other words around an item don't lower it. A window
+   whose words can't add up to that share for any passage is left before its vector is made.
 4. Whatever the latent vectors lose, a word-for-word copy is found: windows that hold one of a passage's rarest runs of words are candidates.
 5. Candidates are checked on the words themselves: the longest common subsequence of the item and the words around the
    window, how much of the item's weight is there, and, for a paraphrase, whether the item's answer is: its last sentence.
@@ -32,8 +33,8 @@ from farol.llm import kit
 BITS, WINDOW, STRIDE, PASSAGE = 17, 32, 16, 48
 #: Latent dimensions, extra ones of the random projection, passages that are searched in one pass over the documents.
 RANK, EXTRA, BLOCK = 256, 16, 20000
-#: Cosine of a candidate, and its share of what a passage shorter than a window can reach; shares of an item that make a copy, a paraphrase, an answer; share of the item's weight that must be present.
-COSINE, DILUTED, COPIED, REWORDED, ANSWER, WEIGHT = 0.5, 0.7, 0.8, 0.6, 0.8, 0.6
+#: Share of a passage's squared weight in a candidate: two windows cover any passage, so one of them has half. Shares of an item that make a copy, a paraphrase, an answer; share of the item's weight that must be present.
+HELD, COPIED, REWORDED, ANSWER, WEIGHT = 0.5, 0.8, 0.6, 0.8, 0.6
 #: Words of a run, and places of a passage of which the rarest run is looked for.
 RUN, EVERY = 4, 8
 _TABLE = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
@@ -104,10 +105,15 @@ def passages(items: DataFrame) -> DataFrame:
     return kit.map_rows(items.select("item_id", "text"), f"item_id {kind}, passage int, buckets array<int>", lambda: work)
 
 
+def _weights(ids: list[int], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct buckets and their TF-IDF weights."""
+    at, n = np.unique(np.array(ids, np.int64), return_counts=True)
+    return at, n * idf[at]
+
+
 def _sparse(ids: list[int], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct buckets and their TF-IDF weights, of length one."""
-    at, n = np.unique(np.array(ids, np.int64), return_counts=True)
-    x = n * idf[at]
+    at, x = _weights(ids, idf)
     return at, x / max(np.linalg.norm(x), 1e-12)
 
 
@@ -196,14 +202,13 @@ def answer(text: str) -> list[bytes]:
 class Search:
     """Latent vectors of words and passages, and the items' words, to look for in documents."""
 
-    def __init__(self, idf, at, vectors, items, owners, latents, lengths, runs):
+    def __init__(self, idf, at, vectors, items, owners, latents, lengths, most, runs):
         self.idf, self.vectors, self.owners = idf, vectors, owners
         retained = np.linalg.norm(latents, axis=1)
         scale = np.maximum(retained, 1e-6)
         self.toward = (latents / scale[:, None]).astype(np.float32)  # of length one
-        least = np.minimum(COSINE, DILUTED * np.sqrt(lengths / WINDOW))
-        self.floor = float(least.min())
-        self.least = (least * scale).astype(np.float32)
+        self.least = (HELD * scale * lengths).astype(np.float32)
+        self.most = most
         self.items = [(item, words(text), answer(text)) for item, text in items]
         self.row = np.full(1 << BITS, -1, np.int64)
         self.row[at] = np.arange(len(at))
@@ -237,14 +242,11 @@ class Search:
         ids = self.buckets.of(ws)
         start = np.arange(0, max(1, len(ws) - WINDOW + STRIDE), STRIDE)
         end = np.minimum(start + WINDOW, len(ws))
-        weight, row = self.idf[ids], self.row[ids]
-        square = weight * weight
-        mass = np.concatenate([[0.0], np.cumsum(square)])
-        known = np.concatenate([[0.0], np.cumsum(np.where(row >= 0, square, 0.0))])
-        size = mass[end] - mass[start]
+        reach = np.concatenate([[0.0], np.cumsum(self.most[ids])])
         copied = self._copied(ids, len(start))
-        likely = np.union1d(np.flatnonzero((known[end] - known[start] >= self.floor**2 * size) & (size > 0)), np.array(list(copied), np.int64))
+        likely = np.union1d(np.flatnonzero(reach[end] - reach[start] >= 0.999 * HELD), np.array(list(copied), np.int64))
         best: dict[int, list[tuple[float, int]]] = {}
+        weight, row = self.idf[ids], self.row[ids]
         for k in range(0, len(likely), 64):
             some = likely[k:k + 64]
             inside = start[some][:, None] + np.arange(WINDOW)
@@ -252,12 +254,13 @@ class Search:
             inside = np.where(open_, inside, 0)
             held = np.where(open_ & (row[inside] >= 0), weight[inside], 0.0).astype(np.float32)
             vector = np.matmul(held[:, None, :], self.vectors[np.maximum(row[inside], 0)])[:, 0]
-            along = (vector @ self.toward.T) / np.sqrt(np.maximum(size[some], 1e-12))[:, None]
+            along = vector @ self.toward.T
             near = along >= self.least
             for i, w in enumerate(some.tolist()):
                 near[i, list(copied.get(w, ()))] = True
+            size = np.maximum(np.linalg.norm(vector, axis=1), 1e-12)
             for w, p in zip(*np.nonzero(near)):
-                best.setdefault(int(self.owners[p]), []).append((float(along[w, p]), int(some[w])))
+                best.setdefault(int(self.owners[p]), []).append((float(along[w, p] / size[w]), int(some[w])))
         for item, found in best.items():
             name, wanted, said = self.items[item]
             need = self.idf[self.buckets.of(wanted)]
@@ -293,18 +296,20 @@ def searches(docs: DataFrame, benchmark: DataFrame) -> Iterator[tuple]:
         texts = [(r["item_id"], r["text"]) for r in mine.toLocalIterator() if words(r["text"])]
         buckets, place = Buckets(), np.full(1 << BITS, -1, np.int64)
         place[at] = np.arange(len(at))
-        owners, latents, lengths, runs = [], [], [], []
+        owners, latents, lengths, runs, most = [], [], [], [], np.zeros(1 << BITS)
         for i, (_, text) in enumerate(texts):
             ids = buckets.of(words(text))
             for part in np.array_split(ids, max(1, -(-len(ids) // PASSAGE))):
-                b, x = _sparse(part, idf)
+                b, x = _weights(part, idf)
+                length = np.linalg.norm(x)
                 n, keys = rarest_runs(part, idf)
                 runs += [(n, key, len(owners)) for key in keys]
+                most[b] = np.maximum(most[b], idf[b] * x / length**2)
                 owners.append(i)
-                latents.append(x @ vectors[place[b]])
-                lengths.append(len(part))
+                latents.append(x / length @ vectors[place[b]])
+                lengths.append(length)
         if texts:
-            yield idf, at, vectors, texts, np.array(owners), np.array(latents, np.float32), np.array(lengths), runs
+            yield idf, at, vectors, texts, np.array(owners), np.array(latents, np.float32), np.array(lengths), most, runs
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -277,3 +277,23 @@ def test_copies_of_many_passages_are_found(spark):
     search = decontam.Search(*next(decontam.searches(docs, items))[:-1], [])
     found = sum(any(hit[0] == p for hit in search.hits(texts[i])) for i, p in owner.items())
     assert found >= 0.9 * len(owner)
+
+
+def test_items_in_a_third_of_the_documents_are_found(spark, medium):
+    texts = [r["text"] or "" for r in spark.read.parquet(f"{medium}/documents.parquet").orderBy("doc_id").limit(450).collect()]
+    items = spark.read.parquet(f"{medium}/benchmark.parquet").collect()
+    short = min(items, key=lambda r: len(decontam.words(r["text"])))
+    middle = min(items, key=lambda r: abs(len(decontam.words(r["text"])) - 29))
+    rng = random.Random(12)
+    for item in (short, middle):
+        planted = list(texts)
+        for i in range(0, len(texts), 3):
+            ws = texts[i].split(" ")
+            at = rng.randint(0, len(ws))
+            planted[i] = " ".join([*ws[:at], item["text"], *ws[at:]])
+        docs = spark.createDataFrame(list(enumerate(planted)), "doc_id bigint, text string")
+        found = decontam.contaminated(docs, spark.createDataFrame([tuple(r) for r in items], "item_id bigint, text string"))
+        assert {r["doc_id"] for r in found.where(f"item_id = {item['item_id']}").collect()} >= set(range(0, len(texts), 3))
+        # The latent vectors by themselves, without the runs of words.
+        search = decontam.Search(*next(decontam.searches(docs, spark.createDataFrame([tuple(r) for r in items], "item_id bigint, text string")))[:-1], [])
+        assert sum(any(hit[0] == item["item_id"] for hit in search.hits(planted[i])) for i in range(0, len(texts), 3)) == len(range(0, len(texts), 3))
