@@ -297,3 +297,10 @@ def test_items_in_a_third_of_the_documents_are_found(spark, medium):
         # The latent vectors by themselves, without the runs of words.
         search = decontam.Search(*next(decontam.searches(docs, spark.createDataFrame([tuple(r) for r in items], "item_id bigint, text string")))[:-1], [])
         assert sum(any(hit[0] == item["item_id"] for hit in search.hits(planted[i])) for i in range(0, len(texts), 3)) == len(range(0, len(texts), 3))
+
+
+def test_unlike_texts_with_a_repeated_line_stay(spark):
+    rng = random.Random(21)
+    rows = [(i, " ".join(["x"] * 300 + [f"w{rng.randrange(10**6)}" for _ in range(200)])) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert simhash.one_of_each(docs).count() == len(rows)
