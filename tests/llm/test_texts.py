@@ -304,3 +304,20 @@ def test_unlike_texts_with_a_repeated_line_stay(spark):
     rows = [(i, " ".join(["x"] * 300 + [f"w{rng.randrange(10**6)}" for _ in range(200)])) for i in range(40)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
     assert simhash.one_of_each(docs).count() == len(rows)
+
+
+def test_pairs_are_found_at_the_similarity(spark):
+    """Recall of the pipeline's setting; a pair of 300 shingles shares as many as the similarity needs."""
+    rng, texts, wanted = random.Random(22), [], {}
+    word = lambda: f"w{rng.randrange(10**7)}"
+    for similarity in (0.8, 0.85, 0.9):
+        for _ in range(100):
+            a = [word() for _ in range(304)]
+            gone = int(300 * (1 - similarity) / (1 + similarity))
+            wanted[len(texts)] = similarity
+            texts += [" ".join(a), " ".join(a[:304 - gone] + [word() for _ in range(gone)])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    kept = {r["doc_id"] for r in simhash.one_of_each(docs).select("doc_id").collect()}
+    found = collections.Counter(s for i, s in wanted.items() if i + 1 not in kept)
+    print(dict(found))
+    assert found[0.8] >= 80 and found[0.85] >= 90 and found[0.9] >= 95
