@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farol.llm import ann, bpe, chat, decontam, kit, langid, licenses, simhash, suffixes, toxicity, urlfilter
+from farol.llm import ann, bpe, chat, decontam, kit, langid, licenses, merkle, simhash, suffixes, toxicity, urlfilter
 from farol.queries.registry import Query
 
 QUERIES: dict[str, Query] = {}
@@ -104,3 +104,40 @@ def suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_decontamination")
 def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def _field(value: str) -> str:
+    return f"coalesce(strlen({value}::VARCHAR) || ':' || {value}::VARCHAR, '-')"
+
+
+def _leaf(n_chars: str) -> str:
+    return f"sha256({' || '.join(map(_field, ('doc_id', 'source', 'lang', n_chars, 'text')))})"
+
+
+_LEVEL = "SELECT tree, level + 1, pos // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY pos)) FROM {0} WHERE n > 1 GROUP BY tree, level, pos // 2, n"
+_FOLD = """SELECT f.id, f.tree, f.level + 1, f.pos // 2, (f.n + 1) // 2, f.proof || coalesce(s.h, ''),
+       sha256(CASE WHEN s.h IS NULL THEN f.folded WHEN f.pos % 2 = 0 THEN f.folded || s.h ELSE s.h || f.folded END)
+FROM {0} f LEFT JOIN {1} s ON s.tree = f.tree AND s.level = f.level AND s.pos = xor(f.pos, 1) WHERE f.n > 1"""
+
+
+@query("op13_merkle", f"""
+WITH RECURSIVE own AS (
+  SELECT row_number() OVER () AS id, doc_id, lang, {_leaf('n_chars')} AS leaf, {_leaf('(n_chars + 1)')} AS changed,
+         xor(list_reduce(list_prepend(4294967295::BIGINT, flatten([[ord(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1] FOR c IN string_split(doc_id::VARCHAR, '')])),
+             lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END), 4294967295) AS crc
+  FROM documents),
+leaves AS MATERIALIZED (
+  SELECT *, coalesce('=' || lang, '-') AS tree, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf, id) - 1 AS pos,
+         count(*) OVER (PARTITION BY lang) AS n, CASE WHEN crc % 7 = 0 THEN changed ELSE leaf END AS held FROM own),
+nodes(tree, level, pos, n, h) AS (SELECT tree, 0, pos, n, leaf FROM leaves UNION ALL {_LEVEL.format('nodes')}),
+subroots AS MATERIALIZED (SELECT tree AS under, h, row_number() OVER (ORDER BY tree) - 1 AS pos, count(*) OVER () AS n FROM nodes WHERE n = 1),
+tops(tree, level, pos, n, h) AS (SELECT '', 0, pos, n, h FROM subroots UNION ALL {_LEVEL.format('tops')}),
+low(id, tree, level, pos, n, proof, folded) AS (SELECT id, tree, 0, pos, n, '', held FROM leaves UNION ALL {_FOLD.format('low', 'nodes')}),
+high(id, tree, level, pos, n, proof, folded) AS (
+  SELECT l.id, '', 0, s.pos, s.n, l.proof, l.folded FROM low l JOIN subroots s ON s.under = l.tree WHERE l.n = 1 UNION ALL {_FOLD.format('high', 'tops')})
+SELECT d.doc_id, d.leaf, s.h AS subroot, t.h AS root, sha256(f.proof) AS proof_sha256, f.folded AS folded_root, f.folded = t.h AS verified
+FROM leaves d JOIN high f ON f.id = d.id AND f.n = 1 JOIN subroots s ON s.under = d.tree, tops t WHERE t.n = 1""")
+def merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    seventh = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(7)) == 0
+    made = merkle.manifest(merkle.document_leaves(table(spark, sf_dir, "documents"), seventh))
+    return made.withColumnRenamed("order", "doc_id")

@@ -5,9 +5,6 @@ an odd product with v. Two fingerprints that differ in at most `radius` position
 `radius` dimensions, so some v is orthogonal to all of them: under that mask the two are equal. The 2**(radius+1) - 1 masks
 therefore miss no pair within the radius.
 
-`one_of_each` goes by the Jaccard similarity of the texts' sets of word runs instead. Tables of a few bits of the fingerprints only
-propose links there, and every link is checked on the sets themselves.
-
 Nulls count as empty texts; an empty text has fingerprint zero and is linked like any other. Copies collapse to one
 fingerprint before any bucket is made, and a bucket returns a spanning forest of its links, never its pairs.
 """
@@ -28,8 +25,6 @@ from farol.llm import kit
 
 #: Fingerprints of one bucket that a task compares among themselves; larger buckets are taken apart first.
 BUCKET = 4096
-#: Tables that propose links for a similarity, bits in each one's key, deviations allowed to the differing bits; sets of a block.
-TABLES, KEY, SLACK, BLOCK = 126, 20, 3, 256
 _BITS = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(np.int64)
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -188,132 +183,13 @@ def _linked(nodes: DataFrame, tables: list, radius: int, total: int, most: int,
     return out.distinct()
 
 
-def reach(similarity: float, bits: int) -> int:
-    """Bits in which shingle sets of that Jaccard similarity differ: the angle's share of all bits and SLACK deviations."""
-    share = np.arccos(2 * similarity / (1 + similarity)) / np.pi
-    return int(np.ceil(bits * share + SLACK * np.sqrt(bits * share * (1 - share))))
-
-
-def key_masks(views: int) -> list[list[int]]:
-    """For each table a mask per view as signed numbers, KEY bits in all, the same ones in every run."""
-    rng, out = np.random.default_rng(1), []
-    for _ in range(TABLES):
-        held = [0] * views
-        for i in rng.choice(64 * views, KEY, replace=False).tolist():
-            held[i // 64] |= 1 << i % 64
-        out.append([m - (1 << 64) if m >> 63 else m for m in held])
-    return out
-
-
-def proposed(nodes: DataFrame, views: int, similarity: float, most: int | None = None) -> DataFrame:
-    """(node, fp array) distinct -> (a, b): links of what has equal keys in a table and differs in no more bits than `reach`."""
-    tables = [F.struct(F.lit(0).alias("view"), F.xxhash64(F.lit(t), *[F.col("fp")[v].bitwiseAND(F.lit(m)) for v, m in enumerate(held)]).alias("bucket"))
-              for t, held in enumerate(key_masks(views))]
-    return _linked(nodes, tables, 64, reach(similarity, 64 * views), most or BUCKET, False)
-
-
-def alike(shared, a, b, similarity: float):
-    """Whether sets of a and b members that share so many have that Jaccard similarity."""
-    return shared >= similarity * (a + b - shared) - 1e-9
-
-
-def similar_sets(sets: list[np.ndarray], similarity: float) -> list[tuple[int, int]]:
-    """Links that connect all pairs of sets of that Jaccard similarity, one less than sets at most."""
-    sizes = np.array([len(x) for x in sets])
-    codes = np.unique(np.concatenate(sets), return_inverse=True)[1]
-    cuts = np.concatenate([[0], np.cumsum(sizes)])
-    order = np.argsort(codes, kind="stable")
-    holders, first = np.repeat(np.arange(len(sets)), sizes)[order], np.concatenate([[0], np.cumsum(np.bincount(codes))])
-    label, out = np.arange(len(sets)), []
-    for i in range(len(sets)):
-        mine = codes[cuts[i]:cuts[i + 1]]
-        shared = np.bincount(np.concatenate([holders[first[c]:first[c + 1]] for c in mine]) if len(mine) else mine, minlength=len(sets))
-        for j in np.flatnonzero(alike(shared, sizes[i], sizes, similarity)):
-            if label[i] != label[j]:
-                label[label == label[j]] = label[i]
-                out.append((i, int(j)))
-    return out
-
-
-def _checked(found: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """The links (a, b) whose sets have that Jaccard similarity."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x, y = ([np.frombuffer(v.as_py(), np.uint64) for v in batch.column(i)] for i in (2, 3))
-            fine = pa.array([bool(alike(len(np.intersect1d(p, q, True)), len(p), len(q), similarity)) for p, q in zip(x, y)], pa.bool_())
-            yield batch.select([0, 1]).filter(fine)
-
-    both = found.join(sets.select(F.col("node").alias("a"), F.col("held").alias("x")), "a").join(sets.select(F.col("node").alias("b"), F.col("held").alias("y")), "b")
-    return both.select("a", "b", "x", "y").mapInArrow(run, "a bigint, b bigint")
-
-
-def _met(members: DataFrame, sets: DataFrame, similarity: float, most: int) -> DataFrame:
-    """(node, root) -> (a, b): links between all sets under a root that have that similarity. Members are dealt into blocks by hash and
-    every two blocks under a root meet in one task."""
-    sizes = members.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / F.lit(most)).cast("int").alias("blocks"))
-    dealt = members.join(sizes, "root").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    met = dealt.select("node", F.explode(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.xxhash64(
-        "root", F.least("block", o), F.greatest("block", o)))).alias("bucket")).join(sets, "node").select("bucket", "node", "held")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        name, nodes, held = None, [], []
-
-        def close():
-            pairs = similar_sets(held, similarity) if len(held) > 1 else []
-            return pa.RecordBatch.from_arrays([pa.array([nodes[p[k]] for p in pairs], pa.int64()) for k in (0, 1)], names=["a", "b"])
-
-        for batch in batches:
-            for bucket, node, one in zip(*(c.to_pylist() for c in batch.columns)):
-                if bucket != name:
-                    yield close()
-                    name, nodes, held = bucket, [], []
-                nodes.append(node)
-                held.append(np.frombuffer(one, np.uint64))
-        yield close()
-
-    return met.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, "a bigint, b bigint")
-
-
-def set_links(texts: DataFrame, nodes: DataFrame, words: int, similarity: float, views: int, most: int | None = None) -> DataFrame:
-    """(doc_id, text), (node, fp, key of a text) -> (a, b): links between sets of that Jaccard similarity.
-
-    Proposed links are checked first. Where that leaves what was linked in several parts, all its members meet.
-    """
-    loose = written(proposed(nodes.select("node", "fp"), views, similarity, most), "proposed")
-    linked = loose.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    chosen = nodes.join(linked, "node").select("node", F.col("key").alias("doc_id")).join(texts, "doc_id").dropDuplicates(["node"]).select("node", "text")
-    sets = written(kit.map_rows(chosen, "node bigint, held binary", lambda: lambda c: [c[0], [np.unique(shingle_hashes(t, words)).tobytes() for t in c[1]]]), "sets")
-    fine = written(_checked(loose, sets, similarity), "checked")
-    weak, strong = kit.components(loose), kit.components(fine).withColumnRenamed("root", "part")
-    parts = weak.join(strong, "node", "left").select("node", "root", F.coalesce("part", "node").alias("part"))
-    several = parts.groupBy("root").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high").select("root")
-    members = written(parts.join(several, "root").select("node", "root"), "parted")
-    return fine.unionByName(_met(members, sets, similarity, most or BLOCK)).distinct()
-
-
-def one_of_each(docs: DataFrame, words: int = 5, similarity: float = 0.8, views: int = 2, most: int | None = None) -> DataFrame:
-    """The documents without near copies: of each group the row with the smallest doc_id stays, of repeated rows one.
-
-    Two texts are linked if their sets of runs of `words` words have that Jaccard similarity and their fingerprints, of `views`
-    independent sets of hashes, bring them together. Null texts count as empty ones; a null doc_id is the smallest.
-    """
-    sha = F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")), 256)
-    tagged = docs.withColumn("__key", F.xxhash64("doc_id", sha))
-    ids = tagged.select(F.col("__key").alias("doc_id"), "text")
-
-    def work(columns):
-        sets = [np.unique(shingle_hashes(t, words)) for t in columns[1]]
-        return [columns[0], [int(np.int64(np.uint64(xxhash.xxh64_intdigest(x.tobytes())).view(np.int64))) for x in sets], [_views(x, views) for x in sets]]
-
-    own = written(kit.map_rows(ids, "key bigint, node bigint, fp array<bigint>", lambda: work), "fingerprints")
-    named = tagged.select(F.col("__key").alias("key"), "doc_id").distinct()
-    nodes = own.groupBy("node", "fp").agg(F.min("key").alias("key"))
-    roots = kit.components(set_links(ids, nodes, words, similarity, views, most))
-    grouped = own.select("key", "node").distinct().join(roots, "node", "left").select("key", F.coalesce("root", "node").alias("root"))
-    first = grouped.join(named, "key").groupBy("root").agg(F.min(F.struct("doc_id", "key")).alias("m")).select(F.col("m.key").alias("__key"))
-    kept = tagged.join(first, "__key")
-    return kept.dropDuplicates(["__key"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+def _rooted(each: DataFrame, radius: int, bucket: int | None) -> DataFrame:
+    """(doc_id, fp) -> (fp, component_id) per distinct fingerprint."""
+    first = written(each.groupBy("fp").agg(F.min("doc_id").alias("low")), "distinct-fingerprints")
+    roots = kit.components(links(first.select(F.col("fp").alias("node"), F.array("fp").alias("fp")), radius, most=bucket))
+    rooted = first.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
+    low = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
+    return rooted.join(low, "root").select("fp", "root", "component_id")
 
 
 def near_duplicates(docs: DataFrame, words: int = 3, radius: int = 2, bucket: int | None = None) -> DataFrame:
@@ -323,9 +199,22 @@ def near_duplicates(docs: DataFrame, words: int = 3, radius: int = 2, bucket: in
     has a null component_id. An empty table gives an empty table.
     """
     each = written(fingerprints(docs, words).select("doc_id", F.col("fp")[0].alias("fp")), "fingerprints")
-    first = written(each.groupBy("fp").agg(F.min("doc_id").alias("low")), "distinct-fingerprints")
-    roots = kit.components(links(first.select(F.col("fp").alias("node"), F.array("fp").alias("fp")), radius, most=bucket))
-    rooted = first.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
-    low = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
-    return each.join(rooted.join(low, "root").select("fp", "component_id"), "fp").select(
+    return each.join(_rooted(each, radius, bucket), "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def one_of_each(docs: DataFrame, words: int = 3, radius: int = 2, bucket: int | None = None) -> DataFrame:
+    """The documents without near-duplicates: of each component of `near_duplicates` the row with the smallest doc_id stays.
+
+    A null doc_id comes after all others; of rows with the same id the one whose text has the smallest sha256 stays, of repeated rows one.
+    """
+    name = F.coalesce(F.concat(F.lit("="), F.col("doc_id").cast("string")), F.lit("-"))
+    key = F.concat(F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")), 256), name)
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    made = kit.map_rows(docs.select("doc_id", "text", key.alias("key")), f"doc_id {kind}, fp bigint, key string",
+                        lambda: lambda c: [c[0], [fingerprints_of(t, words, 1)[0] for t in c[1]], c[2]])
+    each = written(made, "fingerprints")
+    first = each.join(_rooted(each, radius, bucket), "fp").groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key")).alias("m"))
+    stay = first.select(F.col("m.key").alias("__key"))
+    kept = docs.withColumn("__key", key).join(stay, "__key", "left_semi")
+    return kept.dropDuplicates(["__key"]).select(*[F.col(f"`{c}`") for c in docs.columns])
