@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farol.llm import ann, bpe, chat, decontam, kit, langid, licenses, merkle, simhash, suffixes, toxicity, urlfilter
+from farol.llm import ann, bpe, chat, codes, decontam, kit, langid, licenses, merkle, simhash, suffixes, toxicity, urlfilter
 from farol.queries.registry import Query
 
 QUERIES: dict[str, Query] = {}
@@ -141,3 +141,32 @@ def merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     seventh = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(7)) == 0
     made = merkle.manifest(merkle.document_leaves(table(spark, sf_dir, "documents"), seventh))
     return made.withColumnRenamed("order", "doc_id")
+
+
+def _lloyd(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    """Rounds as one common table expression each: assignment, then books."""
+    def assigned(r: int) -> str:
+        return f"""a{r} AS MATERIALIZED (SELECT id, k, c, min((off, e)) AS m FROM (
+  SELECT p.id, p.k, p.c, b.e, list_sum([(x[1] - x[2]) * (x[1] - x[2]) FOR x IN list_zip(p.c, b.c)])::HUGEINT AS off FROM parts p JOIN b{r} b USING (k)) GROUP BY id, k, c)"""
+
+    def books(r: int) -> str:
+        return f"""b{r + 1} AS MATERIALIZED (SELECT b.k, b.e, coalesce(n.c, b.c) AS c FROM b{r} b LEFT JOIN (
+  SELECT k, e, list(v ORDER BY j) AS c FROM (SELECT k, m[2] AS e, j, floor(sum(c[j])::DOUBLE / count(*))::HUGEINT AS v FROM a{r}, range(1, len(a{r}.c) + 1) t(j) GROUP BY ALL)
+  GROUP BY k, e) n USING (k, e))"""
+
+    steps = [f for r in range(rounds) for f in (assigned(r), books(r))] + [assigned(rounds)]
+    return f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS id, vec_id, label, [floor(4096 * x::DOUBLE)::HUGEINT FOR x IN embedding] AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+parts AS MATERIALIZED (SELECT id, k, v[k * (len(v) // {parts}) + 1 : (k + 1) * (len(v) // {parts})] AS c FROM kept, range(0, {parts}) t(k)),
+b0 AS MATERIALIZED (SELECT k, id - 1 AS e, c FROM parts WHERE id <= {entries}),
+{", ".join(steps)},
+coded AS (SELECT id, string_agg(printf('%02x', m[2]::INT), '' ORDER BY k) AS code, sum(m[1])::BIGINT AS error FROM a{rounds} GROUP BY id),
+sha AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY k, e)) AS codebooks_sha256 FROM b{rounds})
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, codebooks_sha256 FROM kept JOIN coded USING (id), sha"""
+
+
+@query("op12_vector_codes", _lloyd())
+def vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.product_codes(table(spark, sf_dir, "embeddings"), parts=8, entries=16, rounds=6, scale=4096)
