@@ -16,14 +16,19 @@ from farol.functions.storage import written
 Rows = Callable[[list[list]], list[list]]
 
 
+def arrow_schema(schema: str) -> pa.Schema:
+    """The Arrow form of a schema text."""
+    parsed = _parse_datatype_string(schema)
+    assert isinstance(parsed, StructType)
+    return to_arrow_schema(parsed)
+
+
 def map_rows(df: DataFrame, schema: str, make: Callable[[], Rows], rows: int = 512) -> DataFrame:
     """Columns of Python values in, columns out, at most `rows` rows at a time.
 
     `make()` runs once per task and returns the function, so tables and caches live as long as the task.
     """
-    parsed = _parse_datatype_string(schema)
-    assert isinstance(parsed, StructType)
-    arrow = to_arrow_schema(parsed)
+    arrow = arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
@@ -34,7 +39,7 @@ def map_rows(df: DataFrame, schema: str, make: Callable[[], Rows], rows: int = 5
                 if len(out[0]):
                     yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(out, arrow)], schema=arrow)
 
-    return df.mapInArrow(run, parsed)
+    return df.mapInArrow(run, schema)
 
 
 def code_points(text: str) -> np.ndarray:

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farol.llm import ann, bpe, chat, codes, decontam, kit, langid, licenses, merkle, simhash, suffixes, toxicity, urlfilter
+from farol.llm import ann, bpe, chat, codes, countjoin, decontam, kit, langid, licenses, merkle, simhash, suffixes, toxicity, urlfilter
 from farol.queries.registry import Query
 
 QUERIES: dict[str, Query] = {}
@@ -170,3 +170,21 @@ SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS labe
 @query("op12_vector_codes", _lloyd())
 def vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return codes.product_codes(table(spark, sf_dir, "embeddings"), parts=8, entries=16, rounds=6, scale=4096)
+
+
+@query("op11_jaccard_join", r"""
+WITH RECURSIVE w AS (
+  SELECT row_number() OVER () AS id, doc_id,
+         list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents),
+s AS MATERIALIZED (SELECT id, unnest(list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+                                                   ELSE [array_to_string(w[i:i + 3], ' ') FOR i IN range(1, len(w) - 2)] END)) AS g FROM w),
+sizes AS MATERIALIZED (SELECT id, count(*) AS n FROM s GROUP BY id),
+links AS MATERIALIZED (
+  SELECT x, y FROM (SELECT a.id AS x, b.id AS y, count(*) AS c FROM s a JOIN s b USING (g) WHERE a.id <> b.id GROUP BY ALL)
+  JOIN sizes m ON m.id = x JOIN sizes n ON n.id = y WHERE 100 * c >= 85 * (m.n + n.n - c)),
+reach(x, y) AS (SELECT x, y FROM links UNION SELECT r.x, l.y FROM reach r JOIN links l ON l.x = r.y),
+low AS (SELECT r.x AS id, min(w.doc_id) AS other FROM reach r JOIN w ON w.id = r.y GROUP BY r.x)
+SELECT w.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least(w.doc_id, other) AS component_id FROM w LEFT JOIN sizes USING (id) LEFT JOIN low USING (id)""")
+def jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return countjoin.jaccard_components(table(spark, sf_dir, "documents"), words=4, percent=85)
