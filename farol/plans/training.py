@@ -10,6 +10,7 @@ from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import Model, PipelineModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,9 +19,10 @@ from farol.functions.columns import col
 from farol.functions.running import balanced_edges
 from farol.functions.storage import written
 from farol.operators.metrics import compute_metrics
+from farol.operators.newton import Setting, fit_many, score_many
 from farol.operators.prep import Preprocessor, feature_names_out, inject_missing
 from farol.operators.split import learning_shares, learning_subsets, stratified_folds, train_and_validation
-from farol.plans.catalog import FAMILIES, Family, class_counts, packed, with_score
+from farol.plans.catalog import FAMILIES, Family, class_counts, class_weights, packed, with_score
 
 CV_METRICS = ("roc_auc", "pr_auc", "recall", "precision", "f1", "accuracy")
 
@@ -67,13 +69,44 @@ def part_metrics(scored: DataFrame, part: str = "part", edges: Sequence[float] |
     return {r[part]: {m: r[m] for m in CV_METRICS} for r in rows}
 
 
+def stacked_designs(train: DataFrame, roles: Roles, scaler: str, folds: Sequence, preps: Mapping, fold: str = "fold") -> DataFrame:
+    """(fold, label, one array per fold): the features as each fold's preprocessing makes them, written once for all passes."""
+    table = train.select("label", F.col(fold).alias("__fold"), *[col(c) for c in roles.features])
+    for i, f in enumerate(folds):
+        table = preps[(scaler, f)].transform(table).withColumn(f"__x{i}", vector_to_array("features")).drop("features")
+    designs = [f"__x{i}" for i in range(len(folds))]
+    return written(table.select(F.col("__fold").cast("int").alias("fold"), F.col("label").cast("int").alias("label"), *designs), "designs")
+
+
+def logistic_search(train: DataFrame, roles: Roles, family: Family, folds: Sequence, preps: Mapping, fold: str = "fold") -> dict[tuple, dict]:
+    """M10 for logistic regression: (candidate, fold, part) -> metrics. All candidates and folds take each Newton step in one job,
+    and one more job scores and measures them."""
+    rows = stacked_designs(train, roles, family.scaler, folds, preps, fold)
+    counts: dict = {f: {} for f in folds}
+    for r in rows.groupBy("fold", "label").count().collect():
+        for f in folds:
+            if r["fold"] != f:
+                counts[f][r["label"]] = counts[f].get(r["label"], 0) + r["count"]
+    settings, names = [], []
+    for i, params in enumerate(family.candidates()):
+        for f in folds:
+            weights = class_weights(counts[f]) if params.get("class_weight") == "balanced" else {}
+            settings.append(Setting(int(f), params.get("C", 1.0), (weights.get(0, 1.0), weights.get(1, 1.0))))
+            names.append((i, f))
+    fitted, _ = fit_many(rows, [int(f) for f in folds], settings)
+    edges = balanced_edges(score_many(rows, [int(f) for f in folds], settings[:1], fitted[:1]), "score")
+    scored = score_many(rows, [int(f) for f in folds], settings, fitted)
+    found = compute_metrics(scored, by=["model", "part"], edges=edges).collect()
+    return {(*names[r["model"]], r["part"]): {m: r[m] for m in CV_METRICS} for r in found}
+
+
 def cross_validate(train: DataFrame, roles: Roles, family: Family, fold: str = "fold", seed: int = words.SEED, parallelism: int = 4,
                    preps: dict | None = None) -> tuple[DataFrame, float]:
     """(family, candidate, params, fold, part, metrics...) for every candidate and fold, and the seconds taken.
 
     Preprocessing is fit once per fold on that fold's training rows and shared by all candidates, as
-    its result does not depend on them. Fits run from a few driver threads, each a distributed job.
-    Range edges are sketched on the scores of the first fit and kept: they only spread the work.
+    its result does not depend on them. Logistic regressions learn all at once, see `logistic_search`; the other fits run
+    from a few driver threads, each a distributed job. Range edges are sketched on the scores of the first fit and kept: they only spread the work.
     """
     spark = train.sparkSession
     started = time.perf_counter()
@@ -83,6 +116,11 @@ def cross_validate(train: DataFrame, roles: Roles, family: Family, fold: str = "
         if (family.scaler, f) not in preps:
             preps[(family.scaler, f)] = roles.prep(family.scaler).fit(train.where(F.col(fold) != f))
     candidates = family.candidates()
+    schema = "family string, candidate int, params string, fold int, part string, " + ", ".join(f"{m} double" for m in CV_METRICS)
+    if family.key == "logistic_regression":
+        rows = [(family.key, i, json.dumps(candidates[i], sort_keys=True), int(f), part, *[m[c] for c in CV_METRICS])
+                for (i, f, part), m in logistic_search(train, roles, family, folds, preps, fold).items()]
+        return spark.createDataFrame(rows, schema), time.perf_counter() - started
 
     kept: dict[str, list[float]] = {}
 
@@ -100,7 +138,6 @@ def cross_validate(train: DataFrame, roles: Roles, family: Family, fold: str = "
     tasks = [(i, f) for i in range(len(candidates)) for f in folds]
     with ThreadPool(max(1, min(parallelism, len(tasks)))) as pool:
         rows = [r for rs in pool.map(inheritable_thread_target(spark)(run), tasks) for r in rs]
-    schema = "family string, candidate int, params string, fold int, part string, " + ", ".join(f"{m} double" for m in CV_METRICS)
     return spark.createDataFrame(rows, schema), time.perf_counter() - started
 
 

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from farol.functions.storage import fresh_path, written
+from farol.operators import exact_tree as X
 from farol.operators import explain as I
 from farol.operators import metrics as M
+from farol.operators import newton as N
 from farol.operators import report as R
 from farol.operators import split as T
+from farol.operators.prep import Preprocessor
 from farol.plans import catalog as K
 from farol.plans import run as Run
 from farol.plans import training as P
@@ -22,7 +26,7 @@ from farol.sources import artifact as Art
 from farol.sources import tables as S
 
 WITH_CASES = "WITH " + CASES_SQL
-ROLES = P.Roles(["total", "n_lines", "qty_sum", "price_max", "qty_min"], ["priority"])
+ROLES = P.Roles(list(views.NUMERIC), ["priority", "status"])
 
 
 def parts(spark, sf):
@@ -46,6 +50,70 @@ def m1(spark, sf):
     return _test_metrics(spark, sf, "logistic_regression", C=1.0)
 
 
+STEPS = 12
+
+
+def _newton_sql(features: list[str], c: float) -> str:
+    """Newton steps from zero as one common table expression each: sums of loss derivatives, then elimination without row exchange, as the
+    curvature is positive definite. One step's equations are a list of rows, a step's last column the right-hand side."""
+    d = len(features) + 1
+    held = [1.0 / c] * (d - 1) + [0.0]
+    steps = ["b0 AS (SELECT [" + ", ".join(["0::double"] * d) + "] AS b)"]
+    for r in range(STEPS):
+        rows = ["[" + ", ".join([f"sum(w * x[{i + 1}] * x[{j + 1}]) + {held[i] if i == j else 0.0}::double" for j in range(d)]
+                                + [f"sum(x[{i + 1}] * e) + {held[i]}::double * any_value(b[{i + 1}])"]) + "]" for i in range(d)]
+        steps.append(f"""p{r} AS (SELECT x, y, b, 1 / (1 + exp(-list_sum([u[1] * u[2] FOR u IN list_zip(x, b)]))) AS p FROM design, b{r}),
+m{r}_0 AS MATERIALIZED (SELECT any_value(b) AS b, [{", ".join(rows)}] AS m FROM (SELECT x, b, p * (1 - p) AS w, p - y AS e FROM p{r}))""")
+        for k in range(1, d + 1):
+            steps.append(f"""m{r}_{k} AS MATERIALIZED (SELECT b, [CASE WHEN i = {k} THEN [v / m[{k}][{k}] FOR v IN m[{k}]]
+  ELSE [u[1] - m[i][{k}] * u[2] / m[{k}][{k}] FOR u IN list_zip(m[i], m[{k}])] END FOR i IN range(1, {d + 1})] AS m FROM m{r}_{k - 1})""")
+        steps.append(f"b{r + 1} AS MATERIALIZED (SELECT [b[i] - m[i][{d + 1}] FOR i IN range(1, {d + 1})] AS b FROM m{r}_{d})")
+    return ", ".join(steps)
+
+
+PREPARED_ALL_SQL = WITH_CASES + ", med AS (SELECT " + ", ".join(f"quantile_cont({c}::double, 0.5) AS {c}" for c in views.NUMERIC) + """ FROM cases),
+filled AS (SELECT id, diagnosis, """ + ", ".join(f"coalesce(g.{c}, m.{c})::double AS {c}" for c in views.NUMERIC) + """ FROM cases g, med m),
+st AS (SELECT """ + ", ".join(f"avg({c}) AS a_{c}, stddev_pop({c}) AS s_{c}" for c in views.NUMERIC) + """ FROM filled),
+design AS MATERIALIZED (SELECT id, (diagnosis = 'M')::int AS y, [""" + ", ".join(f"({c} - a_{c}) / s_{c}" for c in views.NUMERIC) + """, 1::double] AS x FROM filled, st)"""
+
+
+@query("m1_newton", PREPARED_ALL_SQL + ", " + _newton_sql(list(views.NUMERIC), 1.0) + f"""
+SELECT unnest([{", ".join(f"'{c}'" for c in (*views.NUMERIC, 'intercept'))}]) AS feature, round(unnest(b), 6) AS coefficient FROM b{STEPS}""")
+def m1_newton(spark, sf):
+    c = views.cases(spark, sf).withColumn("label", (F.col("diagnosis") == "M").cast("int")).select("label", *views.NUMERIC)
+    prepared = Preprocessor(numericCols=list(views.NUMERIC)).fit(c).transform(c)
+    rows = written(prepared.select(F.lit(-1).alias("fold"), "label", vector_to_array("features").alias("x")), "design")
+    fitted, _ = N.fit_many(rows, [0], [N.Setting(0, 1.0)])
+    return tidy(spark.createDataFrame([(f, float(b)) for f, b in zip((*views.NUMERIC, "intercept"), fitted[0])], "feature string, coefficient double"))
+
+
+def _split_sql(level: str, source: str) -> str:
+    """Best border of each node of `source` (node, y, features)."""
+    long = " UNION ALL ".join(f"SELECT node, y, {i} AS k, '{c}' AS feature, {c}::double AS v FROM {source} WHERE {c} IS NOT NULL" for i, c in enumerate(views.NUMERIC))
+    gini = lambda pos, n: f"(1 - ({pos})::double / ({n}) * (({pos})::double / ({n})) - (1 - ({pos})::double / ({n})) * (1 - ({pos})::double / ({n})))"
+    return f"""pts{level} AS (SELECT node, k, feature, v, count(*) AS c, sum(y) AS s FROM ({long}) GROUP BY ALL),
+cum{level} AS (SELECT *, sum(c) OVER w AS ln, sum(s) OVER w AS lp, sum(c) OVER g AS n, sum(s) OVER g AS pos, lead(v) OVER (PARTITION BY node, k ORDER BY v) AS nv
+  FROM pts{level} WINDOW w AS (PARTITION BY node, k ORDER BY v), g AS (PARTITION BY node, k)),
+best{level} AS MATERIALIZED (SELECT * FROM (
+  SELECT node, k, feature, (v + nv) / 2 AS threshold, n, pos, ln, lp, round({gini('pos', 'n')} - (ln * {gini('lp', 'ln')} + (n - ln) * {gini('pos - lp', 'n - ln')}) / n, 9) AS gain
+  FROM cum{level} WHERE nv IS NOT NULL AND ln >= 5 AND n - ln >= 5) WHERE gain > 0 QUALIFY row_number() OVER (PARTITION BY node ORDER BY gain DESC, k, threshold) = 1)"""
+
+
+def _side_sql(level: str, source: str) -> str:
+    value = "CASE b.feature " + " ".join(f"WHEN '{c}' THEN s.{c}::double" for c in views.NUMERIC) + " END"
+    return f"SELECT s.* REPLACE (CASE WHEN coalesce({value} <= b.threshold, false) THEN 2 * s.node ELSE 2 * s.node + 1 END AS node) FROM {source} s JOIN best{level} b USING (node)"
+
+
+@query("m2_exact_splits", WITH_CASES + f""",
+n0 AS (SELECT 1 AS node, (diagnosis = 'M')::int AS y, {", ".join(views.NUMERIC)} FROM cases), {_split_sql('0', 'n0')},
+n1 AS MATERIALIZED ({_side_sql('0', 'n0')}), {_split_sql('1', 'n1')}
+SELECT node::bigint AS node, feature, round(threshold, 6) AS threshold, round(gain, 6) AS gain, n::bigint AS n, pos::bigint AS positives, ln::bigint AS n_left, lp::bigint AS positives_left
+FROM (SELECT * FROM best0 UNION ALL SELECT * FROM best1)""")
+def m2_exact(spark, sf):
+    c = views.cases(spark, sf).withColumn("label", (F.col("diagnosis") == "M").cast("int"))
+    return tidy(X.fit_exact_tree(written(c.select("label", *views.NUMERIC), "cases"), list(views.NUMERIC), depth=2, min_leaf=5))
+
+
 @query("m2_tree")
 def m2(spark, sf):
     return _test_metrics(spark, sf, "decision_tree", max_depth=5, min_samples_leaf=5, class_weight="balanced")
@@ -75,9 +143,8 @@ def m8(spark, sf):
 @query("m10_grid_search")
 def m10(spark, sf):
     table = parts(spark, sf).where("split = 'train'").drop("split")
-    folded = written(T.stratified_folds(table, "label", k=3), "folds")
-    family = K.replace(K.family("logistic_regression"), grid={"C": [0.1, 1.0], "class_weight": [None, "balanced"]})
-    metrics, _ = P.cross_validate(folded, ROLES, family)
+    folded = written(T.stratified_folds(table, "label"), "folds")
+    metrics, _ = P.cross_validate(folded, ROLES, K.family("logistic_regression"))
     return tidy(P.candidate_summary(metrics))
 
 
