@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import FloatType
 
 from farol.functions.storage import written
 from farol.llm import kit
@@ -139,7 +140,10 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, sample: int = S
     queries that probe one of its lists.
     """
     spark = vectors.sparkSession
-    clean = lambda df: df.select(F.col("vec_id").cast("bigint").alias("vec_id"), F.col("embedding").cast("array<float>").alias("v")).where(
+    # Scores are of the original numbers: singles stay singles, everything else is read as doubles. Only rotated copies are rounded.
+    singles = isinstance(vectors.schema["embedding"].dataType.elementType, FloatType)
+    kind, number = ("float", np.float32) if singles else ("double", np.float64)
+    clean = lambda df: df.select(F.col("vec_id").cast("bigint").alias("vec_id"), F.col("embedding").cast(f"array<{kind}>").alias("v")).where(
         F.col("vec_id").isNotNull() & usable(F.col("v")))
     empty = spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
     length = clean(vectors).groupBy(F.size("v").alias("d")).agg(
@@ -159,7 +163,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, sample: int = S
             x = _matrix(columns[1])
             placed = at.place(x)
             home = at.distances(placed, at.centres).argmin(axis=1)
-            return [columns[0], home.tolist(), [p.tobytes() for p in placed], [v.astype(np.float32).tobytes() for v in x]]
+            return [columns[0], home.tolist(), [p.tobytes() for p in placed], [v.astype(number).tobytes() for v in x]]
 
         return work
 
@@ -192,7 +196,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, sample: int = S
                 parts = sorted({p for name in np.flatnonzero(probed[i]) if name in span for p in range(span[name][0], span[name][1] + 1)})
                 packed = turned[i].tobytes() + probed[i].tobytes()
                 for c, value in zip(out, (parts, [1] * len(parts), [columns[0][i]] * len(parts), [-1] * len(parts), [packed] * len(parts),
-                                          [q[i].astype(np.float32).tobytes()] * len(parts), [float(radius[i])] * len(parts))):
+                                          [q[i].astype(number).tobytes()] * len(parts), [float(radius[i])] * len(parts))):
                     c += value
             return out
 
@@ -207,7 +211,8 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, sample: int = S
 
         def gathered():
             ids = np.concatenate([b[0] for b in waiting])
-            return ids, np.concatenate([b[1] for b in waiting]), *[np.frombuffer(b"".join(x for b in waiting for x in b[c]), np.float32).reshape(len(ids), -1) for c in (2, 3)]
+            return ids, np.concatenate([b[1] for b in waiting]), *[
+                np.frombuffer(b"".join(x for b in waiting for x in b[c]), t).reshape(len(ids), -1) for c, t in ((2, np.float32), (3, number))]
 
         for batch in batches:
             parts, kinds = batch.column("part").to_numpy(), batch.column("kind").to_numpy()
@@ -233,7 +238,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, sample: int = S
                     probed = np.array([np.frombuffer(packed[i], np.uint8, offset=4 * width) for i in few])
                     for i, found in zip(few, scan(turned, probed, radius[list(few)], placed, lists, longest, k + 1)):
                         found = found[names[found] != ids[i]]
-                        exact = (vectors_[found].astype(np.float64) * np.frombuffer(raw[i], np.float32).astype(np.float64)).sum(axis=1)  # equal rows, equal sums
+                        exact = (vectors_[found].astype(np.float64) * np.frombuffer(raw[i], number).astype(np.float64)).sum(axis=1)  # equal rows, equal sums
                         best = np.lexsort((names[found], -exact))[:k]
                         out += [(int(ids[i]), int(names[found[j]]), float(exact[j])) for j in best]
                 if out:

@@ -35,7 +35,7 @@ def pattern(letter: str, number: str, space: str) -> str:
 SEGMENT = 1 << 18
 #: Words whose tokens a worker remembers; when the memory is full it becomes the older one, and the one before that goes.
 WORDS = 1 << 18
-#: A word up to this many bytes is encoded in one go and remembered.
+#: Up to this many bytes the tokens of a word are remembered, and `merge` looks at all pairs again after each merge.
 SHORT = 64
 #: The low half of a rule's code is the token it makes, the high half its priority.
 MADE = (1 << 32) - 1
@@ -125,7 +125,7 @@ def merge(data: bytes, m: Merges) -> list[int]:
 
 
 def transduce(chunks: Iterable[bytes], m: Merges) -> Iterator[list[int]]:
-    """Tokens of a byte stream without word borders, emitted as soon as they are stable."""
+    """Tokens of the bytes between two word borders, emitted as soon as they are stable: at the border, or the lookahead before the buffer's end."""
     buffer = b""
     window = max(4096, 2 * m.lookahead)
     for chunk in chunks:
@@ -145,7 +145,8 @@ def transduce(chunks: Iterable[bytes], m: Merges) -> Iterator[list[int]]:
 
 
 class Encoder(dict):
-    """Bytes of the token numbers of a word, by the word; what is missing is encoded when it is asked for."""
+    """Bytes of the token numbers of a word, by the word. No merge crosses a word's border, so the transducer starts anew there: what it emits
+    depends on the word alone and is remembered. What is missing is encoded when it is asked for."""
 
     def __init__(self, m: Merges):
         super().__init__()
@@ -158,12 +159,12 @@ class Encoder(dict):
 
     def __missing__(self, word: str) -> bytes:
         data = word.encode("utf-8", "replace")
-        if len(data) > SHORT:
-            return b"".join(array("I", ids).tobytes() for ids in transduce([data], self.merges))
-        if len(self) >= WORDS:
-            self.older = dict(self)
-            self.clear()
-        found = self[word] = self.older.get(word) or array("I", merge(data, self.merges)).tobytes()
+        found = self.older.get(word) or b"".join(array("I", ids).tobytes() for ids in transduce([data], self.merges))
+        if len(data) <= SHORT:
+            if len(self) >= WORDS:
+                self.older = dict(self)
+                self.clear()
+            self[word] = found
         return found
 
     def split(self, text: str) -> list[str]:

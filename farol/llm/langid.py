@@ -23,13 +23,13 @@ SLICE = 1 << 20
 
 
 def _buckets(text: str) -> np.ndarray:
-    """Buckets of all n-grams of the lower-cased text, those of each length in a range of their own."""
+    """Buckets of the n-grams that start in the first SLICE characters of the lower-cased text, those of each length in a range of their own."""
     codes = kit.code_points(text)
-    return np.concatenate([kit.gram_buckets(codes, n, BITS) + np.uint32(i << BITS) for i, n in enumerate(LENGTHS)])
+    return np.concatenate([kit.gram_buckets(codes[:SLICE + n - 1], n, BITS) + np.uint32(i << BITS) for i, n in enumerate(LENGTHS)])
 
 
 def _slices(text: str):
-    """Pieces that overlap by what the longest n-gram needs. N-grams inside the overlap count in both pieces."""
+    """Pieces that overlap by what the longest n-gram needs; each n-gram starts in one of them."""
     for start in range(0, max(1, len(text)), SLICE):
         yield text[start:start + SLICE + max(LENGTHS) - 1]
 

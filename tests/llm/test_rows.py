@@ -34,6 +34,15 @@ def test_neighbours_recall_and_ties(spark):
     assert [got[1000][r] for r in range(1, 21)] == list(range(1001, 1021))
 
 
+def test_neighbours_of_doubles(spark):
+    """Vectors that differ beyond what singles can tell, and a table with fewer rows than asked for."""
+    df = spark.createDataFrame([(i, [1 + i * 1e-9, 0.5]) for i in range(60)], "vec_id bigint, embedding array<double>")
+    got = [(r["vec_id"], r["score"]) for r in ann.nearest(df, df.where("vec_id = 0"), 20).orderBy("rank").collect()]
+    assert got == [(i, 1 + i * 1e-9 + 0.25) for i in range(59, 39, -1)]
+    few = df.where("vec_id < 5")
+    assert [r["vec_id"] for r in ann.nearest(few, few.where("vec_id = 0"), 20).orderBy("rank").collect()] == [4, 3, 2, 1]
+
+
 def test_neighbours_of_odd_rows(spark):
     rows = [(0, [1.0, 0.0]), (1, None), (2, [0.0, 0.0]), (3, [float("nan"), 1.0]), (4, [float("inf"), 1.0]), (5, [None, 1.0]), (6, [1.0]), (None, [1.0, 1.0]),
             (7, [0.5, 0.5]), (7, [0.5, 0.5]), (20, [0.0, 1.0])]

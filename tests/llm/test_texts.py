@@ -56,6 +56,19 @@ def test_bpe_segments_and_windows_do_not_matter(merges, monkeypatch):
     assert b"".join(bpe.Encoder(merges).encode(text)) == whole
 
 
+def test_every_word_goes_through_the_transducer(spark, small, merges, monkeypatch):
+    texts = [r["text"] for r in spark.read.parquet(f"{small}/documents.parquet").where("text IS NOT NULL").limit(60).collect()]
+    seen, own = [], bpe.transduce
+    monkeypatch.setattr(bpe, "transduce", lambda chunks, m: seen.append(chunks[0]) or own(chunks, m))
+    monkeypatch.setattr(bpe, "SEGMENT", 500)
+    encoder = bpe.Encoder(merges)
+    words = {w for t in texts for s in encoder.segments(t) for w in encoder.split(s)}
+    parts = [list(encoder.encode(t)) for t in texts]
+    assert set(seen) == {w.encode() for w in words} and len(seen) == len(words)
+    # Tokens come out before the text has been read to its end.
+    assert max(map(len, parts)) > 1 and all(len(p) > 1 for p, t in zip(parts, texts) if len(t) > 2000)
+
+
 def test_bpe_rows(spark):
     vocabulary = bpe.vocabulary_text(public_tokenizers.path("byte_bpe_50k.json"))
     rows = bpe.encode_decode(odd_docs(spark), vocabulary, outputs=True).collect()
@@ -195,6 +208,13 @@ def test_language_of_held_out_rows(spark, medium):
     assert out.where("lang = lang_pred").count() >= 0.95 * out.count()
 
 
+def test_slices_of_a_long_text_count_every_gram_once(monkeypatch):
+    text = "".join(random.Random(3).choice("abc é") for _ in range(200))
+    whole = np.sort(langid._buckets(text))
+    monkeypatch.setattr(langid, "SLICE", 50)
+    assert np.array_equal(np.sort(np.concatenate([langid._buckets(p) for p in langid._slices(text)])), whole)
+
+
 def test_language_of_odd_rows(spark):
     model = langid.fit(odd_docs(spark))
     got = langid.predict(odd_docs(spark), model).collect()
