@@ -14,7 +14,7 @@ from pyspark.sql import Window
 from farol import vocabulary as words
 from farol.functions.columns import col
 from farol.functions.keys import digest
-from farol.operators.metrics import compute_metrics, metrics_table
+from farol.operators.metrics import compute_metrics, log_loss, metrics_table, roc_auc
 from farol.operators.threshold import tune_threshold
 
 
@@ -28,6 +28,12 @@ def positive_class_weight(df: DataFrame, label: str = "label") -> DataFrame:
     return df.agg((F.count_if(col(label) == 0) / F.greatest(F.count_if(col(label) == 1), F.lit(1))).alias("pos_weight"))
 
 
+def training_history(scored: DataFrame) -> DataFrame:
+    """(epoch, val_auc, val_loss) of the held-out rows' scores after each step of a fit."""
+    auc = roc_auc(scored, ["epoch"]).withColumnRenamed("roc_auc", "val_auc")
+    return auc.join(log_loss(scored, ["epoch"]).withColumnRenamed("log_loss", "val_loss"), "epoch")
+
+
 def best_epoch(history: DataFrame) -> DataFrame:
     """The first epoch of the highest validation AUC above 0; epoch 0 if there is none."""
     above = F.col("val_auc") > 0

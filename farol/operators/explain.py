@@ -7,22 +7,24 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window
 
 from farol import vocabulary as words
 from farol.functions.columns import col
-from farol.functions.keys import digest, keyed_int
 from farol.functions.running import balanced_edges
-from farol.functions.storage import fresh_path
+from farol.functions.storage import fresh_path, written
 from farol.operators.metrics import ranked_points, ranking_metrics
 from farol.operators.normalize import sample_rows
 
 ROWS_PER_BUCKET = 2000
 WALK_CELLS = 2_000_000
+MASKED = 5_000_000
+#: Model classes that have a numpy form, see `scorer_of`.
+TASK_SIDE = ("LogisticRegressionModel", "GBTClassificationModel", "RandomForestClassificationModel", "DecisionTreeClassificationModel")
 
 
 # ---- native importance -------------------------------------------------------------------------------
@@ -55,51 +57,47 @@ def permutation_buckets(rows: int) -> int:
     return max(1, rows // ROWS_PER_BUCKET)
 
 
-def with_donors(df: DataFrame, features: Sequence[str], repeat: int, buckets: int, id_col: str = words.ID_COLUMN,
+def with_donors(df: DataFrame, features: Sequence[str], repeat: int | Column, buckets: int, id_col: str = words.ID_COLUMN,
                 seed: int = words.SEED, name: str = "donor") -> DataFrame:
     """Give every row the features of another row: the next one in hash order inside a random bucket, the last takes the first.
 
     This is a permutation of the rows, done by one window for all features together. Buckets are drawn
-    by hash, so they have the same size whatever the data look like.
+    by hash, so they have the same size whatever the data look like. With a column as `repeat` each of its values is a permutation of its own.
     """
-    bucket = F.pmod(keyed_int(f"bucket{seed}|{repeat}", col(id_col)), F.lit(buckets))
-    order = [digest(f"permute{seed}|{repeat}", col(id_col)), col(id_col)]
-    window = Window.partitionBy("__bucket").orderBy(*order)
+    number = F.lit(repeat) if isinstance(repeat, int) else repeat
+    drawn = lambda salt: F.md5(F.concat(F.lit(f"{salt}{seed}|"), number.cast("string"), F.lit("|"), col(id_col).cast("string")).cast("binary"))
+    bucket = F.pmod(F.conv(F.substring(drawn("bucket"), 1, 8), 16, 10).cast("bigint"), F.lit(buckets))
+    window = Window.partitionBy("__turn", "__bucket").orderBy(drawn("permute"), col(id_col))
     values = F.struct(*[col(c) for c in features])
     whole = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     next_row = F.coalesce(F.lead(values).over(window), F.first(values).over(whole))
-    return df.withColumn("__bucket", bucket).withColumn(name, next_row).drop("__bucket")
+    return df.withColumn("__turn", number).withColumn("__bucket", bucket).withColumn(name, next_row).drop("__bucket", "__turn")
 
 
 def permutation_importance(df: DataFrame, features: Sequence[str], score: Callable[[DataFrame], DataFrame], label: str = "label",
                            id_col: str = words.ID_COLUMN, repeats: int = 30, seed: int = words.SEED) -> DataFrame:
     """I4: mean and population deviation of the AUC lost when one original feature is permuted, largest first.
 
-    `score` adds a `score` column. Each repeat is one job: one window shuffles the rows, then every row
-    is emitted once per feature with that feature swapped, scored, and reduced to an AUC per feature.
-    The copies keep the id of their row, whatever its type.
+    `score` adds a `score` column. All repeats and features are one table: a window per repeat and bucket shuffles the rows, then every
+    row is emitted once per feature with that feature swapped, and once as it is; one job scores it and reduces it to an AUC per repeat and feature.
+    The copies keep the id of their row, whatever its type. A count and a sketch of the scores, which only spreads the work, run before.
     """
     features = list(features)
-    base_scored = score(df).select(col(label).cast("bigint").alias("label"), "score")
-    edges = balanced_edges(base_scored, "score")
-    base = _auc(base_scored.withColumn("feature", F.lit("")), edges)[""]
-    buckets = permutation_buckets(df.count())
-    drops: dict[str, list[float]] = {c: [] for c in features}
-    for repeat in range(repeats):
-        donors = with_donors(df, features, repeat, buckets, id_col, seed, "__donor")
-        swapped = donors.withColumn("feature", F.explode(F.array(*[F.lit(c) for c in features])))
-        swapped = swapped.withColumns({c: F.when(F.col("feature") == c, F.col("__donor")[c]).otherwise(col(c)) for c in features})
-        aucs = _auc(score(swapped.drop("__donor")).select("feature", col(label).cast("bigint").alias("label"), "score"), edges)
-        for c in features:
-            drops[c].append(base - aucs[c])
+    edges = balanced_edges(score(df).select("score"), "score")
+    every = F.array(*[F.lit(c) for c in features])
+    many = df.withColumn("__repeat", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))))
+    donors = with_donors(many, features, F.col("__repeat"), permutation_buckets(df.count()), id_col, seed, "__donor")
+    swapped = donors.withColumn("feature", F.explode(F.when(F.col("__repeat") == 0, F.concat(every, F.array(F.lit("")))).otherwise(every)))
+    swapped = swapped.withColumns({c: F.when(F.col("feature") == c, F.col("__donor")[c]).otherwise(col(c)) for c in features})
+    keys = ["__repeat", "feature"]
+    scored = score(swapped.drop("__donor")).select(*keys, col(label).cast("bigint").alias("label"), "score")
+    aucs = {(r["__repeat"], r["feature"]): r["roc_auc"] for r in ranking_metrics(ranked_points(scored, keys, edges), keys).collect()}
+    base = aucs[0, ""]
+    drops = {c: [base - aucs[r, c] for r in range(repeats)] for c in features}
     rows = [(c, float(np.mean(d)), float(np.std(d))) for c, d in drops.items()]
     return df.sparkSession.createDataFrame(rows, "feature string, queda_media double, desvio double").orderBy(F.desc("queda_media"), "feature")
 
 
-def _auc(scored: DataFrame, edges: Sequence[float]) -> dict[str, float]:
-    return {r["feature"]: r["roc_auc"] for r in ranking_metrics(ranked_points(scored, ["feature"], edges), ["feature"]).collect()}
-
-
 # ---- scorers that run inside Python tasks ------------------------------------------------------------
 
 def linear_scorer(coefficients: np.ndarray, intercept: float) -> Callable[[np.ndarray], np.ndarray]:
@@ -146,32 +144,49 @@ def tree_tables(model) -> list[dict[str, np.ndarray]]:
     return out
 
 
+def leaf_places(tree: dict[str, np.ndarray], x: np.ndarray) -> np.ndarray:
+    """The leaf of every row of a matrix."""
+    at = np.zeros(len(x), dtype=int)
+    while True:
+        inner = tree["feature"][at] >= 0
+        if not inner.any():
+            return at
+        rows = np.nonzero(inner)[0]
+        node = at[rows]
+        value = x[rows, tree["feature"][node]]
+        category = np.clip(value, 0, tree["goes_left"].shape[1] - 1).astype(int)
+        goes_left = np.where(tree["by_category"][node], tree["goes_left"][node, category], value <= tree["threshold"][node])
+        at[rows] = np.where(goes_left, tree["left"][node], tree["right"][node])
+
+
 def tree_scorer(trees: list[dict[str, np.ndarray]], weights: Sequence[float] | None = None, boosted: bool = False) -> Callable[[np.ndarray], np.ndarray]:
     """P(class 1) of a tree, a forest (mean of leaf shares) or boosted trees (logistic of twice the weighted sum)."""
     weights = list(weights) if weights is not None else [1.0] * len(trees)
 
-    def leaf(tree: dict[str, np.ndarray], x: np.ndarray) -> np.ndarray:
-        at = np.zeros(len(x), dtype=int)
-        while True:
-            inner = tree["feature"][at] >= 0
-            if not inner.any():
-                return at
-            rows = np.nonzero(inner)[0]
-            node = at[rows]
-            value = x[rows, tree["feature"][node]]
-            category = np.clip(value, 0, tree["goes_left"].shape[1] - 1).astype(int)
-            goes_left = np.where(tree["by_category"][node], tree["goes_left"][node, category], value <= tree["threshold"][node])
-            at[rows] = np.where(goes_left, tree["left"][node], tree["right"][node])
-
     def score(x: np.ndarray) -> np.ndarray:
         if boosted:
-            margin = sum(w * t["prediction"][leaf(t, x)] for w, t in zip(weights, trees))
+            margin = sum(w * t["prediction"][leaf_places(t, x)] for w, t in zip(weights, trees))
             return 1.0 / (1.0 + np.exp(-2.0 * margin))
-        return sum(t["share"][leaf(t, x)] for t in trees) / len(trees)
+        return sum(t["share"][leaf_places(t, x)] for t in trees) / len(trees)
 
     return score
 
 
+def staged_scores(prepared: DataFrame, model, features: str = "features", label: str = "label") -> DataFrame:
+    """(epoch, label, score) of every row after each round of boosting, from the saved trees. One pass over the rows for all rounds."""
+    trees, weights = tree_tables(model), list(model.treeWeights)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            x, margin = np.array([np.asarray(v, dtype=float) for v in pdf["x"]]).reshape(len(pdf), -1), np.zeros(len(pdf))
+            for epoch, (weight, tree) in enumerate(zip(weights, trees), 1):
+                margin = margin + weight * tree["prediction"][leaf_places(tree, x)]
+                yield pd.DataFrame({"epoch": epoch, "label": pdf["label"], "score": 1.0 / (1.0 + np.exp(-2.0 * margin))})
+
+    rows = prepared.select(col(label).cast("int").alias("label"), vector_to_array(col(features)).alias("x"))
+    return rows.mapInPandas(run, "epoch int, label int, score double")
+
+
 def scorer_of(model) -> Callable[[np.ndarray], np.ndarray]:
     """The numpy form of a fitted logistic, tree, forest or boosted model."""
     kind = model.__class__.__name__
@@ -237,6 +252,55 @@ def shapley_values(prepared: DataFrame, score: Callable[[np.ndarray], np.ndarray
     return rows.mapInPandas(explain, f"id {id_type}, feature string, value double, shap double")
 
 
+def shapley_by_transform(prepared: DataFrame, score: Callable[[DataFrame], DataFrame], background: np.ndarray, names: Sequence[str], features: str = "features",
+                         id_col: str = words.ID_COLUMN, seed: int = words.SEED) -> tuple[DataFrame, float]:
+    """I5 for a model that only scores tables: the same walks as `shapley_values`, as a table of masked rows; `score` adds a score column to a table with the features.
+
+    A masked row is a row's features switched on over one background row, at one step of its walk; scores are averaged over the background
+    by an aggregate and the steps of a row meet in one group of 2p + 1 numbers. Rows are taken in chunks by a hash of their id, so that at most
+    MASKED rows or so exist at a time, and each chunk's result is written. Ids must be unique. Returns the values and the mean score of the background.
+    """
+    names, p, spark = np.array(list(names), dtype=object), len(names), prepared.sparkSession
+    id_type = prepared.schema[id_col].dataType.simpleString()
+    rows = prepared.select(col(id_col).alias("id"), vector_to_array(col(features)).alias("x"))
+
+    def order_of(i) -> np.ndarray:
+        return np.random.default_rng(zlib.crc32(f"{seed}|{i}".encode())).permutation(p)
+
+    def masked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        steps = np.arange(2 * p + 1)[:, None]
+        for pdf in batches:
+            for i, x in zip(pdf["id"], pdf["x"]):
+                step_of = np.empty(p, dtype=int)
+                step_of[order_of(i)] = np.arange(1, p + 1)
+                switched = (steps >= step_of) & (steps < p + step_of)
+                blocks = np.where(switched[:, None, :], np.asarray(x, dtype=float), background).reshape(-1, p)
+                yield pd.DataFrame({"id": [i] * len(blocks), "step": np.repeat(np.arange(2 * p + 1), len(background)), "x": list(blocks)})
+
+    def scored(table: DataFrame) -> DataFrame:
+        return score(table.select("id", "step", array_to_vector("x").alias(features))).groupBy("id", "step").agg(F.avg("score").alias("score"))
+
+    def differences(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for i, x, values in zip(pdf["id"], pdf["x"], pdf["scores"]):
+                v, step_of = np.asarray(values, dtype=float), np.empty(p, dtype=int)
+                step_of[order_of(i)] = np.arange(1, p + 1)
+                gained, lost = np.diff(v[:p + 1]), -np.diff(v[p:])
+                yield pd.DataFrame({"id": [i] * p, "feature": names, "value": np.asarray(x, dtype=float), "shap": ((gained + lost) / 2.0)[step_of - 1]})
+
+    chunks = max(1, -(-rows.count() * (2 * p + 1) * len(background) // MASKED))
+    out = None
+    for chunk in range(chunks):
+        own = rows.where(F.pmod(F.xxhash64("id"), F.lit(chunks)) == chunk)
+        steps = scored(own.mapInPandas(masked, f"id {id_type}, step int, x array<double>"))
+        walks = steps.groupBy("id").agg(F.transform(F.array_sort(F.collect_list(F.struct("step", "score"))), lambda s: s["score"]).alias("scores"))
+        found = own.join(walks, "id").mapInPandas(differences, f"id {id_type}, feature string, value double, shap double")
+        found = written(found, "shapley-chunk")
+        out = found if out is None else out.unionByName(found)
+    base_rows = spark.createDataFrame([(i, 0, b.tolist()) for i, b in enumerate(background)], "id bigint, step int, x array<double>")
+    return out, float(scored(base_rows).agg(F.avg("score")).first()[0])
+
+
 def base_value(score: Callable[[np.ndarray], np.ndarray], background: np.ndarray) -> float:
     """Mean score of the background."""
     return float(score(background).mean())

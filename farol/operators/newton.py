@@ -89,11 +89,12 @@ def _direction(gradient: np.ndarray, curvature: np.ndarray) -> np.ndarray:
         return -np.linalg.lstsq(curvature, gradient, rcond=None)[0]
 
 
-def fit_many(rows: DataFrame, folds: Sequence[int], settings: Sequence[Setting]) -> tuple[list[np.ndarray], int]:
+def fit_many(rows: DataFrame, folds: Sequence[int], settings: Sequence[Setting], trace: list | None = None) -> tuple[list[np.ndarray], int]:
     """(fold, label, one array<double> column per fold of `folds`) -> coefficients of each setting, the intercept last, and the jobs taken.
 
     The column of a fold holds the features as that fold's preprocessing makes them; a model learns from the rows of the other folds.
     A step that does not lower the objective is halved, in the same pass as the other models' next steps. Rows must be complete.
+    `trace` is given the coefficients that each job started from.
     """
     first = rows.select(*[F.size(c) for c in rows.columns[2:]]).first()
     if first is None:
@@ -106,6 +107,8 @@ def fit_many(rows: DataFrame, folds: Sequence[int], settings: Sequence[Setting])
     while open_models and jobs < STEPS:
         now = {m: best[m] + step[m] for m in open_models}
         jobs += 1
+        if trace is not None:
+            trace.append(dict(now))
         for m, (loss, gradient, curvature) in _sums(rows, folds, open_models, now).items():
             held = np.append(np.full(len(gradient) - 1, 1.0 / settings[m].c if settings[m].c else 0.0), 0.0)
             objective = loss + 0.5 * float(held @ (now[m] ** 2))

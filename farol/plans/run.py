@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import json
 import time
 from collections.abc import Sequence
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from farol import vocabulary as words
 from farol.functions.columns import col
@@ -19,13 +21,14 @@ from farol.operators import explain as E
 from farol.operators import explore as X
 from farol.operators import metrics as M
 from farol.operators import threshold as H
-from farol.operators.normalize import check_labels, sample_rows, split_truth, with_target
-from farol.operators.prep import infer_roles
+from farol.operators.normalize import check_labels, normalize, sample_rows, split_truth, with_target
+from farol.operators.prep import fit_medians, imputed, infer_roles
 from farol.operators.split import split_summary, stratified_split, train_and_validation
 from farol.plans import training as T
-from farol.plans.catalog import FAMILIES, Family
+from farol.plans.catalog import FAMILIES, Family, with_score
 from farol.sources.artifact import Artifact, load_artifact, save_artifact
-from farol.sources.tables import read_cases, write_manifest, write_metrics, write_report
+from farol.sources.tables import (accepted_rows, feature_schema, read_cases, read_contract, rejected_rows, write_manifest, write_metrics,
+                                  write_report)
 
 
 def train_triage(cases: DataFrame, output: str, families: Sequence[Family] = FAMILIES, target_recall: float = words.TARGET_RECALL,
@@ -67,6 +70,11 @@ def train_triage(cases: DataFrame, output: str, families: Sequence[Family] = FAM
         write_metrics(X.density_curve(parts, shown, label), f"{output}/figures/densities", "feature")
         write_metrics(X.box_table(parts, shown, label), f"{output}/figures/boxes", "feature")
         write_metrics(C.lower_triangle(C.correlation_matrix(parts, numeric)), f"{output}/figures/correlation")
+        complete = imputed(parts, fit_medians(parts, numeric))
+        write_metrics(X.component_variance(complete, numeric), f"{output}/figures/component_variance", "component")
+        write_metrics(X.component_loadings(complete, numeric), f"{output}/figures/component_loadings", "component")
+        write_report(X.projected_points(complete, numeric, label, "id"), f"{output}/figures/projection")
+        write_report(X.scatter_pairs(parts, (top or numeric)[:4], label, "id"), f"{output}/figures/pairs")
 
     train, validation, test = (parts.where(F.col("split") == s) for s in ("train", "val", "test"))
     trained = T.train_all(train, roles, families, k, seed, quick, parallelism)
@@ -122,17 +130,18 @@ def train_triage(cases: DataFrame, output: str, families: Sequence[Family] = FAM
     permuted = E.permutation_importance(test.select("id", "label", *[col(c) for c in roles.features]), roles.features, final.score,
                                         repeats=repeats, seed=seed)
     write_metrics(permuted, f"{output}/14_permutation", "feature")
-    if shapley and champion.family.key not in ("knn", "svm_rbf"):
+    if shapley:
         shap, base = explain(final, train_and_validation(parts), test, seed)
         shap = written(shap, "shap")
         write_metrics(E.global_importance(shap), f"{output}/15_shapley", "feature")
+        write_report(E.beeswarm(shap), f"{output}/figures/beeswarm")
         manifest["shap_base"] = base
         for r in E.representative_cases(tested, threshold).collect():
             write_metrics(E.single_case(shap, r["id"], base), f"{output}/22_case_{r['case']}")
     write_metrics(T.missing_robustness(final, test, roles, threshold, seed=seed), f"{output}/16_missing", "pct_celulas_ausentes")
 
     metadata = {"threshold": threshold, "model_label": champion.family.label, "model_key": champion.family.key, "best_params": champion.params,
-                "feature_order": roles.features, "class_names": list(words.CLASS_NAMES), "trained_at": manifest["executado_em"],
+                "feature_order": roles.features, "schema": feature_schema(cases, id_col, roles.features).json(), "class_names": list(words.CLASS_NAMES), "trained_at": manifest["executado_em"],
                 "test_metrics": rows[threshold]}
     save_artifact(f"{output}/model", final, metadata)
     manifest |= {"modelo_salvo": f"{output}/model", "melhores_hiperparametros": champion.params,
@@ -142,16 +151,30 @@ def train_triage(cases: DataFrame, output: str, families: Sequence[Family] = FAM
 
 
 def explain(scorer: T.Scorer, background: DataFrame, rows: DataFrame, seed: int = words.SEED) -> tuple[DataFrame, float]:
-    """I5 and I6 for a fitted scorer: Shapley values of `rows` against a sample of `background`, and the base value."""
+    """I5 and I6 for a fitted scorer of any family: Shapley values of `rows` against a sample of `background`, and the base value.
+
+    Models with a numpy form are walked inside tasks, the others score a table of masked rows.
+    """
+    matrix, prepared = E.background_matrix(scorer.prep.transform(background), seed=seed), scorer.prep.transform(rows)
+    if scorer.model.__class__.__name__ not in E.TASK_SIDE:
+        return E.shapley_by_transform(prepared, lambda table: with_score(scorer.model.transform(table)), matrix, scorer.names(), seed=seed)
     score = E.scorer_of(scorer.model)
-    matrix = E.background_matrix(scorer.prep.transform(background), seed=seed)
-    return E.shapley_values(scorer.prep.transform(rows), score, matrix, scorer.names(), seed=seed), E.base_value(score, matrix)
+    return E.shapley_values(prepared, score, matrix, scorer.names(), seed=seed), E.base_value(score, matrix)
 
 
 def score_file(spark: SparkSession, model: str | Artifact, input_path: str, output_path: str | None = None, label: str = words.LABEL_COLUMN) -> DataFrame:
-    """Batch inference: read, normalise, check the feature contract, score, and write the report if asked. The label is optional."""
+    """Batch inference: read, normalise, check the feature contract, score, and write the report if asked. The label is optional.
+
+    A CSV is read once, with the types the model was trained on; lines that do not keep to them are written beside the report with the reason.
+    """
     artifact = load_artifact(spark, model) if isinstance(model, str) else model
-    rows, known = split_truth(read_cases(spark, input_path), label)
+    if "schema" in artifact.metadata and not input_path.rstrip("/").endswith(".parquet"):
+        checked = written(read_contract(spark, input_path, StructType.fromJson(json.loads(artifact.metadata["schema"])), label), "checked")
+        rows, known = split_truth(normalize(accepted_rows(checked), label), label)
+        if output_path:
+            write_report(rejected_rows(checked), f"{output_path}-rejected")
+    else:
+        rows, known = split_truth(read_cases(spark, input_path), label)
     report = artifact.report(rows, truth=words.TARGET_NAME if known else None)
     if output_path:
         write_report(report, output_path)

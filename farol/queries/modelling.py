@@ -170,7 +170,7 @@ def m3_uniform(spark, sf):
     return tidy(K.neighbour_scores(K.nearest_neighbours(*_split_vectors(spark, sf), k=5)))
 
 
-@query("m3_knn_distance_manhattan", _knn_sql("list_sum(list_transform(range(1, 31), lambda i: abs(q.x[i] - r.x[i])))",
+@query("m3_knn_distance_manhattan", _knn_sql("list_sum(list_transform(range(1, 65), lambda i: abs(q.x[i] - r.x[i])))",
                                              "SELECT id, round(sum(label / distance) / sum(1 / distance), 6) AS score FROM n GROUP BY id"))
 def m3_distance(spark, sf):
     return tidy(K.neighbour_scores(K.nearest_neighbours(*_split_vectors(spark, sf), k=5, p=1), "distance"))
@@ -286,38 +286,6 @@ def g3(spark, sf):
     return tidy(G.positive_class_weight(_wide_vectors(spark, sf).where("split = 'train'")))
 
 
-def epoch_history(spark, sf, epochs=6):
-    """A training history computed from the cases: each epoch mixes the planted score with noise in a different proportion."""
-    base = views.labelled(spark, sf).withColumn("noise", P.keyed_unit("epoch", F.col("id")))
-    mix = F.explode(F.array(*[F.struct(F.lit(e).alias("epoch"), F.lit(w).alias("w")) for e, w in enumerate(EPOCH_MIX, 1)])).alias("m")
-    long = base.select("id", "label", "score", "noise", mix).select(
-        "id", "label", F.col("m.epoch").alias("epoch"), (F.col("m.w") * F.col("score") + (1.0 - F.col("m.w")) * F.col("noise")).alias("score"))
-    auc = M.roc_auc(long, ["epoch"]).withColumnRenamed("roc_auc", "val_auc")
-    return auc.join(M.log_loss(long, ["epoch"]).withColumnRenamed("log_loss", "val_loss"), "epoch")
-
-
-EPOCH_MIX = (0.25, 0.5, 1.0, 0.75, 1.0, 0.5)
-
-HISTORY_SQL = WITH_CASES + """,
-mix AS (SELECT unnest([1, 2, 3, 4, 5, 6]) AS epoch, unnest([0.25, 0.5, 1.0, 0.75, 1.0, 0.5])::double AS w),
-long AS (SELECT epoch, label, w * score + (1 - w) * """ + sql_unit("epoch") + """ AS score FROM labelled, mix),
-r AS (SELECT epoch, label, score, rank() OVER (PARTITION BY epoch ORDER BY score) + (count(*) OVER (PARTITION BY epoch, score) - 1) / 2::double AS r FROM long),
-history AS (SELECT epoch, (sum(r) FILTER (WHERE label = 1) - sum(label)::double * (sum(label) + 1) / 2) / (sum(label)::double * sum(1 - label)) AS val_auc,
-                   avg(CASE WHEN label = 1 THEN -ln(greatest(1e-15, least(1 - 1e-15, score))) ELSE -ln(1 - greatest(1e-15, least(1 - 1e-15, score))) END) AS val_loss
-            FROM r GROUP BY epoch)"""
-
-
-@query("g4_epoch_history", HISTORY_SQL + " SELECT epoch::bigint AS epoch, round(val_auc, 6) AS val_auc, round(val_loss, 6) AS val_loss FROM history")
-def g4_history(spark, sf):
-    return tidy(epoch_history(spark, sf))
-
-
-@query("g4_best_epoch", HISTORY_SQL + """
-SELECT min(epoch)::bigint AS best_epoch, round(max(val_auc), 6) AS best_val_auc FROM history WHERE val_auc = (SELECT max(val_auc) FROM history)""")
-def g4(spark, sf):
-    return tidy(G.best_epoch(epoch_history(spark, sf)))
-
-
 @query("g5_samples_per_class", WITH_CASES + f"""
 SELECT id, label::bigint AS label FROM labelled QUALIFY row_number() OVER (PARTITION BY label ORDER BY {sql_digest('sample42')}, id) <= 6""")
 def g5(spark, sf):

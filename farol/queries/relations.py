@@ -74,15 +74,15 @@ def c3(spark, sf):
 
 
 @query("c4_redundant_pairs", f"""WITH {WIDE_SQL} SELECT feature_a, feature_b, round(r, 4) AS correlacao
-FROM ({_pairs_sql([*WIDE, 'f30'], _corr, 'wide', False)}) WHERE abs(r) >= 0.9""")
+FROM ({_pairs_sql([*WIDE, 'copy'], _corr, 'wide', False)}) WHERE abs(r) >= 0.9""")
 def c4(spark, sf):
-    return C.redundant_pairs(C.correlation_matrix(views.wide(spark, sf), [*WIDE, "f30"]), 0.90)
+    return C.redundant_pairs(C.correlation_matrix(views.wide(spark, sf), [*WIDE, "copy"]), 0.90)
 
 
 @query("c5_suggested_drops")
 def c5(spark, sf):
     w = views.wide(spark, sf)
-    columns = [*WIDE, "f30"]
+    columns = [*WIDE, "copy"]
     drops = C.suggested_drops(C.redundant_pairs(C.correlation_matrix(w, columns)), C.correlation_with_target(w, columns, "label"))
     return spark.createDataFrame([(d,) for d in drops], "feature string")
 

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
+from pyspark.sql import types as T_
 
 from farol.functions.storage import fresh_path, written
+from farol.operators import arrays as G
 from farol.operators import exact_tree as X
 from farol.operators import explain as I
 from farol.operators import metrics as M
@@ -53,13 +55,13 @@ def m1(spark, sf):
 STEPS = 12
 
 
-def _newton_sql(features: list[str], c: float) -> str:
+def _newton_sql(features: list[str], c: float, n_steps: int = STEPS) -> str:
     """Newton steps from zero as one common table expression each: sums of loss derivatives, then elimination without row exchange, as the
     curvature is positive definite. One step's equations are a list of rows, a step's last column the right-hand side."""
     d = len(features) + 1
     held = [1.0 / c] * (d - 1) + [0.0]
     steps = ["b0 AS (SELECT [" + ", ".join(["0::double"] * d) + "] AS b)"]
-    for r in range(STEPS):
+    for r in range(n_steps):
         rows = ["[" + ", ".join([f"sum(w * x[{i + 1}] * x[{j + 1}]) + {held[i] if i == j else 0.0}::double" for j in range(d)]
                                 + [f"sum(x[{i + 1}] * e) + {held[i]}::double * any_value(b[{i + 1}])"]) + "]" for i in range(d)]
         steps.append(f"""p{r} AS (SELECT x, y, b, 1 / (1 + exp(-list_sum([u[1] * u[2] FOR u IN list_zip(x, b)]))) AS p FROM design, b{r}),
@@ -237,7 +239,84 @@ def i2(spark, sf):
 def i4(spark, sf):
     table = parts(spark, sf)
     test = table.where("split = 'test'").select("id", "label", *ROLES.features)
-    return tidy(I.permutation_importance(test, ROLES.features, _fit(table, "logistic_regression").score, repeats=3))
+    return tidy(I.permutation_importance(test, ROLES.features, _fit(table, "logistic_regression").score))
+
+
+PERMUTED = {"total": 500000.0, "qty_sum": 100.0, "price_max": 100000.0}
+
+
+@query("i4_linear_score", WITH_CASES + """,
+base AS (SELECT id, (diagnosis = 'M')::int AS label, """ + ", ".join(f"coalesce({c}, 0)::double AS {c}" for c in PERMUTED) + """ FROM cases),
+k AS (SELECT b.*, r, ('0x' || substr(md5('bucket42|' || r || '|' || id::varchar), 1, 8))::bigint % greatest(1, (SELECT count(*) // 2000 FROM base)) AS bucket,
+             md5('permute42|' || r || '|' || id::varchar) AS d FROM base b, range(0, 30) t(r)),
+dn AS (SELECT *, """ + ", ".join(f"coalesce(lead({c}) OVER w, first({c}) OVER w) AS d_{c}" for c in PERMUTED) + """
+       FROM k WINDOW w AS (PARTITION BY r, bucket ORDER BY d, id)),
+long AS (SELECT -1 AS r, '' AS feature, label, """ + " + ".join(f"{c} / {w}::double" for c, w in PERMUTED.items()) + " AS score FROM base" + "".join(
+    f" UNION ALL SELECT r, '{f}', label, " + " + ".join(f"{'d_' if c == f else ''}{c} / {w}::double" for c, w in PERMUTED.items()) + " FROM dn" for f in PERMUTED) + """),
+ranked AS (SELECT *, rank() OVER (PARTITION BY r, feature ORDER BY score) + (count(*) OVER (PARTITION BY r, feature, score) - 1) / 2::double AS p FROM long),
+auc AS (SELECT r, feature, (sum(p) FILTER (WHERE label = 1) - sum(label)::double * (sum(label) + 1) / 2) / (sum(label)::double * sum(1 - label)) AS auc
+        FROM ranked GROUP BY r, feature)
+SELECT feature, round(avg((SELECT auc FROM auc WHERE r = -1) - auc), 6) AS queda_media, round(stddev_pop(auc), 6) AS desvio FROM auc WHERE r >= 0 GROUP BY feature""")
+def i4_linear(spark, sf):
+    c = views.cases(spark, sf).withColumn("label", (F.col("diagnosis") == "M").cast("int")).select(
+        "id", "label", *[F.coalesce(F.col(f).cast("double"), F.lit(0.0)).alias(f) for f in PERMUTED])
+    total = lambda df: df.withColumn("score", sum((F.col(f) / w for f, w in list(PERMUTED.items())[1:]), F.col("total") / PERMUTED["total"]))
+    return tidy(I.permutation_importance(written(c, "cases"), list(PERMUTED), total))
+
+
+# ---- training histories of real fits -----------------------------------------------------------------
+
+EPOCHS = 5
+
+
+def newton_history(spark, sf):
+    """(epoch, val_auc, val_loss) of a logistic regression on the training cases: the validation cases after each Newton step."""
+    c = views.cases(spark, sf).withColumn("label", (F.col("diagnosis") == "M").cast("int")).select("id", "label", *views.NUMERIC)
+    table = written(c.join(split_cases(spark, sf).select("id", "split"), "id"), "cases")
+    prep = Preprocessor(numericCols=list(views.NUMERIC)).fit(table.where("split = 'train'"))
+    rows = written(prep.transform(table).select(F.lit(0).alias("fold"), "label", vector_to_array("features").alias("x"), "split"), "design")
+    trace: list = []
+    N.fit_many(rows.where("split = 'train'").select(F.lit(-1).alias("fold"), "label", "x"), [0], [N.Setting(0, 1.0)], trace)
+    steps = [t[0] for t in trace[1:1 + EPOCHS]]
+    scored = N.score_many(rows.where("split = 'val'").select("fold", "label", "x"), [0], [N.Setting(0, 1.0)] * len(steps), steps)
+    return G.training_history(scored.withColumn("epoch", F.col("model") + 1))
+
+
+TRAINED_SQL = SPLIT_SQL + ", j AS (SELECT c.*, p.split FROM cases c JOIN split p USING (id)), med AS (SELECT " + ", ".join(
+    f"quantile_cont({c}::double, 0.5) AS {c}" for c in views.NUMERIC) + """ FROM j WHERE split = 'train'),
+filled AS (SELECT id, split, diagnosis, """ + ", ".join(f"coalesce(g.{c}, m.{c})::double AS {c}" for c in views.NUMERIC) + """ FROM j g, med m),
+st AS (SELECT """ + ", ".join(f"avg({c}) AS a_{c}, stddev_pop({c}) AS s_{c}" for c in views.NUMERIC) + """ FROM filled WHERE split = 'train'),
+every AS MATERIALIZED (SELECT id, split, (diagnosis = 'M')::int AS y, [""" + ", ".join(f"({c} - a_{c}) / s_{c}" for c in views.NUMERIC) + """, 1::double] AS x FROM filled, st),
+design AS MATERIALIZED (SELECT * FROM every WHERE split = 'train')"""
+HISTORY_SQL = TRAINED_SQL + ", " + _newton_sql(list(views.NUMERIC), 1.0, EPOCHS) + ", steps AS (" + " UNION ALL ".join(
+    f"SELECT {e} AS epoch, b FROM b{e}" for e in range(1, EPOCHS + 1)) + """),
+long AS (SELECT epoch, y AS label, 1 / (1 + exp(-list_sum([u[1] * u[2] FOR u IN list_zip(x, b)]))) AS score FROM every, steps WHERE split = 'val'),
+r AS (SELECT epoch, label, score, rank() OVER (PARTITION BY epoch ORDER BY score) + (count(*) OVER (PARTITION BY epoch, score) - 1) / 2::double AS r FROM long),
+history AS (SELECT epoch, round((sum(r) FILTER (WHERE label = 1) - sum(label)::double * (sum(label) + 1) / 2) / (sum(label)::double * sum(1 - label)), 6) AS val_auc,
+                   avg(CASE WHEN label = 1 THEN -ln(greatest(1e-15, least(1 - 1e-15, score))) ELSE -ln(1 - greatest(1e-15, least(1 - 1e-15, score))) END) AS val_loss
+            FROM r GROUP BY epoch)"""
+
+
+@query("g4_epoch_history", HISTORY_SQL + " SELECT epoch::bigint AS epoch, val_auc, round(val_loss, 6) AS val_loss FROM history")
+def g4_history(spark, sf):
+    return tidy(newton_history(spark, sf))
+
+
+@query("g4_best_epoch", HISTORY_SQL + """
+SELECT min(epoch)::bigint AS best_epoch, max(val_auc) AS best_val_auc FROM history WHERE val_auc = (SELECT max(val_auc) FROM history)""")
+def g4(spark, sf):
+    return tidy(G.best_epoch(tidy(newton_history(spark, sf))))
+
+
+@query("g4_boosting_history")
+def g4_boosting(spark, sf):
+    """The validation cases after each round of boosted trees, and whether the last round is the model's own score."""
+    table = parts(spark, sf)
+    scorer = _fit(table, "gradient_boosting", n_estimators=20, max_depth=3)
+    held = table.where("split = 'val'")
+    own = M.compute_metrics(scorer.score(held).withColumn("model", F.lit("own"))).first()["roc_auc"]
+    history = G.training_history(I.staged_scores(scorer.prep.transform(held), scorer.model))
+    return tidy(history.withColumn("model_auc", F.lit(own)))
 
 
 def _shapley(spark, sf, key, **params):
@@ -283,6 +362,24 @@ def s1(spark, sf):
     return tidy(S.read_cases(spark, [path + "-absent", path], cases.schema))
 
 
+@query("s1_contract", WITH_CASES + """
+SELECT id, CASE WHEN id % 10 = 3 THEN 'total is not a double' WHEN id % 10 = 7 THEN 'wrong number of cells' WHEN id % 10 = 9 THEN 'n_lines is not a bigint' END AS reason,
+       CASE WHEN id % 10 NOT IN (3, 7, 9) THEN round(total, 6) END AS total, CASE WHEN id % 10 NOT IN (3, 7, 9) THEN n_lines END AS n_lines FROM cases""")
+def s1_contract(spark, sf):
+    """Lines with a text for a number, cells missing and a fraction for a count, planted among good ones and told by reason."""
+    last = F.col("id") % 10
+    cell = lambda c, bad, at: F.when(last == at, F.lit(bad)).otherwise(F.coalesce(F.col(c).cast("string"), F.lit("")))
+    whole = F.concat_ws(",", F.lit("x"), cell("n_lines", "2.5", 9), F.col("id").cast("string"), cell("total", "n/a", 3))
+    lines = views.cases(spark, sf).select(F.when(last == 7, F.concat_ws(",", F.lit("x"), F.lit("1"), F.col("id").cast("string"))).otherwise(whole).alias("value"))
+    path = fresh_path(spark, "lines")
+    lines.write.text(path)
+    spark.createDataFrame([("note, n_lines ,id,total",)], "value string").write.mode("append").text(path)
+    checked = S.read_contract(spark, path, T_.StructType.fromDDL("id bigint, total double, n_lines bigint"))
+    good = S.accepted_rows(checked).withColumn("reason", F.lit(None).cast("string"))
+    bad = S.rejected_rows(checked).select(F.split("_line", ",")[2].cast("bigint").alias("id"), F.col("_reason").alias("reason"))
+    return tidy(good.unionByName(bad, allowMissingColumns=True))
+
+
 @query("s2_read_headerless", WITH_CASES + " SELECT id, diagnosis, round(total, 6) AS total, round(qty_sum, 6) AS qty_sum FROM cases")
 def s2(spark, sf):
     path = fresh_path(spark, "headerless")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from farol.functions.keys import TWO_32, keyed_int, keyed_unit
 
 NUMERIC = ("total", "n_lines", "qty_sum", "price_max", "disc_avg", "tax_avg", "qty_min")
-WIDE = tuple(f"f{i:02d}" for i in range(30))
+WIDE = tuple(f"f{i:02d}" for i in range(64))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -56,10 +56,10 @@ def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def wide(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Thirty numeric features from the embeddings, `f30` a near copy of `f00`, and a 0/1 label."""
+    """The dimensions of the embeddings as numeric features, `copy` a near copy of the first, and a 0/1 label."""
     e = table(spark, sf_dir, "embeddings")
-    features = [F.col("embedding")[i].cast("double").alias(f"f{i:02d}") for i in range(30)]
-    near = (F.col("embedding")[0].cast("double") + 0.01 * F.col("embedding")[1].cast("double")).alias("f30")
+    features = [F.col("embedding")[i].cast("double").alias(c) for i, c in enumerate(WIDE)]
+    near = (F.col("embedding")[0].cast("double") + 0.01 * F.col("embedding")[1].cast("double")).alias("copy")
     return e.select(F.col("vec_id").alias("id"), *features, near, (F.col("label") < 4).cast("int").alias("label"))
 
 
@@ -112,8 +112,8 @@ scores AS (SELECT 'a' AS model, id, label, score FROM labelled
            UNION ALL SELECT 'd', id, label, score FROM labelled WHERE label = 0)"""
 
 WIDE_SQL = ("wide AS (SELECT vec_id AS id, "
-            + ", ".join(f"embedding[{i + 1}]::double AS f{i:02d}" for i in range(30))
-            + ", embedding[1]::double + 0.01::double * embedding[2]::double AS f30, (label < 4)::int AS label FROM embeddings)")
+            + ", ".join(f"embedding[{i + 1}]::double AS {c}" for i, c in enumerate(WIDE))
+            + ", embedding[1]::double + 0.01::double * embedding[2]::double AS copy, (label < 4)::int AS label FROM embeddings)")
 
 DIRTY_SQL = """
 lines AS (SELECT l_orderkey AS id, l_linenumber, l_quantity::double AS l_quantity, l_extendedprice::double AS l_extendedprice,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 import json
 from collections.abc import Sequence
 
@@ -12,7 +13,7 @@ from pyspark.sql import types as T
 
 from farol import vocabulary as words
 from farol.functions.columns import col, missing_to_null
-from farol.operators.normalize import normalize
+from farol.operators.normalize import normalize, rename_parts, trim_names
 
 
 def case_schema(features: Sequence[str] | None = None) -> T.StructType:
@@ -44,6 +45,58 @@ def _open(spark: SparkSession, path: str, schema: T.StructType | str | None) ->
     return reader.schema(schema).option("enforceSchema", False).csv(path) if schema is not None else reader.option("inferSchema", True).csv(path)
 
 
+def feature_schema(df: DataFrame, id_col: str, features: Sequence[str]) -> T.StructType:
+    """The types a table's id and features have, to be kept beside a model."""
+    return T.StructType([T.StructField(words.ID_COLUMN, df.schema[id_col].dataType), *[T.StructField(c, df.schema[c].dataType) for c in features]])
+
+
+def read_contract(spark: SparkSession, path: str, schema: T.StructType, label: str = words.LABEL_COLUMN) -> DataFrame:
+    """S1 under a contract: every line of CSV files with the columns of `schema`, `_reason` why it breaks the contract (NULL if it doesn't), its
+    text in `_line` and its file in `_file`. Nothing is inferred; lines are one row each, so line breaks within quotes are not read.
+
+    Columns are found by the header's names, in any order; others are left out, a label is kept as text. A missing feature is an error; a missing id
+    is numbered. Finding the header reads up to the first such line.
+    """
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("_file"))
+    id_name, first = schema.fieldNames()[0], schema.fieldNames()[1]
+    plain = F.transform(F.split("value", ","), lambda c: F.replace(F.trim(F.regexp_replace(c, '"', "")), F.lit(" "), F.lit("_")))
+    header = lines.where(F.array_contains(plain, first)).first()
+    if header is None:
+        raise ValueError(f"no header with a column '{first}' in {path}")
+    cells = [c.strip() or f"_{i}" for i, c in enumerate(next(csv.reader([header["value"]], skipinitialspace=True)))]
+    names = rename_parts(trim_names(spark.createDataFrame([], T.StructType([T.StructField(c, T.StringType()) for c in cells])))).columns
+    place = {c: i for i, c in reversed(list(enumerate(names)))}
+    absent = [c for c in schema.fieldNames()[1:] if c not in place]
+    if absent:
+        raise ValueError(f"{len(absent)} column(s) missing from the input: {absent[:6]}")
+    text = ", ".join(f"c{i} STRING" for i in range(len(names))) + ", bad STRING"
+    rows = lines.where(F.col("value") != F.lit(header["value"])).where(F.length(F.trim("value")) > 0)
+    rows = rows.withColumn("_c", F.from_csv("value", text, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "bad", "ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true"}))
+    reason, typed = F.when(F.col("_c.bad").isNotNull(), F.lit("wrong number of cells")), []
+    for f in schema.fields:
+        if f.name == id_name and id_name not in place:
+            typed.append(F.monotonically_increasing_id().alias(id_name))
+            continue
+        cell = F.col(f"_c.c{place[f.name]}")
+        value = cell.try_cast(f.dataType)
+        reason = reason.when(cell.isNotNull() & value.isNull(), F.lit(f"{f.name} is not a {f.dataType.simpleString()}"))
+        typed.append(value.alias(f.name))
+    if id_name in place:
+        reason = reason.when(F.col(f"_c.c{place[id_name]}").isNull(), F.lit(f"{id_name} is missing"))
+    known = [F.col(f"_c.c{place[label]}").alias(label)] if label in place else []
+    return rows.select(*typed, *known, reason.alias("_reason"), F.col("value").alias("_line"), "_file")
+
+
+def accepted_rows(checked: DataFrame) -> DataFrame:
+    """The rows of `read_contract` that keep the contract, NaN as NULL."""
+    return missing_to_null(checked.where("_reason IS NULL").drop("_reason", "_line", "_file"))
+
+
+def rejected_rows(checked: DataFrame) -> DataFrame:
+    """The lines of `read_contract` that break the contract: reason, line and file."""
+    return checked.where("_reason IS NOT NULL").select("_reason", "_line", "_file")
+
+
 def read_headerless(spark: SparkSession, path: str, features: Sequence[str] | None = None) -> DataFrame:
     """A CSV without header: id, label, then the features in their fixed order."""
     return normalize(missing_to_null(spark.read.schema(case_schema(features)).option("mode", "FAILFAST").csv(path, header=False)))
