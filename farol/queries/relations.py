@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from farol.functions.storage import written
 from farol.operators import correlate as C
 from farol.operators import explore as E
+from farol.operators import prep as P
 from farol.queries import views
 from farol.queries.registry import query, tidy
 from farol.queries.views import CASES_SQL, SKEWED_SQL, WIDE_SQL
@@ -169,6 +171,54 @@ def e5(spark, sf):
     return tidy(E.projected_points(views.wide(spark, sf), WIDE, label="label"))
 
 
+def complete_cases(spark, sf):
+    """The cases with missing cells filled by the median; written, as several steps read it."""
+    c = labelled_cases(spark, sf).select("id", "label", *[F.col(n).cast("double").alias(n) for n in NUMERIC])
+    return written(P.imputed(c, P.fit_medians(c, NUMERIC)), "cases")
+
+
+def _components_sql(k: int, squarings: int = 20) -> str:
+    """The leading components by a power of the matrix of correlations, squared again and again, each taken out before the next: v<j> of one row (v, l)."""
+    p = len(NUMERIC)
+    dot = "list_sum([u[1] * u[2] FOR u IN list_zip({0}, {1})])"
+    every = f"range(1, {p + 1})"
+    out = ["m0 AS MATERIALIZED (SELECT [" + ", ".join("[" + ", ".join(f"avg(x[{i}] * x[{j}])" for j in range(1, p + 1)) + "]" for i in range(1, p + 1)) + "] AS m FROM z)"]
+    for j in range(k):
+        start = "[" + ", ".join(f"{1 + i / 10}::double" for i in range(p)) + "]"
+        out.append(f"""i{j}(step, q) AS (SELECT 0, m FROM m{j} UNION ALL SELECT step + 1, [[{dot.format('q[a]', 'q[b]')} / t FOR b IN {every}] FOR a IN {every}]
+  FROM (SELECT step, q, list_sum([{dot.format('r', 'r')} FOR r IN q]) AS t FROM i{j} WHERE step < {squarings}))""")
+        out.append(f"""w{j} AS (SELECT [{dot.format('r', start)} FOR r IN q] AS w FROM i{j} WHERE step = {squarings}),
+u{j} AS (SELECT [y / sqrt(list_sum([t * t FOR t IN w])) * CASE WHEN list_max(w) >= -list_min(w) THEN 1 ELSE -1 END FOR y IN w] AS v FROM w{j}),
+v{j} AS MATERIALIZED (SELECT v, {dot.format('v', f"[{dot.format('r', 'v')} FOR r IN m]")} AS l FROM u{j}, m{j})""")
+        out.append(f"m{j + 1} AS MATERIALIZED (SELECT [[m[a][b] - l * v[a] * v[b] FOR b IN {every}] FOR a IN {every}] AS m FROM m{j}, v{j})")
+    return ", ".join(out)
+
+
+COMPONENTS_SQL = WITH_CASES.replace("WITH", "WITH RECURSIVE", 1) + ", med AS (SELECT " + ", ".join(f"quantile_cont({c}::double, 0.5) AS {c}" for c in NUMERIC) + """ FROM cases),
+filled AS (SELECT id, diagnosis, """ + ", ".join(f"coalesce(g.{c}, m.{c})::double AS {c}" for c in NUMERIC) + """ FROM cases g, med m),
+st AS (SELECT """ + ", ".join(f"avg({c}) AS a_{c}, stddev_pop({c}) AS s_{c}" for c in NUMERIC) + """ FROM filled),
+z AS MATERIALIZED (SELECT id, (diagnosis = 'M')::int AS label, [""" + ", ".join(f"({c} - a_{c}) / s_{c}" for c in NUMERIC) + "] AS x FROM filled, st), " + _components_sql(2)
+
+
+@query("e4_case_variance", COMPONENTS_SQL + f"""
+SELECT 1::bigint AS component, round(l / {len(NUMERIC)}, 5) AS variance_ratio, round(l / {len(NUMERIC)}, 5) AS cumulative_ratio FROM v0
+UNION ALL SELECT 2, round(v1.l / {len(NUMERIC)}, 5), round((v0.l + v1.l) / {len(NUMERIC)}, 5) FROM v0, v1""")
+def e4_case_variance(spark, sf):
+    return tidy(E.component_variance(complete_cases(spark, sf), NUMERIC, 2), 5)
+
+
+@query("e4_case_loadings", COMPONENTS_SQL + "".join(
+    f"{' UNION ALL' if j else ''} SELECT {j + 1}::bigint AS component, unnest([{', '.join(repr(c) for c in NUMERIC)}]) AS feature, round(unnest(v), 5) AS loading FROM v{j}" for j in range(2)))
+def e4_case_loadings(spark, sf):
+    return tidy(E.component_loadings(complete_cases(spark, sf), NUMERIC, 2), 5)
+
+
+@query("e5_case_points", COMPONENTS_SQL + """
+SELECT id, label::bigint AS class, """ + ", ".join(f"round(list_sum([u[1] * u[2] FOR u IN list_zip(x, v{j}.v)]), 4) AS pc{j + 1}" for j in range(2)) + " FROM z, v0, v1")
+def e5_case_points(spark, sf):
+    return tidy(E.projected_points(complete_cases(spark, sf), NUMERIC, label="label"), 4)
+
+
 @query("e6_scatter_pairs", WITH_CASES + " SELECT * FROM (" + " UNION ALL ".join(
     f"SELECT id, diagnosis AS class, '{a}' AS feature_x, '{b}' AS feature_y, round({a}, 6) AS x, round({b}, 6) AS y FROM cases"
     for a, b in (("total", "qty_sum"), ("total", "price_max"), ("qty_sum", "price_max"))) + ")")

@@ -169,17 +169,31 @@ def q9(spark, sf):
     return Q.imbalance(views.cases(spark, sf))
 
 
-@query("q_audit", WITH_CASES + """
-SELECT count(*) AS n_rows, sum((qty_sum IS NULL)::int)::bigint AS missing_qty_sum, (6 * sum((qty_sum IS NULL)::int))::bigint AS missing_total,
-       (count(*) - count(DISTINCT id))::bigint AS duplicated_ids, 0::bigint AS duplicated_rows,
+def audited(spark, sf):
+    """The dirty line items with a label, empty cells and zeros where there should be none."""
+    d = views.dirty(spark, sf)
+    return d.withColumns({"l_tax": F.when(F.col("l_quantity") >= 5, F.col("l_tax")), "diagnosis": F.when(F.col("l_quantity") > 35, "M").otherwise("B"),
+                          "area_mean": F.when(F.col("l_quantity") == 7, 0.0).otherwise(F.col("l_quantity"))})
+
+
+AUDITED = ("id", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_constant", "area_mean")
+
+
+@query("q_audit", "WITH " + DIRTY_SQL + """,
+audited AS (SELECT id, l_linenumber, l_quantity, l_extendedprice, l_discount, CASE WHEN l_quantity >= 5 THEN l_tax END AS l_tax, l_constant,
+                   CASE WHEN l_quantity > 35 THEN 'M' ELSE 'B' END AS diagnosis, CASE WHEN l_quantity = 7 THEN 0 ELSE l_quantity END AS area_mean FROM dirty)
+SELECT count(*) AS n_rows, sum((l_tax IS NULL)::int)::bigint AS missing_tax, (""" + " + ".join(f"count(*) - count({c})" for c in (*AUDITED, "diagnosis")) + """)::bigint AS missing_total,
+       (count(*) - count(DISTINCT id))::bigint AS duplicated_ids, (count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM audited)))::bigint AS duplicated_rows,
        count(*) FILTER (WHERE diagnosis = 'M') AS n_m, round(100::double * count(*) FILTER (WHERE diagnosis = 'M') / count(*), 2) AS pct_m,
-       round(count(*) FILTER (WHERE diagnosis = 'B') / (count(*) FILTER (WHERE diagnosis = 'M'))::double, 3) AS imbalance_ratio,
-       ''::varchar AS constant_columns FROM cases""")
+       round(greatest(count(*) FILTER (WHERE diagnosis = 'B'), count(*) FILTER (WHERE diagnosis = 'M'))
+             / least(count(*) FILTER (WHERE diagnosis = 'B'), count(*) FILTER (WHERE diagnosis = 'M'))::double, 3) AS imbalance_ratio,
+       concat_ws(',', """ + ", ".join(f"CASE WHEN min({c}) IS NOT DISTINCT FROM max({c}) THEN '{c}' END" for c in AUDITED) + """) AS constant_columns,
+       sum((area_mean = 0)::int)::bigint AS zeros FROM audited""")
 def q_audit(spark, sf):
-    a = Q.audit(views.cases(spark, sf))
-    return tidy(a.select("n_rows", F.col("missing_by_column")["qty_sum"].alias("missing_qty_sum"), "missing_total", "duplicated_ids",
+    a = Q.audit(audited(spark, sf))
+    return tidy(a.select("n_rows", F.col("missing_by_column")["l_tax"].alias("missing_tax"), "missing_total", "duplicated_ids",
                          "duplicated_rows", F.col("class_counts")["M"].alias("n_m"), F.col("class_balance_pct")["M"].alias("pct_m"),
-                         "imbalance_ratio", F.array_join("constant_columns", ",").alias("constant_columns")))
+                         "imbalance_ratio", F.array_join("constant_columns", ",").alias("constant_columns"), F.col("impossible_zeros")["area_mean"].alias("zeros")))
 
 
 def _describe_sql(view: str, columns) -> str:
@@ -312,10 +326,16 @@ def t5(spark, sf):
     return tidy(subsets.groupBy("held_out", "step").agg(F.count(F.lit(1)).alias("n"), F.sum("id").alias("id_sum")))
 
 
-@query("t6_split_checks", SPLIT_SQL + """
-SELECT 0::bigint AS overlapping, 0::bigint AS unplaced, 0::bigint AS "foreign",
-       round((SELECT max(abs(p - (SELECT avg(label) FROM split))) FROM (SELECT avg(label) AS p FROM split GROUP BY split)), 6) AS largest_gap""")
+@query("t6_split_checks", SPLIT_SQL + """,
+planted AS (SELECT id, label, split FROM split WHERE id % 10 <> 4 UNION ALL SELECT id, label, 'test' FROM split WHERE id % 10 = 5
+            UNION ALL SELECT -id, label, split FROM split WHERE id % 10 = 6),
+placed AS (SELECT id, count(DISTINCT split) AS parts FROM planted GROUP BY id)
+SELECT (SELECT count(*) FROM placed WHERE parts > 1) AS overlapping, (SELECT count(*) FROM split WHERE id NOT IN (SELECT id FROM placed)) AS unplaced,
+       (SELECT count(*) FROM placed WHERE id NOT IN (SELECT id FROM split)) AS "foreign",
+       round((SELECT max(abs(p - (SELECT avg(label) FROM planted))) FROM (SELECT avg(label) AS p FROM planted GROUP BY split)), 6) AS largest_gap""")
 def t6(spark, sf):
-    parts = split_cases(spark, sf)
+    """A split with faults: ids in two parts, ids left out, ids from elsewhere."""
+    whole, last = split_cases(spark, sf).select("id", "label", "split"), F.pmod("id", F.lit(10))
+    parts = whole.where(last != 4).unionByName(whole.where(last == 5).withColumn("split", F.lit("test"))).unionByName(whole.where(last == 6).withColumn("id", -F.col("id")))
     checks = T.split_problems(parts, views.labelled(spark, sf))
     return tidy(checks.withColumn("largest_gap", T.prevalence_gap(parts, "label").scalar()))
