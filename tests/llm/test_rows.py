@@ -2,6 +2,7 @@
 
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -126,16 +127,51 @@ def test_licenses(spark):
     assert licenses.scan(df).count() == len(rows) and licenses.scan(df.where("doc_id < 0")).count() == 0
 
 
-def test_cosines_are_those_of_whole_vectors(spark):
-    idf, other, lengths = licenses.weights(licenses.TEMPLATES)
-    texts = [*licenses.TEMPLATES.values(), "license license apache", "mit and other words", "public general gnu, version 3"]
-    got = {r["key"]: (r["license"], r["score"]) for r in licenses.similarities(spark.createDataFrame(list(enumerate(texts)), "key bigint, text string")).collect()}
-    bags = licenses._bags(licenses.TEMPLATES)
-    for i, text in enumerate(texts):
-        own = licenses._bags({"x": text})["x"]
-        size = np.sqrt(sum((n * idf.get(w, other)) ** 2 for w, n in own.items()))
-        best = max(((round(sum(n * own[w] * idf[w] ** 2 for w, n in b.items()) / size / lengths[t], 6), t) for t, b in bags.items()), key=lambda x: (x[0], [-ord(c) for c in x[1]]))
-        assert got[i][1] == pytest.approx(best[0], abs=2e-6)
+def brute_license(text):
+    """Best (score, licence) over every sign and template, by the rule in the module's docstring."""
+    idf, other = licenses.weights()
+    words, best = licenses._words(text or ""), (0.0, 0, "")
+    for p, w in enumerate(words):
+        sign = re.match(licenses.STEMS, w)
+        for i, name, stem, before, size in licenses.shapes() if sign else ():
+            if stem != sign.group():
+                continue
+            start = max(p - before, 0)
+            a, b = Counter(words[start:p - before + size]), Counter(licenses._words(licenses.TEMPLATES[i][1]))
+            long = lambda c: np.sqrt(sum((n * idf.get(x, other)) ** 2 for x, n in c.items()))
+            score = round(sum(n * b[x] * idf.get(x, other) ** 2 for x, n in a.items()) / long(a) / long(b), 6)
+            best = min(best, (-score, start, name))
+    return (best[2], -best[0]) if -best[0] >= licenses.THRESHOLD else (None, None)
+
+
+FILLER = "the cat sat on a mat and looked at 2.0 birds "
+HEADERS = [
+    ("MIT", "SPDX-License-Identifier: MIT"), ("Apache-2.0", "# SPDX-License-Identifier: Apache-2.0"), ("GPL-2.0", "// SPDX-License-Identifier: GPL-2.0-or-later"),
+    ("BSD-3-Clause", "BSD 3-Clause License"), ("MPL-2.0", "Mozilla Public License Version 2.0"), ("MIT", FILLER * 3 + "Released under the MIT License. " + FILLER * 3),
+    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"),
+    ("Apache-2.0", "Copyright 2019 Some One. Licensed under the Apache License, Version 2.0 (the License);"), ("GPL-2.0", "GNU General Public License, version 2"),
+    ("LGPL-3.0", "This is under the GNU Lesser General Public License, version 3, like it or not"), ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
+    ("MIT", " * " + licenses.WORDINGS["MIT"][1].replace(" copy", "\n * copy").upper()), (None, "SPDX-License-Identifier: Zlib"), (None, "a driving license, version 2.0, needs permission"),
+    (None, "copyright " * 50), (None, FILLER), (None, "license"), (None, "The terms of our licence apply; no redistribution"), ("ISC", FILLER * 200 + "ISC License " + FILLER * 200),
+    ("GPL-3.0", FILLER * 93 + "the GNU General Public License, version 3 " + FILLER * 300 + "MIT License"), ("MIT", "MIT License"),
+]
+
+
+def test_headers_in_any_surroundings(spark):
+    df = spark.createDataFrame([(i, None, t) for i, (_, t) in enumerate(HEADERS)], "doc_id int, path string, text string")
+    got = {r["doc_id"]: (r["license"], r["score"]) for r in licenses.scan(df).collect()}
+    for i, (name, text) in enumerate(HEADERS):
+        want = brute_license(text)
+        assert got[i][0] == want[0] == name, (text[:80], got[i], want)
+        assert got[i][1] == pytest.approx(want[1], abs=2e-6)
+
+
+def test_signs_at_every_place_of_a_block(spark):
+    """A window is the same wherever its block begins; a very long text of signs only goes through."""
+    texts = ["x " * n + "Mozilla Public License, version 2.0" + " y" * 40 for n in range(licenses.BLOCK - 12, licenses.BLOCK + 12)] + ["license " * 20_000]
+    df = spark.createDataFrame([(i, None, t) for i, t in enumerate(texts)], "doc_id int, path string, text string")
+    got = {r["doc_id"]: r["license"] for r in licenses.scan(df).collect()}
+    assert all(got[i] == "MPL-2.0" for i in range(len(texts) - 1)) and got[len(texts) - 1] is None
 
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
