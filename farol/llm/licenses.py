@@ -169,7 +169,7 @@ def scan(files: DataFrame, templates=TEMPLATES) -> DataFrame:
     rows = files.select("doc_id", "path", F.coalesce("text", F.lit("")).alias("text"), F.xxhash64("doc_id", "path", "text").alias("id"))
     is_file = F.coalesce(F.element_at(F.split("path", "/"), -1).isin(*FILES), F.lit(False))
     # Equal windows are measured once, in however many files they are.
-    found = windows(rows.dropDuplicates(["id"]).select("id", "text"), templates).withColumn("key", F.sha2(F.concat_ws(" ", "template", "window"), 256))
+    found = windows(rows.select("id", "text"), templates).withColumn("key", F.sha2(F.concat_ws(" ", "template", "window"), 256))
     scored = similarities(found.groupBy("key").agg(F.first("template").alias("template"), F.first("window").alias("window")), templates).where(F.col("score") >= THRESHOLD)
     own = found.select("id", "key", "at").join(scored, "key").groupBy("id").agg(
         F.min(F.struct((-F.col("score")).alias("s"), "at", "license")).alias("b")).select("id", F.col("b.license").alias("license"), (-F.col("b.s")).alias("score"))
