@@ -1,15 +1,18 @@
 """Exact k nearest neighbours as a Spark join.
 
-Reference rows are grouped by their nearest pivot. Distances to the pivots give every query an upper
-bound for its k-th neighbour and a lower bound for every cell, so a query is sent only to cells that
-can hold one of its neighbours (triangle inequality: nothing is missed). Cells and query groups larger
-than a block are split, so one task never holds more than a block of each side, however the data clump.
+Reference rows go down a tree of pivots, at each node to the nearest child, and cells are split until they are no larger than
+a block. Distances to the pivots give every query an upper bound for its k-th neighbour and a lower bound for every node, so a
+query descends only into nodes, and is sent only to cells, that can hold one of its neighbours (triangle inequality: nothing
+is missed). The tree is the one thing every task holds; TREE_BYTES bounds it. Cells it has no room to split, or that cannot be
+split, and large groups of queries are dealt over several tasks by hash, so that one task never holds more than a block of each
+side, however the data clump.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
@@ -17,9 +20,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from farol.functions.keys import digest
+from farol.functions.keys import keyed_unit
+from farol.functions.storage import written
 
-MAX_PIVOTS = 256
+#: Children of a node at most, levels at most, bytes of pivots and inner distances at most.
+FAN, DEPTH, TREE_BYTES = 256, 12, 32 << 20
 REFERENCE_BLOCK = 20_000
 QUERY_BLOCK = 20_000
 CHUNK_CELLS = 4_000_000
@@ -48,56 +53,150 @@ def _first_copies(reference: DataFrame, k: int) -> DataFrame:
     return reference.withColumn("__place", place).where(F.col("__place") <= k).drop("__place")
 
 
+@dataclass
+class PivotTree:
+    """Nodes in the order they were made, the root first and without a pivot; the children of a node follow one another."""
+
+    p: int
+    pivots: np.ndarray
+    children: dict[int, range] = field(default_factory=dict)
+    near: np.ndarray | None = None
+    far: np.ndarray | None = None
+    closest: np.ndarray | None = None
+
+    def split(self, node: int, pivots: np.ndarray) -> None:
+        self.children[node] = range(len(self.pivots), len(self.pivots) + len(pivots))
+        self.pivots = np.concatenate([self.pivots, pivots])
+
+    def paths(self, x: np.ndarray) -> tuple[list[list[int]], list[list[float]]]:
+        """The nodes each row comes through below the root, and its distances to their pivots."""
+        path, gaps = [[] for _ in x], [[] for _ in x]
+        stack = [(0, np.arange(len(x)))]
+        while stack:
+            node, rows = stack.pop()
+            if node not in self.children or not len(rows):
+                continue
+            kids = self.children[node]
+            d = distances(x[rows], self.pivots[kids.start:kids.stop], self.p)
+            best = d.argmin(axis=1)
+            for row, to, gap in zip(rows.tolist(), best.tolist(), d[np.arange(len(d)), best].tolist()):
+                path[row].append(kids.start + to)
+                gaps[row].append(gap)
+            stack += [(kids.start + int(to), rows[best == to]) for to in np.unique(best)]
+        return path, gaps
+
+    def reachable(self, x: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """(row, leaf) of every leaf that can hold one of a row's k nearest.
+
+        First the way to the nearest leaf: k members of the children met at one step lie within the k-th least sum of the
+        distance to a child and of its members' distances to it. Then all ways that this bound leaves open.
+        """
+        bound, stack = np.full(len(x), np.inf), [(0, np.arange(len(x)))]
+        while stack:
+            node, rows = stack.pop()
+            if node not in self.children or not len(rows):
+                continue
+            kids = self.children[node]
+            d = distances(x[rows], self.pivots[kids.start:kids.stop], self.p)
+            reach = (d[:, :, None] + self.closest[None, kids.start:kids.stop, :]).reshape(len(d), -1)
+            bound[rows] = np.minimum(bound[rows], np.partition(reach, k - 1, axis=1)[:, k - 1] * (1 + 1e-9) + 1e-12)
+            best = d.argmin(axis=1)
+            stack += [(kids.start + int(to), rows[best == to]) for to in np.unique(best)]
+        found_rows, found_leaves, stack = [], [], [(0, np.arange(len(x)))]
+        while stack:
+            node, rows = stack.pop()
+            if node not in self.children:
+                found_rows.append(rows)
+                found_leaves.append(np.full(len(rows), node))
+                continue
+            kids = self.children[node]
+            d = distances(x[rows], self.pivots[kids.start:kids.stop], self.p)
+            least = np.maximum(0.0, np.maximum(d - self.far[kids.start:kids.stop], self.near[kids.start:kids.stop] - d)) * (1 - 1e-9)
+            open_ = least <= bound[rows, None]
+            stack += [(kids.start + int(to), rows[open_[:, to]]) for to in np.nonzero(open_.any(axis=0))[0]]
+        return np.concatenate(found_rows), np.concatenate(found_leaves)
+
+
+def _down(rows: DataFrame, tree: PivotTree) -> DataFrame:
+    """Adds `path` and `gaps`; the last node of the path is the row's cell, the root (0) if there is no path."""
+
+    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            path, gaps = tree.paths(_stack(pdf["x"]))
+            yield pdf.assign(path=path, gaps=gaps)
+
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
+    return rows.mapInPandas(place, f"{fields}, path array<int>, gaps array<double>").withColumn(
+        "cell", F.coalesce(F.try_element_at("path", F.lit(-1)), F.lit(0)))
+
+
+def _grown(reference: DataFrame, rows: int, k: int, p: int, block: int) -> tuple[PivotTree, dict[int, int]]:
+    """A tree whose cells hold at most `block` rows as far as TREE_BYTES goes, and the cells' sizes.
+
+    A level takes one job for the sizes and one for the pivots: the rows of each large cell with the smallest digests, of which only
+    some eight times the wanted number leave their tasks. Cells whose chosen rows are all alike stay as they are.
+    """
+    first = reference.select("x").head()
+    tree, sizes, whole = PivotTree(p, np.zeros((1, len(first["x"]) if first else 0))), {0: rows}, set()
+    room = max(1, TREE_BYTES // (8 * (len(tree.pivots[0]) + k + 2)))
+    for depth in range(DEPTH):
+        wanted = {c: min(FAN, max(2, math.isqrt(n) // 4 if depth == 0 else math.ceil(2 * n / block))) for c, n in sizes.items()
+                  if c not in whole and (n > block or depth == 0 and n >= 64)}
+        left = room - len(tree.pivots)
+        for cell in sorted(wanted, key=lambda c: -sizes[c]):  # the largest cells first when room is short
+            wanted[cell] = min(wanted[cell], max(0, left))
+            left -= wanted[cell]
+        wanted = {c: n for c, n in wanted.items() if n > 1}
+        if not wanted:
+            break
+        shares = [(c, n, min(1.0, (8 * n + 32) / sizes[c])) for c, n in sorted(wanted.items())]
+        table = F.broadcast(reference.sparkSession.createDataFrame(shares, "cell int, wanted int, share double"))
+        place = F.row_number().over(Window.partitionBy("cell").orderBy("order", "id"))
+        drawn = _down(reference.select("id", "x"), tree).withColumn("order", keyed_unit("pivot", F.col("id"))).join(table, "cell").where("order <= share")
+        picked: dict[int, list] = {}
+        for r in drawn.withColumn("place", place).where("place <= wanted").select("cell", "x").collect():
+            picked.setdefault(r["cell"], []).append(r["x"])
+        for cell in wanted:
+            pivots = np.unique(np.array(picked.get(cell, []), dtype=float).reshape(-1, len(tree.pivots[0])), axis=0)
+            if len(pivots) > 1:
+                tree.split(cell, pivots)
+            else:
+                whole.add(cell)
+        sizes = {r["cell"]: r["count"] for r in _down(reference.select("id", "x"), tree).groupBy("cell").count().collect()}
+    return tree, sizes
+
+
 def nearest_neighbours(queries: DataFrame, reference: DataFrame, k: int, p: int = 2, reference_block: int = REFERENCE_BLOCK,
                        query_block: int = QUERY_BLOCK) -> DataFrame:
     """(id, neighbour, distance, label, rank) for the k nearest reference rows of every query, ties to the smaller id.
 
-    `queries` has (id, x array<double>), `reference` also a label; ids keep their types, query ids are unique. Two small jobs read the
-    cell sizes before the join.
+    `queries` has (id, x array<double>), `reference` also a label; ids keep their types, query ids are unique. Two small jobs per level
+    of the tree and two for its nodes run before the join.
     """
     n_reference = reference.count()
     if k > n_reference:
         raise ValueError(f"k = {k} but the reference holds {n_reference} rows")
-    reference = _first_copies(reference, k)
+    reference = written(_first_copies(reference.select("id", "label", "x"), k), "reference-rows")
     asked, known = (d.schema["id"].dataType.simpleString() for d in (queries, reference))
     spark = queries.sparkSession
-    wanted = min(MAX_PIVOTS, max(1, math.isqrt(n_reference) // 4))
-    pivot_rows = reference.orderBy(digest("pivot", F.col("id")), "id").limit(wanted).collect()
-    pivots = np.array([r["x"] for r in pivot_rows], dtype=float)
-
-    def to_cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            d = distances(_stack(pdf["x"]), pivots, p)
-            cell = d.argmin(axis=1)
-            yield pdf.assign(cell=cell.astype("int32"), d=d[np.arange(len(d)), cell])
-
-    placed = reference.select("id", F.col("label").cast("double").alias("label"), "x").mapInPandas(
-        to_cells, f"id {known}, label double, x array<double>, cell int, d double")
-    sizes = {r["cell"]: (r["n"], r["near"], r["far"]) for r in placed.groupBy("cell").agg(
-        F.count(F.lit(1)).alias("n"), F.min("d").alias("near"), F.max("d").alias("far")).collect()}
-    first = F.row_number().over(Window.partitionBy("cell").orderBy("d"))
-    inner: dict[int, list[float]] = {}
-    for r in placed.select("cell", "d").withColumn("place", first).where(F.col("place") <= k).select("cell", "d").collect():
-        inner.setdefault(r["cell"], []).append(r["d"])
+    tree, sizes = _grown(reference, n_reference, k, p, reference_block)
+    placed = _down(reference.select("id", F.col("label").cast("double").alias("label"), "x"), tree)
+    on_way = placed.select(F.explode(F.arrays_zip("path", "gaps")).alias("at")).select(F.col("at.path").alias("node"), F.col("at.gaps").alias("d"))
+    tree.near, tree.far, tree.closest = np.zeros(len(tree.pivots)), np.zeros(len(tree.pivots)), np.full((len(tree.pivots), k), np.inf)
+    for r in on_way.groupBy("node").agg(F.min("d").alias("near"), F.max("d").alias("far")).collect():
+        tree.near[r["node"]], tree.far[r["node"]] = r["near"], r["far"]
+    inner = on_way.withColumn("place", F.row_number().over(Window.partitionBy("node").orderBy("d"))).where(F.col("place") <= k)
+    for r in inner.collect():
+        tree.closest[r["node"], r["place"] - 1] = r["d"]
     cells = sorted(sizes)
-    centres = pivots[cells]
-    near, far = np.array([sizes[c][1] for c in cells]), np.array([sizes[c][2] for c in cells])
-    closest = np.full((len(cells), k), np.inf)
-    for i, c in enumerate(cells):
-        closest[i, :len(inner[c])] = sorted(inner[c])
-    blocks = {c: math.ceil(sizes[c][0] / reference_block) for c in cells}
+    blocks = {c: max(1, math.ceil(sizes[c] / reference_block)) for c in cells}
 
     def to_visits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for at in range(0, len(pdf), 1024):
                 part = pdf.iloc[at:at + 1024]
-                d = distances(_stack(part["x"]), centres, p)
-                reach = (d[:, :, None] + closest[None, :, :]).reshape(len(d), -1)
-                bound = np.partition(reach, k - 1, axis=1)[:, k - 1] * (1 + 1e-9) + 1e-12
-                least = np.maximum(0.0, np.maximum(d - far[None, :], near[None, :] - d)) * (1 - 1e-9)
-                row, cell = np.nonzero(least <= bound[:, None])
-                yield pd.DataFrame({"id": part["id"].to_numpy()[row], "x": part["x"].to_numpy()[row],
-                                    "cell": np.array(cells, dtype="int32")[cell]})
+                row, cell = tree.reachable(_stack(part["x"]), k)
+                yield pd.DataFrame({"id": part["id"].to_numpy()[row], "x": part["x"].to_numpy()[row], "cell": cell.astype("int32")})
 
     visits = queries.select("id", "x").mapInPandas(to_visits, f"id {asked}, x array<double>, cell int")
     groups = {r["cell"]: math.ceil(r["count"] / query_block) for r in visits.groupBy("cell").count().collect()}

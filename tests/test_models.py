@@ -340,6 +340,34 @@ def test_saved_preprocessing_is_a_stock_pipeline(spark, planted, tmp_path):
     assert back.transform(planted).select("features").exceptAll(model.transform(planted).select("features")).isEmpty()
 
 
+def test_neighbours_cells_are_split_to_the_block(spark):
+    """Ten blocks and more in one clump, copies among them: all cells come under the block, neighbours are those of brute force."""
+    rng = np.random.default_rng(8)
+    x = np.concatenate([rng.normal(0, 1e-3, (3000, 6)), rng.normal(5, 2, (600, 6)), np.repeat(rng.normal(9, 1, (1, 6)), 400, axis=0)])
+    ref = spark.createDataFrame([(i, i % 2, v.tolist()) for i, v in enumerate(x)], "id bigint, label int, x array<double>")
+    few = np.concatenate([x[:40], x[3000:3040], x[3600:3610], rng.normal(0, 9, (10, 6))])
+    asked = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(few)], "id bigint, x array<double>")
+    tree, sizes = K._grown(K._first_copies(ref, 4), len(x), 4, 2, 150)
+    assert max(sizes.values()) <= 150 and sum(sizes.values()) == 3604 and len(tree.children) > 2
+    found = K.nearest_neighbours(asked, ref, 4, 2, 150, 50).toPandas().sort_values(["id", "rank"])
+    for i, v in enumerate(few):
+        d = np.sqrt(((x - v) ** 2).sum(axis=1))
+        want = sorted(range(len(x)), key=lambda j: (d[j], j))[:4]
+        assert found.loc[found["id"] == i, "neighbour"].tolist() == want
+    rows, leaves = _with_radii(tree, x, 4).reachable(few, 4)
+    assert len(set(zip(rows.tolist(), leaves.tolist()))) == len(rows) < 0.5 * len(few) * len(sizes)
+
+
+def _with_radii(tree, x, k):
+    path, gaps = tree.paths(x)
+    tree.near, tree.far, tree.closest = np.full(len(tree.pivots), np.inf), np.zeros(len(tree.pivots)), np.full((len(tree.pivots), k), np.inf)
+    for nodes, ds in zip(path, gaps):
+        for n, d in zip(nodes, ds):
+            tree.near[n], tree.far[n] = min(tree.near[n], d), max(tree.far[n], d)
+            tree.closest[n] = np.sort([*tree.closest[n], d])[:k]
+    return tree
+
+
 def test_neighbours_keep_the_type_of_ids_and_repeated_ids(spark):
     x = np.random.default_rng(11).normal(size=(60, 3))
     known = spark.createDataFrame([(f"case-{i}", x[i].tolist(), float(i % 2)) for i in range(60)], "id string, x array<double>, label double")
