@@ -13,7 +13,7 @@ import math
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
@@ -99,9 +99,34 @@ def next_in_order(points: DataFrame, by: Sequence[str], order: str, values: Sequ
     return out.drop("__q", "__p", *[f"__i_{v}" for v in values], *[f"__n_{v}" for v in values])
 
 
-def average_rank(points: DataFrame, by: Sequence[str], value: str, count: str) -> DataFrame:
-    """Ascending average rank of every distinct value, from (by, value, count) rows. Runs one sketch job."""
-    ranged = with_range(points, value, balanced_edges(points, value))
-    summed = running_sums(ranged, by, value, [count], descending=False)
-    rank: Column = F.col(f"run_{count}") - (F.col(count) - F.lit(1)) / F.lit(2.0)
-    return summed.select(*by, value, count, rank.alias("rank"))
+def tie_edges_of(df: DataFrame, columns: Sequence[str], ranges: int) -> dict[str, tuple[list[float], list[float]]]:
+    """(edges, tied values) of several columns by one job: a value that fills a range of its own lies alone between two edges.
+
+    Such a value is met by two or more of the quantiles; every other value holds less than two ranges' worth of rows.
+    """
+    probabilities = F.array(*[F.lit(i / ranges) for i in range(1, ranges)])
+    row = df.agg(*[F.approx_percentile(F.col(c), probabilities, 4 * ranges).alias(c) for c in columns]).first()
+    out = {}
+    for c in columns:
+        met = [e for e in row[c] or [] if math.isfinite(e)]
+        tied = sorted({e for e, after in zip(met, met[1:]) if e == after})
+        out[c] = (sorted({*met, *(math.nextafter(e, math.inf) for e in tied)} - {math.inf}), tied)
+    return out
+
+
+def average_ranks(cells: DataFrame, by: str, row: str, value: str) -> DataFrame:
+    """Add `rank`, the ascending average rank of every row's `value` among the rows of its `by`, without a join by value.
+
+    `cells` holds RANGE and `tied`, true where a range holds one value only. Ranks inside a range come from one sort; the rows before the
+    range are carried over by a broadcast table of a row per (by, range), which the caller bounds. A tied range needs no order, so its rows
+    are spread by `row`.
+    """
+    totals = cells.groupBy(by, RANGE).agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.partitionBy(by).orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.withColumn("__o", F.coalesce(F.sum("__n").over(before), F.lit(0)))
+    salt = F.when(F.col("tied"), F.pmod(F.xxhash64(row), F.lit(range_count(cells)))).otherwise(F.lit(0))
+    inside = Window.partitionBy(by, RANGE, "__salt").orderBy(value)
+    ties = F.count(F.lit(1)).over(inside.rangeBetween(Window.currentRow, Window.currentRow))
+    placed = cells.withColumn("__salt", salt).withColumns({"__first": F.rank().over(inside), "__ties": ties}).join(F.broadcast(offsets), [by, RANGE])
+    local = F.when(F.col("tied"), (F.col("__n") + 1) / F.lit(2.0)).otherwise(F.col("__first") + (F.col("__ties") - 1) / F.lit(2.0))
+    return placed.withColumn("rank", F.col("__o") + local).drop("__salt", "__first", "__ties", "__o", "__n")

@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 from farol import vocabulary as words
 from farol.functions.columns import col, nan_to_null, structs_to_rows
 from farol.functions.moments import correlation_of, pair_moments
-from farol.functions.running import average_rank
+from farol.functions.running import RANGE, average_ranks, range_count, tie_edges_of, with_range
 
 FEW_COLUMNS = 8
-HOT_SHARE = 1000
+#: Rows of the broadcast table of ranges, all contexts together, at most (two ranges an edge).
+RANGE_ROWS = 1_000_000
 
 
 def _named(pairs: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -64,39 +65,34 @@ def _rank_partners(wide: DataFrame, p: int) -> dict[tuple[int, int], int | None]
     return out
 
 
-def _join_ranks(long: DataFrame, ranks: DataFrame, rows: int) -> DataFrame:
-    """Give every cell its rank. Values held by a thousandth of the rows or more, at most a thousand per context, are
-    looked up by broadcast, so that a value very many rows share does not gather them in one task; the others are joined by shuffle."""
-    keys, often = ["context", "value"], max(2, rows // HOT_SHARE)
-    hot = F.broadcast(ranks.where(F.col("n") >= often).drop("n"))
-    found = long.join(hot, keys)
-    others = long.join(hot.select(*keys), keys, "left_anti").join(ranks.where(F.col("n") < often).drop("n"), keys)
-    return found.unionByName(others)
-
-
 def _spearman_pairs(df: DataFrame, columns: list[str], id_col: str) -> DataFrame:
     """Rank correlation over pairwise complete rows; `id_col` must be unique.
 
     A column is ranked again over the rows where its partner is present, but only if the partner is
-    missing where the column is not, and only once for partners missing in the same rows. Ranks come from distinct values, so ties are collapsed
-    before anything is sorted, and are joined back by value.
+    missing where the column is not, and only once for partners missing in the same rows. A cell carries the range its value lies in;
+    ranks are counted within ranges and written next to the cell, so cells are shuffled by range once and by id once.
     """
-    wide = df.select(col(id_col).alias("__id"), *[col(c).cast("double").alias(f"c{i}") for i, c in enumerate(columns)])
+    # Adding zero makes minus zero equal to zero in every sort.
+    wide = df.select(col(id_col).alias("__id"), *[(col(c).cast("double") + F.lit(0.0)).alias(f"c{i}") for i, c in enumerate(columns)])
     partner_of = _rank_partners(wide, len(columns))
     ranked_as: dict[tuple[int, int | None], int] = {}
     for i in range(len(columns)):
         for partner in sorted({partner_of[(i, j)] for j in range(len(columns))}, key=lambda j: -1 if j is None else j):
             ranked_as[(i, partner)] = len(ranked_as)
 
+    ranges = max(2, min(range_count(df), RANGE_ROWS // (2 * len(ranked_as))))
+    edges = tie_edges_of(wide, [f"c{i}" for i in range(len(columns))], ranges)
+    ranged = wide
+    for c, (cuts, tied) in edges.items():
+        ranged = with_range(ranged, c, cuts or [0.0], f"r_{c}").withColumn(f"t_{c}", F.col(c).isin(tied) if tied else F.lit(False))
+
     def cell(i: int, partner: int | None):
         value = F.col(f"c{i}") if partner is None else F.when(F.col(f"c{partner}").isNotNull(), F.col(f"c{i}"))
-        return F.struct(F.lit(ranked_as[(i, partner)]).alias("context"), value.alias("value"))
+        return F.struct(F.lit(ranked_as[(i, partner)]).alias("context"), value.alias("value"), F.col(f"r_c{i}").alias(RANGE), F.col(f"t_c{i}").alias("tied"))
 
     cells = F.explode(F.array(*[cell(i, p) for i, p in ranked_as])).alias("cell")
-    long = wide.select("__id", cells).select("__id", "cell.*").where("value IS NOT NULL")
-    points = long.groupBy("context", "value").agg(F.count(F.lit(1)).alias("n"))
-    ranks = average_rank(points, ["context"], "value", "n")
-    back = _join_ranks(long, ranks, wide.count()).groupBy("__id").agg(
+    long = ranged.select("__id", cells).select("__id", "cell.*").where("value IS NOT NULL")
+    back = average_ranks(long, "context", "__id", "value").groupBy("__id").agg(
         *[F.max(F.when(F.col("context") == k, F.col("rank"))).alias(f"k{k}") for k in range(len(ranked_as))])
     wanted = [(ranked_as[(i, partner_of[(i, j)])], ranked_as[(j, partner_of[(j, i)])], i, j)
               for i in range(len(columns)) for j in range(i, len(columns))]

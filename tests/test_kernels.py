@@ -11,7 +11,7 @@ from farol.functions.columns import half_even
 from farol.functions.keys import keyed_int
 from farol.functions.moments import correlation_of, pair_moments
 from farol.functions.quantiles import quantile_rows, quantile_values
-from farol.functions.running import average_rank, balanced_edges, next_in_order, running_sums, with_range
+from farol.functions.running import average_ranks, balanced_edges, next_in_order, running_sums, tie_edges_of, with_range
 from farol.functions.strata import cut_keys, largest_remainder, with_slices
 
 
@@ -67,13 +67,20 @@ def test_balanced_edges_bound_every_range(spark):
     assert distinct.agg(F.max("n")).first()[0] < 6000 / 32 * 3
 
 
-def test_average_rank(spark):
-    x = hot(np.random.default_rng(4), 300)
-    pdf = pd.DataFrame({"g": "a", "x": x})
-    points = spark.createDataFrame(pdf).groupBy("g", "x").agg(F.count(F.lit(1)).alias("n"))
-    got = average_rank(points, ["g"], "x", "n").toPandas().set_index("x")["rank"]
-    want = pdf["x"].rank()
-    assert all(got[v] == r for v, r in zip(x, want))
+@pytest.mark.parametrize("ranges", [8, 32])
+def test_average_ranks(spark, ranges):
+    """Clumps, a value that a third of the rows share, its neighbours, both zeros and infinities; two groups in one call."""
+    rng = np.random.default_rng(4)
+    x = np.concatenate([hot(rng, 3000), np.full(1500, 0.25), [np.nextafter(0.25, 1), np.nextafter(0.25, 0), 0.0, -0.0, np.inf, -np.inf]]) + 0.0
+    pdf = pd.DataFrame({"id": range(len(x)), "g": np.arange(len(x)) % 3 == 0, "x": x})
+    df = spark.createDataFrame(pdf)
+    edges, tied = tie_edges_of(df, ["x"], ranges)["x"]
+    assert 0.25 in tied
+    cells = with_range(df, "x", edges).withColumn("tied", F.col("x").isin(tied))
+    assert cells.where("tied").groupBy("__range").agg(F.count_distinct("x").alias("n")).where("n > 1").count() == 0
+    got = average_ranks(cells, "g", "id", "x").toPandas().set_index("id")["rank"].sort_index()
+    assert np.array_equal(got.to_numpy(), pdf.groupby("g")["x"].rank().to_numpy())
+    assert average_ranks(cells.where("id < 0"), "g", "id", "x").count() == 0
 
 
 def test_quantiles_match_numpy(spark):

@@ -123,6 +123,18 @@ def test_spearman_ranks_again_per_pair(spark):
         C.correlation_matrix(df, ["a"], "kendall")
 
 
+def test_spearman_with_values_that_many_rows_share(spark):
+    rng = np.random.default_rng(6)
+    pdf = pd.DataFrame({"a": np.where(rng.random(900) < 0.4, 0.0, rng.normal(size=900)), "b": rng.poisson(1, 900) * 1.0, "c": rng.normal(size=900), "k": 7.0})
+    pdf["c"] += pdf["a"]
+    pdf.loc[rng.random(900) < 0.3, "b"] = np.nan
+    df = spark.createDataFrame(pdf.assign(id=range(900), none=np.nan)).replace(float("nan"), None)
+    want = pdf.assign(none=np.nan).corr(method="spearman")
+    for r in C.correlation_matrix(df, [*pdf.columns, "none"], "spearman").collect():
+        expected = want.loc[r["feature_a"], r["feature_b"]]
+        assert r["r"] is None if np.isnan(expected) else r["r"] == pytest.approx(expected, abs=1e-9)
+
+
 def test_drops_from_published_correlations(spark):
     with_target = spark.createDataFrame([(WITH_TARGET[i], float(WITH_TARGET[i + 1])) for i in range(0, len(WITH_TARGET), 2)],
                                         "feature string, corr_com_alvo double")
