@@ -2,6 +2,7 @@
 
 import random
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -114,6 +115,39 @@ def test_urls(spark):
     assert urlfilter.verdicts(df, labelled=()).where("rule IS NULL AND verdict = 'block'").count() == 0
 
 
+def test_url_model_on_hosts_it_has_not_seen():
+    model = urlfilter.fit(urlfilter.labelled_urls())
+    bad = ["casinos.org", "m.casino-win.tionsh.example.net", "www.spam-farm.therea.example.org", "free-bets.uk", "online-poker-room.ru", "news.pornvideos.to", "get-viagra-now.biz", "torrents.site.se"]
+    good = ["health.org/breast-cancer", "essex.ac.uk/", "blog.tionsh.example.org/en/5", "m.ththing.example.net/fr/1", "sussex.gov.uk/adult-education", "tibet.net/history", "alphabets.org",
+            "en.wikipedia.org/wiki/Moth", "arxiv.org/abs/1706", "docs.python.org/3/library", "bbc.co.uk/news", "pokemon.jp", "", "xn--bcher-kva.example.net"]
+    assert all(urlfilter.probability(model, h, "/en/77") >= 0.5 for h in bad)
+    assert all(urlfilter.probability(model, *(g.split("/", 1)[0], g[len(g.split("/", 1)[0]):])) < 0.5 for g in good)
+    assert urlfilter.probability(model, "lomora.net", "/casino/bonus") >= 0.5 > urlfilter.probability(model, "lomora.net", "/castle/bonus")
+
+
+def test_url_model_held_out():
+    """Held out: a fifth of the labelled URLs by hash; two whole forms of host (every fifth row); every fifth ordinary word with all its hosts and paths."""
+    rows = urlfilter.labelled_urls()
+
+    def right(out):
+        model = urlfilter.fit([r for r, o in zip(rows, out) if not o])
+        return np.mean([(urlfilter.probability(model, h, p) >= 0.5) == bool(y) for (h, p, y), o in zip(rows, out) if o])
+
+    by_hash, by_form = right([zlib.crc32((h + p).encode()) % 5 == 0 for h, p, _ in rows]), right([i % 5 == 0 for i in range(len(rows))])
+    assert by_hash >= 0.97 and by_form >= 0.95
+    model = urlfilter.fit(urlfilter.labelled_urls(ordinary=[w for i, w in enumerate(urlfilter.ORDINARY) if i % 5]))
+    wrong = [urlfilter.probability(model, f.format(w), "/") >= 0.5 for w in urlfilter.ORDINARY[::5] for f in urlfilter.FORMS]
+    assert np.mean(wrong) <= 0.10
+    print(f"held-out URLs {by_hash:.4f}, unseen forms {by_form:.4f}, unseen ordinary words blocked {np.mean(wrong):.4f}")
+
+
+def test_urls_long_and_repeated(spark):
+    urls = ["http://casino.example.org/" + "x" * 200_000, "http://" + "a." * 50_000 + "net/es/"] * 3
+    df = spark.createDataFrame([(1, u) for u in urls], "page_id bigint, url string")
+    got = urlfilter.verdicts(df).collect()
+    assert sorted((r["rule"] or "", r["verdict"]) for r in got) == [("", "block")] * 3 + [("net/es/", "block")] * 3
+
+
 def test_licenses(spark):
     mit, gpl = "Released under the MIT License.", "This work is licensed under the GNU General Public License, version 3."
     rows = [(1, "a/LICENSE", mit), (2, "a/b/c.py", "code"), (3, "a/b/d.py", f"x = 1\n{gpl}\n"), (4, "a/b/LICENSE", "my licence to kill"), (5, "z.py", None), (6, None, mit), (None, "a/b/q/e.py", ""),
