@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from farol.functions.storage import written
 from farol.llm import kit
 
 #: Word buckets, words of a window and between two, words of a benchmark passage at most.
@@ -38,7 +39,6 @@ HELD, COPIED, REWORDED, ANSWER, WEIGHT = 0.5, 0.8, 0.6, 0.8, 0.6
 #: Words of a run, and places of a passage of which the rarest run is looked for.
 RUN, EVERY = 4, 8
 _TABLE = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
-_SLICES = 64
 
 
 def words(text: str | None) -> list[bytes]:
@@ -59,33 +59,21 @@ class Buckets(dict):
 
 
 def frequencies(docs: DataFrame) -> tuple[int, np.ndarray]:
-    """(documents, documents per bucket). A task adds up its own counts; what comes to the driver has a fixed size."""
+    """(documents, documents per bucket). A task adds up its own counts, Spark adds up the tasks'; a number per bucket comes to the driver."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        buckets, df, n = Buckets(), np.zeros(1 << BITS, np.int64), 0
+        buckets, df = Buckets(), np.zeros((1 << BITS) + 1, np.int64)  # the last one counts documents
         for batch in batches:
             for text in batch.column(0):
                 df[np.unique(buckets.of(words(text.as_py())))] += 1
-                n += 1
-        if n:
-            parts = df.reshape(_SLICES, -1)
-            yield pa.RecordBatch.from_arrays([pa.array(range(_SLICES), pa.int32()), pa.array([n] * _SLICES, pa.int64()), pa.array([p.tobytes() for p in parts])], names=["slice", "n", "df"])
+                df[-1] += 1
+        some = np.flatnonzero(df)
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(df[some])], names=["bucket", "n"])
 
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, list] = {}
-        for batch in batches:
-            for k, n, df in zip(*(c.to_pylist() for c in batch.columns)):
-                one = sums.setdefault(k, [0, np.zeros((1 << BITS) // _SLICES, np.int64)])
-                one[0] += n
-                one[1] += np.frombuffer(df, np.int64)
-        for k, (n, df) in sums.items():
-            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([n], pa.int64()), pa.array([df.tobytes()])], names=["slice", "n", "df"])
-
-    schema = "slice int, n bigint, df binary"
-    total, df = 0, np.zeros((_SLICES, (1 << BITS) // _SLICES), np.int64)
-    for r in docs.select("text").mapInArrow(count, schema).repartition(8, "slice").mapInArrow(add, schema).toLocalIterator():
-        total, df[r["slice"]] = r["n"], np.frombuffer(r["df"], np.int64)
-    return total, df.ravel()
+    df = np.zeros((1 << BITS) + 1, np.int64)
+    found = docs.select("text").mapInArrow(count, "bucket int, n bigint").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
+    df[found["bucket"].to_numpy()] = found["n"].to_numpy()
+    return int(df[-1]), df[:-1]
 
 
 def passages(items: DataFrame) -> DataFrame:
@@ -140,10 +128,28 @@ def _random_rows(at: np.ndarray, width: int) -> np.ndarray:
     return np.where((h >> np.uint64(63)).astype(bool), 1.0, -1.0)
 
 
+def gram(rows: DataFrame, matrix: Callable[[list], np.ndarray], width: int) -> np.ndarray:
+    """Sum over all rows of the outer product of each one's vector: a square per task, added up cell by cell, comes to the driver."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((width, width))
+        for batch in batches:
+            for start in range(0, batch.num_rows, 512):
+                y = matrix(batch.column(0).slice(start, 512).to_pylist())
+                total += y.T @ y
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(width * width), pa.int32()), pa.array(total.ravel())], names=["cell", "x"])
+
+    out = np.zeros(width * width)
+    found = rows.mapInArrow(run, "cell int, x double").groupBy("cell").agg(F.sum("x").alias("x")).toArrow()
+    out[found["cell"].to_numpy()] = found["x"].to_numpy()
+    return out.reshape(width, width)
+
+
 def latent(parts: DataFrame, n: int, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(buckets, vectors) by randomised SVD of the passages' TF-IDF rows.
 
-    What comes to the driver: a square of the projection's width, and a vector per word of the benchmark, 2**BITS at most.
+    The words' rows are a written table. What comes to the driver: two squares of the projection's width, and RANK singles per word of the
+    benchmark, 2**BITS words (128 MB) at most.
     """
     width = min(RANK + EXTRA, n)
     shared = parts.sparkSession.sparkContext.broadcast(idf)
@@ -152,16 +158,10 @@ def latent(parts: DataFrame, n: int, idf: np.ndarray) -> tuple[np.ndarray, np.nd
         at, x = _sparse(ids, shared.value)
         return at, x, x @ _random_rows(at, width)
 
-    def gram(columns):
-        y = np.array([projected(ids)[2] for ids in columns[0]])
-        return [[(y.T @ y).tobytes()]]
-
-    total = np.zeros((width, width))
-    for r in kit.map_rows(parts.select("buckets"), "gram binary", lambda: gram).toLocalIterator():
-        total += np.frombuffer(r["gram"], np.float64).reshape(width, width)
-    values, basis = np.linalg.eigh(total)
+    values, basis = np.linalg.eigh(gram(parts.select("buckets"), lambda rows: np.array([projected(ids)[2] for ids in rows]), width))
     good = values > 1e-9 * max(values.max(), 1e-30)
     whiten = basis[:, good] / np.sqrt(values[good])  # Y times this has orthonormal columns
+    kept = int(good.sum())
 
     def back(columns):
         sums: dict[int, np.ndarray] = {}
@@ -171,13 +171,21 @@ def latent(parts: DataFrame, n: int, idf: np.ndarray) -> tuple[np.ndarray, np.nd
                 sums[b] = sums[b] + row if b in sums else row
         return [list(sums), [v.tolist() for v in sums.values()]]
 
-    rows = kit.map_rows(parts.select("buckets"), "bucket int, v array<double>", lambda: back).groupBy("bucket").agg(
-        F.array(*[F.sum(F.col("v")[i]) for i in range(int(good.sum()))]).alias("v")).orderBy("bucket")
-    found = [(r["bucket"], r["v"]) for r in rows.toLocalIterator()]
-    at, b = np.array([x for x, _ in found], np.int64), np.array([v for _, v in found])
-    values, turn = np.linalg.eigh(b.T @ b)
-    order = [i for i in np.argsort(-values)[:RANK] if values[i] > 1e-9]
-    return at, (b @ (turn[:, order] / np.sqrt(values[order]))).astype(np.float32)
+    rows = written(kit.map_rows(parts.select("buckets"), "bucket int, v array<double>", lambda: back).groupBy("bucket").agg(
+        F.array(*[F.sum(F.col("v")[i]) for i in range(kept)]).alias("v")), "benchmark-words")
+    values, turn = np.linalg.eigh(gram(rows.select("v"), np.array, kept))
+    order = [i for i in np.argsort(-values) if values[i] > 1e-9][:RANK]
+    last = turn[:, order] / np.sqrt(values[order])
+    turned = kit.map_rows(rows, "bucket int, v binary", lambda: lambda c: [c[0], [r.tobytes() for r in (np.array(c[1]) @ last).astype(np.float32)]]).toArrow()
+    at = turned["bucket"].to_numpy()
+    vectors = np.empty((len(at), len(order)), np.float32)
+    place = 0
+    for chunk in turned["v"].chunks:
+        for v in chunk:
+            vectors[place] = np.frombuffer(v.as_buffer(), np.float32)
+            place += 1
+    first = np.argsort(at)
+    return at[first], vectors[first]
 
 
 def common_subsequence(a: list, b: list) -> int:

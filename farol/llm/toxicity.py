@@ -68,10 +68,14 @@ def _sigmoid(z):
     return 1.0 / (1.0 + np.exp(-np.clip(z, -40.0, 40.0)))
 
 
-def sets_of(texts: DataFrame) -> list[np.ndarray]:
-    """The word sets of a bounded sample of texts, at most 2**BITS numbers each."""
-    rows = kit.map_rows(texts.select("text"), "grams binary", lambda: lambda c: [[grams(t).astype(np.uint32).tobytes() for t in c[0]]])
-    return [np.frombuffer(r["grams"], np.uint32) for r in rows.toLocalIterator()]
+def sets_of(texts: DataFrame, most: int) -> list[np.ndarray]:
+    """The word sets of (doc_id, text), at most 2**BITS numbers each, in the order of a hash of both: the same on any layout of the table.
+
+    At most `most` rows, so that an id with very many rows stays a bounded sample.
+    """
+    placed = texts.select(F.xxhash64("doc_id", "text").alias("place"), "text")
+    rows = kit.map_rows(placed, "place bigint, grams binary", lambda: lambda c: [c[0], [grams(t).astype(np.uint32).tobytes() for t in c[1]]])
+    return [np.frombuffer(r["grams"], np.uint32) for r in rows.orderBy("place").limit(most).toLocalIterator()]
 
 
 def _unlike(sets: list[np.ndarray]) -> list[np.ndarray]:
@@ -134,7 +138,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
     chosen = kit.sample_by_id(known.where("toxic = 1").select("doc_id"), "doc_id", POSITIVE)
     texts = docs.select("doc_id", "text").where("text IS NOT NULL")
     rest = kit.sample_by_id(texts.where("doc_id IS NOT NULL"), "doc_id", UNLABELLED)
-    return fit_sets(sets_of(texts.join(chosen, "doc_id", "left_semi")), sets_of(rest), min(0.9, max(0.01, toxic / n)))
+    return fit_sets(sets_of(texts.join(chosen, "doc_id", "left_semi"), 2 * POSITIVE), sets_of(rest, 2 * UNLABELLED), min(0.9, max(0.01, toxic / n)))
 
 
 def score(docs: DataFrame, model: Model | None, keep: list[Column] = (), threshold: float = 0.7) -> DataFrame:

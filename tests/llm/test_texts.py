@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import random
+import zlib
 
 import numpy as np
 import public_tokenizers
@@ -239,6 +240,13 @@ def test_toxicity_learns_from_positives_and_unlabelled():
     assert 0 <= score(None) < 0.7 and score("") == score(None)
 
 
+def test_toxicity_learns_from_a_bounded_sample_in_one_order(spark):
+    texts = spark.createDataFrame([(i % 3, f"word{i} word{i % 7}") for i in range(200)] * 2, "doc_id bigint, text string")
+    first, again = (toxicity.sets_of(t, 50) for t in (texts.repartition(3), texts.repartition(6, "text")))
+    assert len(first) == 50 and all((a == b).all() for a, b in zip(first, again))
+    assert len(toxicity.sets_of(texts, 1000)) == 400 and toxicity.sets_of(texts.where("doc_id > 5"), 10) == []
+
+
 def test_toxicity_of_odd_rows(spark):
     labels = spark.createDataFrame([(4, 1, 0), (5, 1, 1), (5, 0, 0), (None, 1, 1), (99, 1, None)], "doc_id bigint, quality int, toxic int")
     model = toxicity.fit(odd_docs(spark), labels)
@@ -280,6 +288,39 @@ def test_contamination_of_odd_rows(spark):
     assert decontam.contaminated(empty(spark), items).count() == 0
 
 
+def test_frequencies_and_factors_equal_direct_ones(spark):
+    texts = zipf_texts(np.random.default_rng(4), 90, 60, 400) + ["", None, "v11 v11 v11"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(7)
+    total, df = decontam.frequencies(docs)
+    direct = np.zeros(1 << decontam.BITS, np.int64)
+    for t in texts:
+        direct[list({zlib.crc32(w) >> (32 - decontam.BITS) for w in decontam.words(t)})] += 1
+    assert total == len(texts) and (df == direct).all()
+    assert decontam.frequencies(empty(spark))[0] == 0 and not decontam.frequencies(empty(spark))[1].any()
+
+    idf = np.log((1.0 + total) / (1.0 + df)) + 0.05
+    parts = decontam.passages(docs.withColumnRenamed("doc_id", "item_id")).repartition(5)
+    ids = [r["buckets"] for r in parts.collect()]
+    dense = np.zeros((len(ids), 1 << decontam.BITS))
+    for row, one in zip(dense, ids):
+        at, x = decontam._sparse(one, idf)
+        row[at] = x
+    at, vectors = decontam.latent(parts, len(ids), idf)
+    dense = dense[:, at]
+    assert list(at) == sorted(set(sum(ids, []))) and vectors.shape[1] <= min(decontam.RANK, len(ids))
+    # With as many dimensions as passages the projection loses nothing: it is orthonormal and gives every passage back.
+    assert np.abs(vectors.T @ vectors - np.eye(vectors.shape[1])).max() < 1e-4
+    assert np.abs(dense @ vectors @ vectors.T - dense).max() < 1e-3
+
+
+def test_items_of_unknown_words_and_of_equal_shares(spark):
+    item = "one two three four five six seven eight nine ten"
+    items = spark.createDataFrame([(1, "never seen words of no document at all here"), (2, item), (3, item)], "item_id bigint, text string")
+    docs = spark.createDataFrame([(1, f"before it {item} after it"), (2, "other words that say other things"), (1, f"before it {item} after it")], "doc_id bigint, text string")
+    assert sorted((r["doc_id"], r["item_id"], r["share"], r["kind"]) for r in decontam.contaminated(docs, items).collect()) == sorted(
+        2 * [(1, 2, 1.0, "copy"), (1, 3, 1.0, "copy")])
+
+
 def zipf_texts(rng, n, words, vocabulary=20000):
     odds = 1 / np.arange(10, vocabulary + 10)
     return [" ".join(f"v{w}" for w in rng.choice(vocabulary, words, p=odds / odds.sum())) for _ in range(n)]
