@@ -246,14 +246,14 @@ def score_range_histogram(scores: DataFrame, bins: int = 25, by: Sequence[str] =
 
 def error_list(scores: DataFrame, threshold: float, features: DataFrame | None = None, top_features: Sequence[str] = (),
                by: Sequence[str] = MODEL, id_col: str = words.ID_COLUMN) -> DataFrame:
-    """Wrong rows, most suspicious first, with up to five features.
+    """Wrong rows, most suspicious first, with the first five of `top_features` that are there.
 
-    Pass `top_features` that are columns of `scores`, or `features` to look them up by id.
+    They are columns of `scores`, or of `features`, which is looked up by id.
     """
     predicted = F.col("score") >= F.lit(float(threshold))
     wrong = _typed(scores).where(predicted != (F.col("label") == 1))
-    order = list(top_features)
-    shown = sorted(set(order).intersection((scores if features is None else features).columns), key=order.index)[:5]
+    known = (scores if features is None else features).columns
+    shown = [c for c in top_features if c in known][:5]
     if features is not None:
         wrong = wrong.join(features.select(col(id_col), *map(col, shown)), id_col)
     negative, positive = (F.lit(c) for c in words.CLASS_NAMES)
