@@ -38,15 +38,19 @@ def largest_remainder(counts: Mapping, size: int) -> dict:
     return share
 
 
-def cut_keys(df: DataFrame, stratum: str, id_col: str, salt: str, ranks: Mapping[object, Sequence[int]]) -> dict:
-    """The (digest, id) at each wanted 1-based rank of each stratum. Runs one job, returns one key per wanted rank."""
+def cut_keys(df: DataFrame, stratum: str, id_col: str, salt: str, ranks: Mapping[object, Sequence[int]], digest_col: str | None = None) -> dict:
+    """The (digest, id) at each wanted 1-based rank of each stratum. Runs one job, returns one key per wanted rank.
+
+    `digest_col` names a column that holds `digest(salt, id)` already.
+    """
     spark = df.sparkSession
     wanted_rows = [(s, int(r)) for s, rs in ranks.items() for r in sorted(set(rs)) if r > 0]
     if not wanted_rows:
         return {}
     stratum_type = df.select(col(stratum)).schema[0].dataType.simpleString()
     wanted = spark.createDataFrame(wanted_rows, f"s {stratum_type}, rank bigint")
-    keyed = df.select(col(stratum).alias("s"), digest(salt, col(id_col)).alias("d"), col(id_col).alias("k"))
+    drawn = digest(salt, col(id_col)) if digest_col is None else col(digest_col)
+    keyed = df.select(col(stratum).alias("s"), drawn.alias("d"), col(id_col).alias("k"))
     keyed = keyed.withColumn("b", F.substring("d", 1, LEADING_DIGITS))
     upto = F.sum("n").over(Window.partitionBy("s").orderBy("b"))
     filled = keyed.groupBy("s", "b").agg(F.count(F.lit(1)).alias("n")).withColumn("upto", upto)
@@ -60,15 +64,18 @@ def cut_keys(df: DataFrame, stratum: str, id_col: str, salt: str, ranks: Mapping
 
 
 def with_slices(df: DataFrame, stratum: str, id_col: str, salt: str, sizes: Mapping[object, Sequence[int]],
-                name: str) -> DataFrame:
+                name: str, digest_col: str | None = None) -> DataFrame:
     """Label each row with the index of its slice: `sizes[stratum]` lists the slice sizes in hash order.
 
-    Rows beyond the listed sizes get the next index. Strata without an entry get NULL.
+    Rows beyond the listed sizes get the next index. Strata without an entry get NULL. The digest is a column of its own,
+    as the label compares it with every cut; `digest_col` names one that is there already, which is dropped.
     """
     ends = {s: _cumulative(sz) for s, sz in sizes.items()}
-    keys = cut_keys(df, stratum, id_col, salt, ends)
+    keys = cut_keys(df, stratum, id_col, salt, ends, digest_col)
     id_type = df.schema[id_col].dataType
-    key = F.struct(digest(salt, col(id_col)).alias("d"), col(id_col).alias("k"))
+    drawn = digest_col or "__digest"
+    df = df if digest_col else df.withColumn(drawn, digest(salt, col(id_col)))
+    key = F.struct(col(drawn).alias("d"), col(id_col).alias("k"))
     label: Column = F.lit(None).cast("int")
     for s, stops in ends.items():
         slot = F.lit(0)
@@ -79,7 +86,7 @@ def with_slices(df: DataFrame, stratum: str, id_col: str, salt: str, sizes: Mapp
                 d, k = keys[(s, stop)]
                 slot = slot + (key > F.struct(F.lit(d).alias("d"), F.lit(k).cast(id_type).alias("k"))).cast("int")
         label = F.when(col(stratum) == F.lit(s), slot).otherwise(label)
-    return df.withColumn(name, label)
+    return df.withColumn(name, label).drop(drawn)
 
 
 def _cumulative(sizes: Sequence[int]) -> list[int]:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from farol import vocabulary as words
 from farol.functions.columns import col
-from farol.functions.keys import keyed_unit
+from farol.functions.keys import digest, keyed_unit
 from farol.functions.strata import largest_remainder, stratum_counts, with_slices
 
 
@@ -90,13 +90,13 @@ def learning_subsets(df: DataFrame, fold: str = "fold", id_col: str = words.ID_C
     shares = list(shares or learning_shares())
     folds = stratum_counts(df, fold)
     held = F.explode(F.array(*[F.lit(f) for f in sorted(folds)])).alias("held_out")
-    training = df.select("*", held).where(col(fold) != F.col("held_out"))
+    training = df.withColumn("__digest", digest(f"learn{seed}", col(id_col))).select("*", held).where(col(fold) != F.col("held_out"))
     total = sum(folds.values())
     sizes = {}
     for f, n in folds.items():
         ends = learning_sizes(total - n, shares)
         sizes[f] = [b - a for a, b in zip([0, *ends[:-1]], ends)]
-    return with_slices(training, "held_out", id_col, f"learn{seed}", {f: s[:-1] for f, s in sizes.items()}, name)
+    return with_slices(training, "held_out", id_col, f"learn{seed}", {f: s[:-1] for f, s in sizes.items()}, name, "__digest")
 
 
 def split_problems(parts: DataFrame, whole: DataFrame, id_col: str = words.ID_COLUMN, name: str = "split") -> DataFrame:

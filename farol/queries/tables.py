@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from farol.functions.storage import written
 from farol.operators import audit as Q
 from farol.operators import describe as D
 from farol.operators import normalize as N
@@ -268,8 +269,13 @@ k AS (SELECT id, label, row_number() OVER (PARTITION BY label ORDER BY {sql_dige
 split AS (SELECT id, k.label, CASE WHEN rn <= n - rest THEN 'test' WHEN rn <= n - train THEN 'val' ELSE 'train' END AS split FROM k JOIN q2 USING (label))"""
 
 
-def split_cases(spark, sf):
-    return T.stratified_split(views.labelled(spark, sf).select("id", "label"), "label")
+def labelled_cases(spark, sf):
+    """The labelled cases, written once: the jobs that find the cuts and the query read them again."""
+    return written(views.labelled(spark, sf), "labelled")
+
+
+def split_cases(spark, sf, labelled=None):
+    return T.stratified_split((labelled_cases(spark, sf) if labelled is None else labelled).select("id", "label"), "label")
 
 
 @query("t1_split", SPLIT_SQL + " SELECT id, label::bigint AS label, split FROM split")
@@ -304,8 +310,8 @@ ends AS (SELECT label, fold, sum(n) OVER (PARTITION BY label ORDER BY fold) AS u
 folds AS (SELECT id, k.label, fold::bigint AS fold FROM k JOIN ends ON k.label = ends.label AND rn <= upto AND rn > upto - n)"""
 
 
-def fold_cases(spark, sf):
-    return T.stratified_folds(views.labelled(spark, sf).select("id", "label"), "label")
+def fold_cases(spark, sf, labelled=None):
+    return T.stratified_folds((labelled_cases(spark, sf) if labelled is None else labelled).select("id", "label"), "label")
 
 
 @query("t4_folds", FOLD_SQL + " SELECT id, label::bigint AS label, fold FROM folds")
@@ -322,7 +328,7 @@ subset_sizes AS (SELECT held_out, step, floor(n * (CASE WHEN step = 7 THEN 1 ELS
 placed AS (SELECT held_out, id, min(step) AS step FROM tr JOIN subset_sizes USING (held_out) WHERE rn <= size GROUP BY held_out, id)
 SELECT held_out::bigint AS held_out, step::bigint AS step, count(*) AS n, sum(id)::bigint AS id_sum FROM placed GROUP BY ALL""")
 def t5(spark, sf):
-    subsets = T.learning_subsets(fold_cases(spark, sf))
+    subsets = T.learning_subsets(written(fold_cases(spark, sf), "folds"))
     return tidy(subsets.groupBy("held_out", "step").agg(F.count(F.lit(1)).alias("n"), F.sum("id").alias("id_sum")))
 
 

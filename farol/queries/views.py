@@ -45,14 +45,19 @@ def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(model, id, label, score): `a` good, `b` uninformative, `c` with heavy ties, `d` with one class only."""
-    base = labelled(spark, sf_dir)
+    return scores_of(labelled(spark, sf_dir))
+
+
+def scores_of(base: DataFrame) -> DataFrame:
+    """The score table of a table (id, label, score); its other columns stay with their rows."""
+    more = [c for c in base.columns if c not in ("id", "label", "score")]
     per_model = F.explode(F.array(
         F.struct(F.lit("a").alias("model"), F.col("score").alias("s")),
         F.struct(F.lit("b").alias("model"), keyed_unit("b", F.col("id")).alias("s")),
         F.struct(F.lit("c").alias("model"), (F.rint(F.col("score") * 100.0) / 100.0).alias("s")),
         F.struct(F.lit("d").alias("model"), F.when(F.col("label") == 0, F.col("score")).alias("s"))))
-    long = base.select("id", "label", per_model.alias("m"))
-    return long.select("m.model", "id", "label", F.col("m.s").alias("score")).where("score IS NOT NULL")
+    long = base.select("id", "label", *more, per_model.alias("m"))
+    return long.select("m.model", "id", "label", F.col("m.s").alias("score"), *more).where("score IS NOT NULL")
 
 
 def wide(spark: SparkSession, sf_dir: str) -> DataFrame:
