@@ -128,7 +128,33 @@ def log_loss(scores: DataFrame, by: Sequence[str] = MODEL) -> DataFrame:
 def compute_metrics(scores: DataFrame, thresholds: Sequence[float] = (words.DEFAULT_THRESHOLD,),
                     by: Sequence[str] = MODEL, edges: Sequence[float] | None = None) -> DataFrame:
     """V1 to V11 per model and threshold: everything is a sum over the ranked score points, so the rows are read once."""
-    points = ranked_points(scores, by, edges)
+    return _metrics_of(ranked_points(scores, by, edges), thresholds, by)
+
+
+def fold_metrics(scores: DataFrame, folds: Sequence[int], thresholds: Sequence[float] = (words.DEFAULT_THRESHOLD,),
+                 by: Sequence[str] = MODEL, edges: Sequence[float] | None = None, fold: str = "fold") -> DataFrame:
+    """`compute_metrics` by (held, part) too: for each of `folds`, the rows of that fold as part `cv` and all others as `train`.
+
+    A score point carries the counts of every fold, so that a row is shuffled and ranked once, not once per fold held out;
+    points are dealt to the held-out folds behind the ranking, where they only add to sums.
+    """
+    by, folds = list(by), [int(f) for f in folds]
+    edges = balanced_edges(scores, "score") if edges is None else edges
+    counted = [F.sum(c).alias(f"{n}{f}") for f in folds for n, c in (
+        ("pos", F.when(col(fold) == f, F.col("label")).otherwise(0)), ("neg", F.when(col(fold) == f, F.lit(1) - F.col("label")).otherwise(0)))]
+    points = checked(_typed(scores).groupBy(*by, "score").agg(
+        unusable_rows(), F.sum("label").alias("pos"), F.sum(F.lit(1) - F.col("label")).alias("neg"), *counted), "pos")
+    values = ["pos", "neg", *[f"{n}{f}" for f in folds for n in ("pos", "neg")]]
+    summed = running_sums(with_range(points, "score", edges), by, "score", values)
+    names = {"pos": "pos", "neg": "neg", "run_pos": "tp", "run_neg": "fp", "all_pos": "positives", "all_neg": "negatives"}
+    cells = [F.struct(F.lit(f).alias("held"), F.lit(part).alias("part"), *[
+        (F.col(f"{c}{f}") if part == "cv" else F.col(c) - F.col(f"{c}{f}")).alias(n) for c, n in names.items()]) for f in folds for part in ("cv", "train")]
+    dealt = summed.select(*by, "score", F.explode(F.array(*cells)).alias("__c")).select(*by, "score", "__c.*")
+    return _metrics_of(dealt.where(F.col("pos") + F.col("neg") > 0), thresholds, [*by, "held", "part"])
+
+
+def _metrics_of(points: DataFrame, thresholds: Sequence[float], by: Sequence[str]) -> DataFrame:
+    """The metrics of ranked points."""
     s = F.col("score")
     sums = [F.sum(_auc_term()).alias("__area"), F.sum(_precision_step()).alias("__steps"),
             F.sum(F.col("pos") * F.pow(1.0 - s, 2) + F.col("neg") * F.pow(s, 2)).alias("__squares"),

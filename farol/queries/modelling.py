@@ -6,6 +6,7 @@ import numpy as np
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
+from farol.functions.storage import written
 from farol.operators import arrays as G
 from farol.operators import explain as I
 from farol.operators import metrics as M
@@ -14,7 +15,7 @@ from farol.operators import prep as P
 from farol.operators import split as T
 from farol.queries import views
 from farol.queries.registry import query, tidy
-from farol.queries.tables import FOLD_SQL, SPLIT_SQL, fold_cases, split_cases
+from farol.queries.tables import FOLD_SQL, SPLIT_SQL, fold_cases, labelled_cases, split_cases
 from farol.queries.views import CASES_SQL, SCORES_SQL, TEXT_SQL, WIDE_SQL, sql_digest, sql_unit
 
 WITH_CASES = "WITH " + CASES_SQL
@@ -49,7 +50,7 @@ FILLED_SQL = MEDIANS_SQL + ", filled AS (SELECT id, " + ", ".join(f"coalesce(g.{
 
 
 def _scaled(spark, sf, scaler):
-    g = gapped(spark, sf)
+    g = written(gapped(spark, sf), "gapped")
     model = P.Preprocessor(numericCols=GAPPED, scaler=scaler).fit(g)
     x = vector_to_array("features")
     return tidy(model.transform(g).select("id", *[x[i].alias(c) for i, c in enumerate(P.feature_names_out(model))]))
@@ -319,7 +320,9 @@ counted AS (SELECT threshold, count(*) FILTER (WHERE label = 1 AND score >= thre
              count(*) FILTER (WHERE label = 0 AND score >= threshold) AS fp, count(*) FILTER (WHERE label = 0 AND score < threshold) AS tn FROM te, marks GROUP BY threshold)
 SELECT 'a' AS model, round(threshold, 4) AS threshold, tp, fn, fp, tn, round(tp / (tp + fn)::double, 4) AS recall, round(tp / (tp + fp)::double, 4) AS "precision" FROM counted""")
 def g8(spark, sf):
-    scores = views.scores(spark, sf).where("model = 'a'").join(split_cases(spark, sf).select("id", "split"), "id")
+    labelled = labelled_cases(spark, sf)
+    parts = written(labelled.join(split_cases(spark, sf, labelled).select("id", "split"), "id"), "parts")
+    scores = views.scores_of(parts).where("model = 'a'")
     return tidy(G.official_test(scores).select("model", "threshold", "tp", "fn", "fp", "tn", "recall", "precision"))
 
 
