@@ -90,12 +90,20 @@ def _yeo_johnson_numpy(x: np.ndarray, lam: float) -> np.ndarray:
     return out
 
 
-def _likelihoods(df: DataFrame, columns: Sequence[str], grids: Mapping[str, np.ndarray]) -> dict[str, np.ndarray]:
+def _yeo_johnson_logs(logs: np.ndarray, lam: float) -> np.ndarray:
+    """The transform of every x from sign(x) log(1 + |x|), which does not depend on lambda."""
+    out = np.empty_like(logs)
+    up = logs >= 0
+    for side, turn in ((slice(None), lam),) if up.all() else ((up, lam), (~up, lam - 2.0)):
+        out[side] = logs[side] if abs(turn) < 1e-12 else np.expm1(turn * logs[side]) / turn
+    return out
+
+
+def _likelihoods(df: DataFrame, columns: Sequence[str], grids: Mapping[str, np.ndarray], means: Mapping[str, float]) -> dict[str, np.ndarray]:
     """Profile log-likelihood of every column at its own grid of lambdas: sums per partition, one row per (column, lambda)."""
     wide = df.select(*[col(c).cast("double").alias(f"c{i}") for i, c in enumerate(columns)])
     lambdas = [grids[c] for c in columns]
-    centre_row = wide.agg(*[F.avg(c).alias(c) for c in wide.columns]).first()
-    centres = [np.array([_yeo_johnson_numpy(np.array([centre_row[f"c{i}"]]), lam)[0] for lam in lambdas[i]]) for i in range(len(columns))]
+    centres = [np.array([_yeo_johnson_numpy(np.array([means[c]]), lam)[0] for lam in grids[c]]) for c in columns]
 
     def add_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sums = {(i, k): np.zeros(4) for i in range(len(lambdas)) for k in range(len(lambdas[i]))}
@@ -103,10 +111,11 @@ def _likelihoods(df: DataFrame, columns: Sequence[str], grids: Mapping[str, np.n
             for i in range(len(lambdas)):
                 x = pdf[f"c{i}"].to_numpy(dtype=float)
                 x = x[~np.isnan(x)]
-                logs = float((np.sign(x) * np.log1p(np.abs(x))).sum())
+                logs = np.sign(x) * np.log1p(np.abs(x))
+                total = float(logs.sum())
                 for k, lam in enumerate(lambdas[i]):
-                    t = _yeo_johnson_numpy(x, lam) - centres[i][k]
-                    sums[(i, k)] += (len(x), t.sum(), (t * t).sum(), logs)
+                    t = _yeo_johnson_logs(logs, lam) - centres[i][k]
+                    sums[(i, k)] += (len(x), t.sum(), t @ t, total)
         yield pd.DataFrame([(i, k, *map(float, s)) for (i, k), s in sums.items()], columns=["i", "k", "n", "s", "ss", "logs"])
 
     parts = wide.mapInPandas(add_up, "i int, k int, n double, s double, ss double, logs double")
@@ -124,10 +133,12 @@ def fit_lambdas(df: DataFrame, columns: Sequence[str]) -> dict[str, float]:
     columns = list(columns)
     if not columns:
         return {}
+    row = df.agg(*[F.avg(col(c).cast("double")).alias(f"c{i}") for i, c in enumerate(columns)]).first()
+    means = {c: row[f"c{i}"] for i, c in enumerate(columns)}
     grids = {c: np.linspace(-5.0, 5.0, LAMBDA_STEPS) for c in columns}
     best: dict[str, float] = {}
     for _ in range(LAMBDA_PASSES):
-        likelihood = _likelihoods(df, columns, grids)
+        likelihood = _likelihoods(df, columns, grids, means)
         for c in columns:
             at, step = int(np.argmax(likelihood[c])), grids[c][1] - grids[c][0]
             best[c] = float(grids[c][at]) if np.isfinite(likelihood[c][at]) else 1.0
