@@ -17,7 +17,7 @@ from farol import vocabulary as words
 from farol.functions.columns import col
 from farol.functions.running import balanced_edges
 from farol.functions.storage import fresh_path, written
-from farol.operators.metrics import ranked_points, ranking_metrics
+from farol.operators.metrics import packed_auc
 from farol.operators.normalize import sample_rows
 
 ROWS_PER_BUCKET = 2000
@@ -67,11 +67,13 @@ def with_donors(df: DataFrame, features: Sequence[str], repeat: int | Column, bu
     number = F.lit(repeat) if isinstance(repeat, int) else repeat
     drawn = lambda salt: F.md5(F.concat(F.lit(f"{salt}{seed}|"), number.cast("string"), F.lit("|"), col(id_col).cast("string")).cast("binary"))
     bucket = F.pmod(F.conv(F.substring(drawn("bucket"), 1, 8), 16, 10).cast("bigint"), F.lit(buckets))
-    window = Window.partitionBy("__turn", "__bucket").orderBy(drawn("permute"), col(id_col))
+    window = Window.partitionBy("__turn", "__bucket").orderBy("__order", col(id_col))
     values = F.struct(*[col(c) for c in features])
+    placed = df.withColumn("__turn", number).withColumn("__bucket", bucket).repartition("__turn", "__bucket")
+    placed = placed.withColumn("__order", drawn("permute"))  # behind the shuffle, which moves the ids only
     whole = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     next_row = F.coalesce(F.lead(values).over(window), F.first(values).over(whole))
-    return df.withColumn("__turn", number).withColumn("__bucket", bucket).withColumn(name, next_row).drop("__bucket", "__turn")
+    return placed.withColumn(name, next_row).drop("__bucket", "__turn", "__order")
 
 
 def permutation_importance(df: DataFrame, features: Sequence[str], score: Callable[[DataFrame], DataFrame], label: str = "label",
@@ -91,7 +93,7 @@ def permutation_importance(df: DataFrame, features: Sequence[str], score: Callab
     swapped = swapped.withColumns({c: F.when(F.col("feature") == c, F.col("__donor")[c]).otherwise(col(c)) for c in features})
     keys = ["__repeat", "feature"]
     scored = score(swapped.drop("__donor")).select(*keys, col(label).cast("bigint").alias("label"), "score")
-    aucs = {(r["__repeat"], r["feature"]): r["roc_auc"] for r in ranking_metrics(ranked_points(scored, keys, edges), keys).collect()}
+    aucs = {(r["__repeat"], r["feature"]): r["roc_auc"] for r in packed_auc(scored, keys, edges).collect()}
     base = aucs[0, ""]
     drops = {c: [base - aucs[r, c] for r in range(repeats)] for c in features}
     rows = [(c, float(np.mean(d)), float(np.std(d))) for c, d in drops.items()]

@@ -18,7 +18,7 @@ from farol import vocabulary as words
 from farol.functions.columns import col
 from farol.functions.running import balanced_edges
 from farol.functions.storage import written
-from farol.operators.metrics import compute_metrics
+from farol.operators.metrics import compute_metrics, packed_metrics
 from farol.operators.newton import Setting, fit_many, score_many
 from farol.operators.prep import Preprocessor, feature_names_out, inject_missing
 from farol.operators.split import learning_shares, learning_subsets, stratified_folds, train_and_validation
@@ -96,7 +96,7 @@ def logistic_search(train: DataFrame, roles: Roles, family: Family, folds: Seque
     fitted, _ = fit_many(rows, [int(f) for f in folds], settings)
     edges = balanced_edges(score_many(rows, [int(f) for f in folds], settings[:1], fitted[:1]), "score")
     scored = score_many(rows, [int(f) for f in folds], settings, fitted)
-    found = compute_metrics(scored, by=["model", "part"], edges=edges).collect()
+    found = packed_metrics(scored, ["model", "part"], edges).collect()
     return {(*names[r["model"]], r["part"]): {m: r[m] for m in CV_METRICS} for r in found}
 
 

@@ -60,3 +60,27 @@ def test_slices_with_a_ready_digest(spark):
     for f in range(3):
         ends = T.learning_sizes(n[f], T.learning_shares())
         assert [sizes[f, s] for s in range(8)] == [b - a for a, b in zip([0, *ends[:-1]], ends)]
+
+
+@pytest.mark.parametrize("edges", [[], [0.25, 0.5, 0.75]])
+def test_packed_metrics_are_the_ranked_ones(spark, edges, monkeypatch):
+    monkeypatch.setattr(M, "PACK", 64)
+    table = scored(spark).repartition(3)
+    keys = ["model", "fold"]
+    wanted = M.compute_metrics(table.where("fold IS NOT NULL"), by=keys, edges=edges).toPandas()
+    found = M.packed_metrics(table, keys, edges).toPandas()
+    assert list(found.columns) == list(wanted.columns)
+    wanted, found = (x.sort_values(keys).reset_index(drop=True) for x in (wanted, found))
+    assert wanted[keys].equals(found[keys]) and np.allclose(wanted.drop(columns=keys), found.drop(columns=keys), equal_nan=True)
+    aucs = M.packed_auc(table, ["model"], edges).toPandas().set_index("model")["roc_auc"]
+    whole = M.roc_auc(table).toPandas().set_index("model")["roc_auc"]
+    assert np.allclose(aucs[whole.index], whole)
+
+
+def test_packed_scores_collapse_ties_and_refuse_missing(spark):
+    many = spark.range(5000, numPartitions=1).selectExpr("'m' AS model", "CAST(id % 2 AS INT) AS label", "0.5D AS score")
+    rows = M.packed_scores(many, ["model"], [0.5]).collect()
+    assert [(r["label"], len(r["scores"]), len(r["counts"])) for r in rows] == [(0, 8, 4), (1, 8, 4)]
+    assert M.packed_auc(many, ["model"], [0.5]).first()["roc_auc"] == 0.5
+    with pytest.raises(Exception, match="must not be missing"):
+        M.packed_auc(many.withColumn("score", F.expr("CASE WHEN id % 7 > 0 THEN score END") if "id" in many.columns else F.lit(None).cast("double")), ["model"], []).collect()
