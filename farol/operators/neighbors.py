@@ -40,6 +40,48 @@ def distances(a: np.ndarray, b: np.ndarray, p: int) -> np.ndarray:
     return out
 
 
+def _estimates(a: np.ndarray, b: np.ndarray, p: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairwise distances (squared for p = 2) by a product of matrices or in single precision, and for each row of `a` a bound of their error."""
+    if p == 2:
+        own, other = (a * a).sum(axis=1), (b * b).sum(axis=1)
+        return own[:, None] + other - 2.0 * (a @ b.T), 1e-15 * (a.shape[1] + 8) * (own + other.max())
+    out = np.empty((len(a), len(b)), dtype=np.float32)
+    x, y = a.astype(np.float32), np.ascontiguousarray(b.T.astype(np.float32))
+    for at in range(0, len(a), 32):
+        for start in range(0, len(b), 4096):  # a piece stays in the processor's cache for all dimensions
+            some, cut = x[at:at + 32], y[:, start:start + 4096]
+            total, gap = np.zeros((len(some), cut.shape[1]), dtype=np.float32), np.empty((len(some), cut.shape[1]), dtype=np.float32)
+            for j in range(len(cut)):
+                np.subtract(some[:, j, None], cut[j], out=gap)
+                np.abs(gap, out=gap)
+                total += gap
+            out[at:at + 32, start:start + 4096] = total
+    return out, 2.5e-7 * (a.shape[1] + 8) * (np.abs(a).sum(axis=1) + np.abs(b).sum(axis=1).max())
+
+
+def nearest_rows(a: np.ndarray, b: np.ndarray, k: int, p: int) -> tuple[np.ndarray, np.ndarray]:
+    """Positions in `b` and distances of the k nearest rows for each row of `a`, ties to the first; k is at most the rows of `b`.
+
+    Estimates rule out the rows that cannot be among them, whatever the rounding; the rest are measured as in `distances`.
+    """
+    big = max(np.abs(a).max(initial=0.0), np.abs(b).max(initial=0.0))
+    rows = None
+    if big < 1e15 and a.shape[1]:  # beyond, or where a value is not a number, single precision may overflow
+        rough, error = _estimates(a, b, p)
+        cut = np.partition(rough, k - 1, axis=1)[:, k - 1] + 2.0 * error
+        rows, at = np.nonzero(rough <= cut[:, None])
+    if rows is None or len(rows) * a.shape[1] > CHUNK_CELLS:
+        d = distances(a, b, p)
+        order = np.argsort(d, axis=1, kind="stable")[:, :k]
+        return order, np.take_along_axis(d, order, axis=1)
+    gap = a[rows] - b[at]
+    d = np.abs(gap).sum(axis=1) if p == 1 else np.sqrt((gap * gap).sum(axis=1))
+    order = np.lexsort((at, d, rows))
+    first = np.searchsorted(rows, np.arange(len(a)))  # rows ascend, and so they do in `order`
+    chosen = order[first[:, None] + np.arange(k)]
+    return at[chosen], d[chosen]
+
+
 def _stack(column: pd.Series) -> np.ndarray:
     return np.stack([np.asarray(v, dtype=float) for v in column]) if len(column) else np.empty((0, 0))
 
@@ -213,10 +255,9 @@ def nearest_neighbours(queries: DataFrame, reference: DataFrame, k: int, p: int
         ids, labels, rx, qx = r["id"].to_numpy(), r["label"].to_numpy(), _stack(r["x"]), _stack(q["x"])
         take, found, at_once = min(k, len(r)), [], max(1, CHUNK_CELLS // len(r))
         for at in range(0, len(q), at_once):
-            d = distances(qx[at:at + at_once], rx, p)
-            order = np.argsort(d, axis=1, kind="stable")[:, :take]
+            order, d = nearest_rows(qx[at:at + at_once], rx, take, p)
             found.append(pd.DataFrame({"id": np.repeat(q["id"].to_numpy()[at:at + at_once], take), "neighbour": ids[order].ravel(),
-                                       "distance": np.take_along_axis(d, order, axis=1).ravel(), "label": labels[order].ravel()}))
+                                       "distance": d.ravel(), "label": labels[order].ravel()}))
         return pd.concat(found)
 
     keys = ["cell", "block", "group"]

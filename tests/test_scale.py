@@ -84,3 +84,19 @@ def test_packed_scores_collapse_ties_and_refuse_missing(spark):
     assert M.packed_auc(many, ["model"], [0.5]).first()["roc_auc"] == 0.5
     with pytest.raises(Exception, match="must not be missing"):
         M.packed_auc(many.withColumn("score", F.expr("CASE WHEN id % 7 > 0 THEN score END") if "id" in many.columns else F.lit(None).cast("double")), ["model"], []).collect()
+
+
+@pytest.mark.parametrize("p", [1, 2])
+def test_nearest_rows_are_brute_force(p, monkeypatch):
+    from farol.operators import neighbors as K
+    rng = np.random.default_rng(5)
+    whole, measured = K.distances, []
+    monkeypatch.setattr(K, "distances", lambda a, b, p: measured.append(1) or whole(a, b, p))
+    far = rng.normal(size=(500, 8)) + 1e6  # estimates cancel here: all rows may have to be measured
+    grid = rng.integers(0, 3, size=(400, 4)).astype(float)  # many ties
+    for a, b in ((rng.normal(size=(70, 64)), rng.normal(size=(5000, 64))), (far[:50], far), (grid[:40], grid), (grid[:3], grid[:5])):
+        d = whole(a, b, p)
+        order = np.argsort(d, axis=1, kind="stable")[:, :5]
+        at, found = K.nearest_rows(a, b, 5, p)
+        assert np.array_equal(at, order) and np.array_equal(found, np.take_along_axis(d, order, axis=1))
+        assert not measured or b is not None and len(b) != 5000  # random rows: few pairs are measured
