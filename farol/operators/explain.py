@@ -109,6 +109,7 @@ def linear_scorer(coefficients: np.ndarray, intercept: float) -> Callable[[np.nd
     def score(x: np.ndarray) -> np.ndarray:
         return 1.0 / (1.0 + np.exp(-(x @ weights + intercept)))
 
+    score.linear = weights, float(intercept)  # a walk only adds a term to the margin at each step, see `shapley_walks`
     return score
 
 
@@ -221,6 +222,17 @@ def shapley_walks(x: np.ndarray, background: np.ndarray, score: Callable[[np.nda
     rows, p = x.shape
     step_of = np.empty_like(orders)
     np.put_along_axis(step_of, orders, np.arange(1, p + 1)[None, :].repeat(rows, axis=0), axis=1)
+    if hasattr(score, "linear"):
+        weights, intercept = score.linear
+        terms = weights[orders][:, :, None] * (np.take_along_axis(x, orders, axis=1)[:, :, None] - background.T[orders])
+        margins = np.empty((rows, 2 * p + 1, len(background)))
+        margins[:, 0] = background @ weights + intercept
+        np.cumsum(terms, axis=1, out=margins[:, 1:p + 1])
+        margins[:, p + 1:] = margins[:, p:p + 1] - margins[:, 1:p + 1]
+        margins[:, 1:] += margins[:, :1]
+        values = (1.0 / (1.0 + np.exp(-margins))).mean(axis=2)
+        gained, lost = np.diff(values[:, :p + 1], axis=1), -np.diff(values[:, p:], axis=1)
+        return np.take_along_axis((gained + lost) / 2.0, step_of - 1, axis=1)
     steps = np.arange(2 * p + 1)[None, :, None]
     switched = (steps >= step_of[:, None, :]) & (steps < p + step_of[:, None, :])
     blocks = np.where(switched[:, :, None, :], x[:, None, None, :], background[None, None, :, :])

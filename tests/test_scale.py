@@ -100,3 +100,18 @@ def test_nearest_rows_are_brute_force(p, monkeypatch):
         at, found = K.nearest_rows(a, b, 5, p)
         assert np.array_equal(at, order) and np.array_equal(found, np.take_along_axis(d, order, axis=1))
         assert not measured or b is not None and len(b) != 5000  # random rows: few pairs are measured
+
+
+def test_walks_of_a_linear_model_need_no_masks():
+    from farol.operators import explain as I
+    rng = np.random.default_rng(2)
+    x, background, orders = rng.normal(size=(9, 6)), rng.normal(size=(20, 6)), np.array([rng.permutation(6) for _ in range(9)])
+    score, scored = I.linear_scorer(rng.normal(size=6), 0.3), []
+
+    def masked(m):
+        scored.append(len(m))
+        return score(m)
+
+    wanted = I.shapley_walks(x, background, masked, orders)
+    masked.linear = score.linear
+    assert np.allclose(I.shapley_walks(x, background, masked, orders), wanted, atol=1e-13) and scored == [9 * 13 * 20]
