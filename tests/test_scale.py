@@ -115,3 +115,25 @@ def test_walks_of_a_linear_model_need_no_masks():
     wanted = I.shapley_walks(x, background, masked, orders)
     masked.linear = score.linear
     assert np.allclose(I.shapley_walks(x, background, masked, orders), wanted, atol=1e-13) and scored == [9 * 13 * 20]
+
+
+def test_walks_of_a_forest_by_leaf():
+    from farol.operators import explain as I
+    rng = np.random.default_rng(4)
+    tree = {"by_category": np.array([False, True, False, False, False, False, False]), "goes_left": np.zeros((7, 3), dtype=bool),
+            "feature": np.array([0, 1, 0, -1, -1, -1, -1]), "threshold": np.array([0.1, 0.0, 0.8, 0, 0, 0, 0]), "left": np.array([1, 3, 5, -1, -1, -1, -1]),
+            "right": np.array([2, 4, 6, -1, -1, -1, -1]), "prediction": np.zeros(7), "share": np.array([0, 0, 0, 0.2, 0.9, 0.0, 0.6])}
+    tree["goes_left"][1, 1] = True
+    other = tree | {"feature": np.array([2, 1, 0, -1, -1, -1, -1]), "share": tree["share"][::-1].copy()}
+    draw = lambda n: np.c_[rng.normal(size=n), rng.integers(0, 3, size=n), rng.normal(size=n)]
+    x, background, orders = draw(40), draw(25), np.array([rng.permutation(3) for _ in range(40)])
+    score, scored = I.tree_scorer([tree, other]), []
+
+    def masked(m):
+        scored.append(len(m))
+        return score(m)
+
+    wanted = I.shapley_walks(x, background, masked, orders)
+    masked.trees = score.trees
+    assert np.allclose(I.shapley_walks(x, background, masked, orders), wanted, atol=1e-13) and scored == [40 * 7 * 25]
+    assert not hasattr(I.tree_scorer([tree], [1.0], boosted=True), "trees")
