@@ -64,9 +64,18 @@ def nearest_rows(a: np.ndarray, b: np.ndarray, k: int, p: int) -> tuple[np.ndarr
 
     Estimates rule out the rows that cannot be among them, whatever the rounding; the rest are measured as in `distances`.
     """
-    big = max(np.abs(a).max(initial=0.0), np.abs(b).max(initial=0.0))
+    odd, whole = np.isnan(a).any(axis=1), ~np.isnan(b).any(axis=1)
+    if odd.any() and not odd.all():  # a row with a gap is at no distance from any other
+        at, d = np.empty((len(a), k), dtype=int), np.empty((len(a), k))
+        for part in (odd, ~odd):
+            at[part], d[part] = nearest_rows(a[part], b, k, p)
+        return at, d
+    if not odd.any() and not whole.all() and whole.sum() >= k:  # rows with a gap come last
+        at, d = nearest_rows(a, b[whole], k, p)
+        return np.flatnonzero(whole)[at], d
+    big = np.maximum(np.abs(a).max(initial=0.0), np.abs(b).max(initial=0.0))
     rows = None
-    if big < 1e15 and a.shape[1]:  # beyond, or where a value is not a number, single precision may overflow
+    if big < 1e15 and a.shape[1]:  # beyond, single precision may overflow; not so for a value that is not a number either
         rough, error = _estimates(a, b, p)
         cut = np.partition(rough, k - 1, axis=1)[:, k - 1] + 2.0 * error
         rows, at = np.nonzero(rough <= cut[:, None])

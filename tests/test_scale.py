@@ -137,3 +137,17 @@ def test_walks_of_a_forest_by_leaf():
     masked.trees = score.trees
     assert np.allclose(I.shapley_walks(x, background, masked, orders), wanted, atol=1e-13) and scored == [40 * 7 * 25]
     assert not hasattr(I.tree_scorer([tree], [1.0], boosted=True), "trees")
+
+
+@pytest.mark.parametrize("p", [1, 2])
+@pytest.mark.parametrize("whole", [60, 3])
+def test_nearest_rows_with_gaps(p, whole):
+    from farol.operators import neighbors as K
+    rng = np.random.default_rng(6)
+    a, b = rng.normal(size=(30, 5)), rng.normal(size=(80, 5))
+    a[::4, 2] = np.nan
+    b[rng.permutation(80)[whole:], 1] = np.nan
+    d = K.distances(a, b, p)
+    order = np.argsort(d, axis=1, kind="stable")[:, :5]
+    at, found = K.nearest_rows(a, b, 5, p)
+    assert np.array_equal(at, order) and np.array_equal(found, np.take_along_axis(d, order, axis=1), equal_nan=True)
