@@ -14,7 +14,8 @@ from pyspark.sql import Window
 from farol import vocabulary as words
 from farol.functions.columns import col
 from farol.functions.keys import digest
-from farol.operators.metrics import compute_metrics, log_loss, metrics_table, roc_auc
+from farol.functions.running import balanced_edges
+from farol.operators.metrics import compute_metrics, log_loss, metrics_table, packed_auc
 from farol.operators.threshold import tune_threshold
 
 
@@ -30,7 +31,7 @@ def positive_class_weight(df: DataFrame, label: str = "label") -> DataFrame:
 
 def training_history(scored: DataFrame) -> DataFrame:
     """(epoch, val_auc, val_loss) of the held-out rows' scores after each step of a fit."""
-    auc = roc_auc(scored, ["epoch"]).withColumnRenamed("roc_auc", "val_auc")
+    auc = packed_auc(scored, ["epoch"], balanced_edges(scored, "score")).withColumnRenamed("roc_auc", "val_auc")
     return auc.join(log_loss(scored, ["epoch"]).withColumnRenamed("log_loss", "val_loss"), "epoch")
 
 

@@ -215,6 +215,7 @@ def learning_curve(df: DataFrame, roles: Roles, family: Family, params: Mapping,
     shares = list(shares or learning_shares())
     folded = written(stratified_folds(df.select("id", "label", *[col(c) for c in roles.features]), "label", k=k, seed=seed), "folds")
     subsets = written(learning_subsets(folded, seed=seed, shares=shares), "subsets")
+    kept: dict[str, list[float]] = {}
 
     def run(task: tuple[int, int]) -> list[tuple]:
         step, f = task
@@ -223,8 +224,11 @@ def learning_curve(df: DataFrame, roles: Roles, family: Family, params: Mapping,
         scorer = fit_scorer(subset, roles, family, params, seed)
         both = subset.select("id", "label", *roles.features, F.lit("train").alias("part")).unionByName(
             held.select("id", "label", *roles.features, F.lit("cv").alias("part")))
-        aucs = compute_metrics(scorer.score(both).select("part", "label", "score"), by=["part"]).select("part", "roc_auc", "n").collect()
-        size = sum(class_counts(subset).values())
+        scored = scorer.score(both).select("part", "label", "score")
+        if "edges" not in kept:  # of the first fit: they only spread the work
+            kept["edges"] = balanced_edges(scored, "score")
+        aucs = compute_metrics(scored, by=["part"], edges=kept["edges"]).select("part", "roc_auc", "n").collect()
+        size = sum(r["n"] for r in aucs if r["part"] == "train")
         return [(step, size, f, r["part"], r["roc_auc"]) for r in aucs]
 
     tasks = [(s, f) for s in range(len(shares)) for f in range(k)]
