@@ -10,8 +10,7 @@ from dataclasses import dataclass, replace
 from itertools import product
 
 from pyspark.ml import Model, PipelineModel
-from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LinearSVC, LogisticRegression, RandomForestClassifier)
-from pyspark.ml.feature import VectorSlicer
+from pyspark.ml.classification import DecisionTreeClassifier, GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
@@ -19,6 +18,7 @@ from pyspark.sql import functions as F
 
 from farol.functions.storage import written
 from farol.operators.fourier import FourierFeatures
+from farol.operators.machines import Machine, MachineMargin, blocks, fit_machines, fold_sums, held_margins
 from farol.operators.neighbors import nearest_neighbours, neighbour_scores
 from farol.operators.split import stratified_folds
 
@@ -128,13 +128,6 @@ def fourier_features(df: DataFrame, params: Mapping, seed: int) -> FourierFeatur
     return FourierFeatures(inputCol="features", outputCol="fourier", gamma=gamma, inputSize=len(df.select("features").first()[0]), seed=seed)
 
 
-def fit_machine(df: DataFrame, params: Mapping, counts: Mapping[int, int]) -> Model:
-    """M6: linear support vector machine on Fourier features; an inverse strength C over summed losses is 1 / (C n) over mean losses."""
-    machine = LinearSVC(featuresCol="fourier", regParam=1.0 / (params.get("C", 1.0) * sum(counts.values())), standardization=False, maxIter=50,
-                        tol=1e-3, weightCol="weight", rawPredictionCol="svm_raw", predictionCol="svm_prediction")
-    return machine.fit(packed(with_weights(df, counts, params.get("class_weight") == "balanced"), sum(counts.values())))
-
-
 def platt_rows(margins: DataFrame, counts: Mapping[int, int]) -> DataFrame:
     """M7: every case twice, as positive and negative, weighted with Platt's smoothed targets."""
     n_pos, n_neg = counts.get(1, 0), counts.get(0, 0)
@@ -143,19 +136,33 @@ def platt_rows(margins: DataFrame, counts: Mapping[int, int]) -> DataFrame:
     return margins.select("margin", both.alias("t")).select("margin", "t.label", "t.weight")
 
 
+def svm_weights(sums, left_out: int, balanced: bool) -> tuple[float, float]:
+    """The weights of class 0 and 1 in a machine that leaves a fold out, from rows by fold and class."""
+    n = sum(sums[f, :, 0] for f in range(len(sums)) if f != left_out)
+    weights = class_weights({c: n[c] for c in (0, 1) if n[c]}) if balanced else {}
+    return weights.get(0, 1.0), weights.get(1, 1.0)
+
+
 def fit_svm(df: DataFrame, params: Mapping, counts: Mapping[int, int], seed: int) -> PipelineModel:
-    """M6 and M7: margins of rows held out in five folds calibrate one final machine. The feature map is applied once and written."""
+    """M6 and M7: margins of rows held out in five folds calibrate one final machine; all six are linear ones on Fourier features and learn together.
+
+    An inverse strength C over summed losses is 1 / (C n) over mean losses.
+    """
+    df = written(df, "prepared")
     fourier = fourier_features(df, params, seed)
-    margin = VectorSlicer(inputCol="svm_raw", outputCol="margin", indices=[1])
-    rows = written(fourier.transform(stratified_folds(df, "label", k=CALIBRATION_FOLDS, seed=seed, name="inner_fold")).drop("features"), "fourier")
-    margins = None
-    for f in range(CALIBRATION_FOLDS):
-        inner, held = rows.where(F.col("inner_fold") != f), rows.where(F.col("inner_fold") == f)
-        part = margin.transform(fit_machine(inner, params, class_counts(inner)).transform(held)).select("label", "margin")
-        margins = part if margins is None else margins.unionByName(part)
+    table = blocks(stratified_folds(df, "label", k=CALIBRATION_FOLDS, seed=seed, name="inner_fold"), "inner_fold")
+    sums = fold_sums(table, fourier, CALIBRATION_FOLDS)
+    rows = sums[:, :, 0].sum(axis=1)
+    balanced = params.get("class_weight") == "balanced"
+    machines = [Machine(f, 1.0 / (params.get("C", 1.0) * float(rows.sum() - (rows[f] if f >= 0 else 0))), svm_weights(sums, f, balanced))
+                for f in (*range(CALIBRATION_FOLDS), -1)]
+    (*held, (coefficients, intercept)), _ = fit_machines(table, fourier, machines, sums)
+    margins = written(held_margins(table, fourier, dict(enumerate(held))), "margins")
     platt = LogisticRegression(featuresCol="margin", weightCol="weight", regParam=0.0, standardization=False, maxIter=200)
     calibrated = platt.fit(packed(platt_rows(margins, counts), sum(counts.values())))
-    return PipelineModel([fourier, fit_machine(rows, params, counts), margin, calibrated])
+    final = MachineMargin(inputCol="features", outputCol="margin", gamma=fourier.getOrDefault(fourier.gamma), inputSize=fourier.getOrDefault(fourier.inputSize),
+                          seed=seed, coefficients=[float(c) for c in coefficients], intercept=float(intercept))
+    return PipelineModel([final, calibrated])
 
 
 @dataclass(frozen=True)
