@@ -11,7 +11,6 @@ from __future__ import annotations
 
 from collections.abc import Generator, Iterator, Mapping, Sequence
 from dataclasses import dataclass
-from math import factorial
 
 import numpy as np
 import pandas as pd
@@ -30,7 +29,9 @@ from farol.operators.fourier import FourierFeatures
 STEPS, TOLERANCE, COMPARED, MEMORY, TRIALS = 50, 1e-3, 20, 10, 20
 #: Rows of a stored block, and rows whose features are made at a time: so few that they stay in a core's cache.
 BLOCK, AT_ONCE = 4096, 256
-SINE = [(-1.0) ** k * (2.0 * np.pi) ** (2 * k + 1) / factorial(2 * k + 1) for k in range(10)]
+#: sin(2 pi t) / t as a polynomial in t^2 for |t| up to a quarter.
+SINE = np.polynomial.Chebyshev.interpolate(lambda s: np.sin(2.0 * np.pi * np.sqrt(s)) / np.sqrt(s), 7, domain=[0.0, 0.0625]).convert(
+    kind=np.polynomial.Polynomial).coef.tolist()
 
 Point = np.ndarray
 Value = tuple[float, np.ndarray]
@@ -46,7 +47,7 @@ class Machine:
 
 
 def _cosines(turns: np.ndarray, squares: np.ndarray, out: np.ndarray) -> np.ndarray:
-    """cos(2 pi turns), to 1e-15 of what numpy gives and in a tenth of its time; overwrites its arguments."""
+    """cos(2 pi turns), to 1e-14 of what numpy gives and in a fraction of its time; overwrites its arguments."""
     np.subtract(turns, np.rint(turns, out=out), out=turns)
     np.subtract(0.25, np.abs(turns, out=turns), out=turns)
     np.multiply(turns, turns, out=squares)
