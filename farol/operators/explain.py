@@ -15,12 +15,14 @@ from pyspark.sql import Window
 
 from farol import vocabulary as words
 from farol.functions.columns import col
-from farol.functions.running import balanced_edges
-from farol.functions.storage import fresh_path, written
-from farol.operators.metrics import packed_auc
+from farol.functions.running import balanced_edges, range_count
+from farol.functions.storage import fresh_path, job_by_job, written
+from farol.operators.metrics import PACK, packed_auc
 from farol.operators.normalize import sample_rows
 
 ROWS_PER_BUCKET = 2000
+#: Rows times repeats that a job of the permutation importance shuffles (one repeat at least), and rows that one of its tasks sorts.
+PERMUTED_ROWS, SORTED_ROWS = 16_000_000, 250_000
 WALK_CELLS = 2_000_000
 MASKED = 5_000_000
 #: Trees up to so many leaves, and features on the way to one, are walked by leaf.
@@ -60,18 +62,20 @@ def permutation_buckets(rows: int) -> int:
 
 
 def with_donors(df: DataFrame, features: Sequence[str], repeat: int | Column, buckets: int, id_col: str = words.ID_COLUMN,
-                seed: int = words.SEED, name: str = "donor") -> DataFrame:
+                seed: int = words.SEED, name: str = "donor", parts: int | None = None) -> DataFrame:
     """Give every row the features of another row: the next one in hash order inside a random bucket, the last takes the first.
 
     This is a permutation of the rows, done by one window for all features together. Buckets are drawn
     by hash, so they have the same size whatever the data look like. With a column as `repeat` each of its values is a permutation of its own.
+    Buckets are dealt to `parts` tasks, or as many as the session has it.
     """
     number = F.lit(repeat) if isinstance(repeat, int) else repeat
     drawn = lambda salt: F.md5(F.concat(F.lit(f"{salt}{seed}|"), number.cast("string"), F.lit("|"), col(id_col).cast("string")).cast("binary"))
     bucket = F.pmod(F.conv(F.substring(drawn("bucket"), 1, 8), 16, 10).cast("bigint"), F.lit(buckets))
-    window = Window.partitionBy("__turn", "__bucket").orderBy("__order", col(id_col))
+    window = Window.partitionBy("__bucket", "__turn").orderBy("__order", col(id_col))  # a sort compares the first key without reading the row
     values = F.struct(*[col(c) for c in features])
-    placed = df.withColumn("__turn", number).withColumn("__bucket", bucket).repartition("__turn", "__bucket")
+    placed = df.withColumn("__turn", number).withColumn("__bucket", bucket)
+    placed = placed.repartition(*([parts] if parts else []), "__turn", "__bucket")
     placed = placed.withColumn("__order", drawn("permute"))  # behind the shuffle, which moves the ids only
     whole = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     next_row = F.coalesce(F.lead(values).over(window), F.first(values).over(whole))
@@ -82,22 +86,31 @@ def permutation_importance(df: DataFrame, features: Sequence[str], score: Callab
                            id_col: str = words.ID_COLUMN, repeats: int = 30, seed: int = words.SEED) -> DataFrame:
     """I4: mean and population deviation of the AUC lost when one original feature is permuted, largest first.
 
-    `score` adds a `score` column. All repeats and features are one table: a window per repeat and bucket shuffles the rows, then every
-    row is emitted once per feature with that feature swapped, and once as it is; one job scores it and reduces it to an AUC per repeat and feature.
-    The copies keep the id of their row, whatever its type. A count and a sketch of the scores, which only spreads the work, run before.
+    `score` adds a `score` column. The table is written once. A job takes as many repeats as make PERMUTED_ROWS rows: a window per repeat and bucket
+    shuffles the rows, then every row is emitted once per feature with that feature swapped, and in the first repeat once as it is; all are scored and
+    reduced to an AUC per repeat and feature. A job's shuffle files go when it ends, so the disk it takes does not grow with the repeats.
+    The copies keep the id of their row, whatever its type. A count and a sketch of the scores, which only spread the work, run before.
     """
-    features = list(features)
-    edges = balanced_edges(score(df).select("score"), "score")
-    every = F.array(*[F.lit(c) for c in features])
-    many = df.withColumn("__repeat", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))))
-    donors = with_donors(many, features, F.col("__repeat"), permutation_buckets(df.count()), id_col, seed, "__donor")
-    swapped = donors.withColumn("feature", F.explode(F.when(F.col("__repeat") == 0, F.concat(every, F.array(F.lit("")))).otherwise(every)))
-    swapped = swapped.withColumns({c: F.when(F.col("feature") == c, F.col("__donor")[c]).otherwise(col(c)) for c in features})
-    keys = ["__repeat", "feature"]
-    scored = score(swapped.drop("__donor")).select(*keys, col(label).cast("bigint").alias("label"), "score")
-    aucs = {(r["__repeat"], r["feature"]): r["roc_auc"] for r in packed_auc(scored, keys, edges).collect()}
-    base = aucs[0, ""]
-    drops = {c: [base - aucs[r, c] for r in range(repeats)] for c in features}
+    features, keys, aucs = list(features), ["__repeat", "__feature"], {}
+    with job_by_job(df.sparkSession):
+        rows = written(df, "permuted")
+        n = rows.count()
+        edges = balanced_edges(score(rows).select("score"), "score", max(range_count(rows), n // PACK))
+        at_once = max(1, PERMUTED_ROWS // max(1, n))
+        for first in range(0, repeats, at_once):
+            last = min(first + at_once, repeats) - 1
+            parts = n * (last - first + 1) // SORTED_ROWS
+            parts = parts if parts >= df.sparkSession.sparkContext.defaultParallelism else None
+            many = rows.withColumn("__repeat", F.explode(F.sequence(F.lit(first), F.lit(last))))
+            donors = with_donors(many, features, F.col("__repeat"), permutation_buckets(n), id_col, seed, "__donor", parts)
+            every = lambda m: F.array(*[F.lit(i) for i in range(m)])  # noqa: E731  # the last number of the first repeat stands for no feature
+            turns = F.when(F.col("__repeat") == 0, every(len(features) + 1)).otherwise(every(len(features)))
+            swapped = donors.withColumn("__feature", F.explode(turns))
+            swapped = swapped.withColumns({c: F.when(F.col("__feature") == i, F.col("__donor")[c]).otherwise(col(c)) for i, c in enumerate(features)})
+            scored = score(swapped.drop("__donor")).select(*keys, col(label).cast("bigint").alias("label"), "score")
+            aucs |= {(r["__repeat"], r["__feature"]): r["roc_auc"] for r in packed_auc(scored, keys, edges).collect()}
+    base = aucs[0, len(features)]
+    drops = {c: [base - aucs[r, i] for r in range(repeats)] for i, c in enumerate(features)}
     rows = [(c, float(np.mean(d)), float(np.std(d))) for c, d in drops.items()]
     return df.sparkSession.createDataFrame(rows, "feature string, queda_media double, desvio double").orderBy(F.desc("queda_media"), "feature")
 

@@ -205,8 +205,11 @@ def packed_scores(scores: DataFrame, by: Sequence[str], edges: Sequence[float])
             group = group * len(coded.dictionary) + coded.indices.to_numpy(zero_copy_only=False)
         place = np.searchsorted(cuts, score, side="right")
         group = (group * (len(cuts) + 1) + place) * 2 + (table["label"].to_numpy() == 1)
-        order = np.lexsort((score, group))
+        order = np.argsort(group.astype(np.uint16) if group.max() < 1 << 16 else group, kind="stable")
         group, score = group[order], score[order]
+        ends = np.r_[np.flatnonzero(group[1:] != group[:-1]) + 1, len(group)]
+        for a, b in zip(np.r_[0, ends[:-1]], ends):
+            score[a:b].sort()
         first = np.flatnonzero(np.r_[True, (group[1:] != group[:-1]) | (score[1:] != score[:-1])])
         counts, group, score = np.diff(np.r_[first, len(score)]).astype("<i4"), group[first], score[first].astype("<f8")
         starts = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])

@@ -1,9 +1,13 @@
 """Steps that were rewritten for larger tables give what the plain forms give."""
 
+import time
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from farol.functions import storage
+from farol.operators import explain as I
 from farol.operators import metrics as M
 from farol.operators import split as T
 from farol.operators.prep import _yeo_johnson_logs, _yeo_johnson_numpy
@@ -151,3 +155,77 @@ def test_nearest_rows_with_gaps(p, whole):
     order = np.argsort(d, axis=1, kind="stable")[:, :5]
     at, found = K.nearest_rows(a, b, 5, p)
     assert np.array_equal(at, order) and np.array_equal(found, np.take_along_axis(d, order, axis=1), equal_nan=True)
+
+
+def planted_signal(spark, n=3000):
+    """Ids with a label that `x` carries, and a missing id."""
+    rng = np.random.default_rng(5)
+    rows = [(None if i == 7 else i, int(rng.random() < 0.5), float(rng.random()), float(rng.random())) for i in range(n)]
+    return spark.createDataFrame([(i, y, x + 0.5 * y, z) for i, y, x, z in rows], "id bigint, label int, x double, z double")
+
+
+def test_permutation_in_many_jobs_is_permutation_in_one(spark, monkeypatch):
+    table, calls = planted_signal(spark), []
+
+    def score(df):
+        calls.append(1)
+        return df.withColumn("score", F.col("x") + F.col("z") / 4.0)
+
+    found = {}
+    for rows in (10**9, 9000, 1):
+        monkeypatch.setattr(I, "PERMUTED_ROWS", rows)
+        calls.clear()
+        found[rows] = [tuple(r) for r in I.permutation_importance(table, ["x", "z"], score, repeats=7).collect()], len(calls) - 1
+    assert [jobs for _, jobs in found.values()] == [1, 3, 7]
+    whole = found[10**9][0]
+    assert [r[0] for r in whole] == ["x", "z"] and whole[0][1] > 0.2 > abs(whole[1][1]) and whole[0][2] > 0
+    for rows, _ in found.values():
+        assert [r[0] for r in rows] == ["x", "z"] and np.allclose([r[1:] for r in rows], [r[1:] for r in whole], atol=1e-12)
+
+
+def test_permutation_keeps_the_shuffle_files_of_one_job(spark, monkeypatch):
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = lambda: {f for f in disk.getAllFiles().mkString(",").split(",") if "/shuffle_" in f}
+    table, old, seen = planted_signal(spark), files(), []
+
+    def left():
+        until = time.monotonic() + 20.0  # files are deleted behind the query
+        while (new := files() - old) and time.monotonic() < until:
+            time.sleep(0.1)
+        return len(new)
+
+    def score(df):
+        seen.append(left())
+        return df.withColumn("score", F.col("x"))
+
+    settings = {k: spark.conf.get(k, None) for k in storage.JOB_BY_JOB}
+    monkeypatch.setattr(I, "PERMUTED_ROWS", 1)
+    found = I.permutation_importance(table, ["x", "z"], score, repeats=3)
+    assert seen == [0, 0, 0, 0] and left() == 0
+    assert found.count() == 2
+    assert {k: spark.conf.get(k, None) for k in storage.JOB_BY_JOB} == settings
+
+
+def test_a_large_job_is_dealt_to_more_tasks(spark, monkeypatch):
+    plans = []
+
+    def score(df):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return df.withColumn("score", F.col("x"))
+
+    monkeypatch.setattr(I, "SORTED_ROWS", 100)
+    I.permutation_importance(planted_signal(spark), ["x"], score, repeats=2)
+    assert "RepartitionByExpression" in plans[1] and ", 60" in plans[1].split("RepartitionByExpression")[1].split("\n")[0]
+
+
+def test_packed_auc_of_very_many_groups(spark):
+    """More groups, ranges and labels than two bytes number, with ties inside and across ranges."""
+    rng = np.random.default_rng(8)
+    rows = [(int(g), int(y), float(s)) for g in range(400) for y, s in zip(rng.integers(0, 2, 12), rng.integers(0, 30, 12) / 30.0)]
+    table = spark.createDataFrame(rows, "model int, label int, score double")
+    edges = [i / 120 for i in range(1, 120)]
+    found = {r[0]: r[1] for r in M.packed_auc(table, ["model"], edges).collect()}
+    for g in range(400):
+        own = [(y, s) for m, y, s in rows if m == g]
+        pairs = [(s > t) + (s == t) / 2 for y, s in own if y for x, t in own if not x]
+        assert found[g] is None if not pairs else abs(found[g] - np.mean(pairs)) < 1e-12
